@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from kiln.plans import reports  # noqa: F401
+from kiln.plans import cleaning, reports  # noqa: F401
 from kiln.plans.registry import ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE"]
