@@ -2,8 +2,9 @@
 
 A ``Window`` without ``partitionBy`` moves every row into one task. Instead:
 
-1. range-partition the rows by (keys, order) into P partitions and tag each
-   row with its partition id (contiguous, ascending ranges);
+1. range-partition the rows by (keys, order) into P partitions, tag each
+   row with its partition id (contiguous, ascending ranges) and checkpoint
+   that table, so the ids are fixed once;
 2. total each (partition, key) -- at most P + #keys rows;
 3. turn those totals into offsets with a window over that tiny table;
 4. join the offsets back (AQE broadcasts them when small) and finish with a
@@ -22,6 +23,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kiln.session import checkpoint_dir
+
 PID = "_range_pid"
 
 
@@ -38,8 +41,14 @@ def running_sum(df: DataFrame, order: Sequence[Column | str], sums: Sequence[str
     order = [F.col(o) if isinstance(o, str) else o for o in order]
     keys = list(keys)
     cols = df.columns
+    # Range bounds come from a row-order-dependent sample and the partition id
+    # is read by two consumers below, so the tagged table is computed once and
+    # checkpointed to the shared checkpoint folder: both consumers see the same
+    # ids, and a lost executor re-reads it instead of re-sampling.
+    checkpoint_dir(df.sparkSession)
     tagged = (df.repartitionByRange(_parts(df, parts), *[F.col(k) for k in keys], *order)
-              .withColumn(PID, F.spark_partition_id()))
+              .withColumn(PID, F.spark_partition_id())
+              .checkpoint(eager=True))
     part_tot = tagged.groupBy(PID, *keys).agg(*[F.sum(s).alias(f"_pt_{s}") for s in sums])
     before = Window.partitionBy(*keys).orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = part_tot.select(PID, *keys, *[F.coalesce(F.sum(f"_pt_{s}").over(before), F.lit(0)).alias(f"_off_{s}")
