@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from kiln.plans import cleaning, neighbours, reports, statistics  # noqa: F401
+from kiln.plans import cleaning, neighbours, reports, series, statistics, text  # noqa: F401
 from kiln.plans.registry import ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE"]
