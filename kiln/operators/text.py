@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kiln.functions.stem import stem
+from kiln.session import checkpoint_dir
 
 
 def tokens(df: DataFrame, text: str, pattern: str = r"\W", name: str = "tokens", lower: bool = True) -> DataFrame:
@@ -28,8 +29,9 @@ def tokens(df: DataFrame, text: str, pattern: str = r"\W", name: str = "tokens",
 def drop_stopwords(df: DataFrame, column: str, words: Sequence[str], name: str | None = None) -> DataFrame:
     """Remove listed words, keeping order and repeats (``array_except``
     would also drop repeats)."""
-    stop = F.array(*[F.lit(w) for w in words])
-    return df.withColumn(name or column, F.filter(F.col(column), lambda x: ~F.array_contains(stop, x)))
+    # IN with a literal list becomes a hash-set lookup (InSet) in the optimizer
+    words = list(words)
+    return df.withColumn(name or column, F.filter(F.col(column), lambda x: ~x.isin(*words)))
 
 
 def keep_alpha(df: DataFrame, column: str, name: str | None = None) -> DataFrame:
@@ -48,10 +50,17 @@ def word_counts(df: DataFrame, column: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n")))
 
 
-def term_freq(df: DataFrame, doc: str, column: str) -> DataFrame:
-    """(doc, term, tf) from token arrays."""
-    return (df.select(doc, F.explode(column).alias("term")).groupBy(doc, "term")
-            .agg(F.count(F.lit(1)).alias("tf")))
+def term_freq(df: DataFrame, doc: str, column: str, materialise: bool = False) -> DataFrame:
+    """(doc, term, tf) from token arrays. With ``materialise`` the table is
+    checkpointed once to the shared folder: it is read by two branches
+    (term statistics and weights), and re-tokenising whole texts costs far
+    more than reading the much smaller count table back."""
+    tf = (df.select(doc, F.explode(column).alias("term")).groupBy(doc, "term")
+          .agg(F.count(F.lit(1)).alias("tf")))
+    if materialise:
+        checkpoint_dir(df.sparkSession)
+        tf = tf.checkpoint(eager=True)
+    return tf
 
 
 def tfidf(df: DataFrame, doc: str, column: str, min_df: float = 0.0, max_df: float = 1.0,
@@ -61,7 +70,7 @@ def tfidf(df: DataFrame, doc: str, column: str, min_df: float = 0.0, max_df: flo
     ``IDF`` omits the +1 and the norm). ``min_df`` / ``max_df`` are shares of
     documents; ``max_terms`` keeps the terms with the largest total count
     (ties by term) -- a bounded list used as a broadcast semi-join filter."""
-    tf = term_freq(df, doc, column)
+    tf = term_freq(df, doc, column, materialise=False)
     n_docs = df.select(doc).distinct().agg(F.count(F.lit(1))).scalar()
     stats = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("_total"))
     keep = stats.filter((F.col("df") >= n_docs * F.lit(float(min_df))) & (F.col("df") <= n_docs * F.lit(float(max_df))))
@@ -82,7 +91,7 @@ def count_idf(df: DataFrame, doc: str, column: str, min_doc_freq: int = 2, vocab
     """The CountVectorizer(minDF) + IDF(minDocFreq) weighting in long
     form: terms in at least ``min_doc_freq`` documents (optionally the
     ``vocab_size`` most frequent), weight ``tf * ln((n + 1) / (df + 1))``."""
-    tf = term_freq(df, doc, column)
+    tf = term_freq(df, doc, column, materialise=False)
     n_docs = df.select(doc).distinct().agg(F.count(F.lit(1))).scalar()
     stats = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("_total"))
     keep = stats.filter(F.col("df") >= min_doc_freq)

@@ -14,3 +14,15 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin the rows over the cluster when the scan yields fewer
+    partitions than there are cores (one large file or row group), before
+    CPU-heavy per-row work such as tokenising whole texts. A scan that is
+    already split (the normal case on big inputs) is left as it is, so no
+    extra shuffle is paid at scale."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kiln.sources.tables import load
+from kiln.sources.tables import load, spread
 
 # Fixed values of the fixture design (FIXTURES.md section 3).
 TEST_MOD = 5           # (user_id * 31 + item_id) % 5 = 0  -> test pair
@@ -114,7 +114,7 @@ def customers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def comments(spark: SparkSession, sf: str) -> DataFrame:
-    d = load(spark, sf, "documents")
+    d = spread(load(spark, sf, "documents"))
     return d.select(
         F.col("doc_id").alias("comment_id"),
         F.col("source").alias("creator_name"),
@@ -124,7 +124,7 @@ def comments(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def movies(spark: SparkSession, sf: str) -> DataFrame:
-    d = load(spark, sf, "documents")
+    d = spread(load(spark, sf, "documents"))
     return d.select(
         F.col("doc_id").alias("movie_id"),
         (F.lit(1980) + F.col("doc_id") % 40).alias("year"),
