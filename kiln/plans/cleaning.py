@@ -301,3 +301,19 @@ def hash_split_counts(spark, sf):
 def hash_features(spark, sf):
     """Categorical impression fields as stable codes in [0, 1000)."""
     return FE.hash_features(V.impressions(spark, sf), ["site_category", "device_id"], 1000, keep=["id"])
+
+
+@query("owner_flags", """
+SELECT doc_id, CAST(greatest(coalesce(label, 0), coalesce(prediction, 0)) > 0 AS INTEGER) AS owner
+FROM v_scored""")
+def owner_flags(spark, sf):
+    """F16: positive when the label or the prediction is positive."""
+    return CL.either_positive(V.scored(spark, sf), "label", "prediction").select("doc_id", "owner")
+
+
+@query("preview_rows", """
+SELECT incident_id, category, district FROM v_incidents ORDER BY incident_id LIMIT 5""")
+def preview_rows(spark, sf):
+    """The first rows of a table in a stated order (a top-n, not a
+    full sort)."""
+    return top_n(V.incidents(spark, sf).select("incident_id", "category", "district"), ["incident_id"], 5)

@@ -173,6 +173,20 @@ def kmeans_docs(spark, sf):
     return model.transform(vec).select("movie_id", "cluster")
 
 
+@query("cluster_members")
+def cluster_members(spark, sf):
+    """Per k-means cluster of the plots, its size and the titles of its
+    first five members (a bounded top-n per cluster, never a whole group)."""
+    from kiln.operators.report import top_per_key
+    m = TX.drop_stopwords(TX.tokens(V.movies(spark, sf), "plot", PLOT_SPLIT), "tokens", PLOT_STOPWORDS)
+    _, vec = M.count_vectors(m, "tokens", min_df=0.1, max_df=0.8, vocab_size=2000)
+    pred = M.fit_kmeans(vec, "tfidf_vec", 5, seed=1).transform(vec).select("movie_id", "title", "cluster")
+    sizes = pred.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
+    first = top_per_key(pred, "cluster", [F.asc("movie_id")], 5)
+    titles = first.groupBy("cluster").agg(F.sort_array(F.collect_list(F.struct("rank", "title"))).alias("_t"))
+    return sizes.join(titles, "cluster").select("cluster", "n", F.transform("_t", lambda x: x["title"]).alias("titles"))
+
+
 @query("lda_em")
 def lda_em(spark, sf):
     """EM LDA with 2 topics on comment count-IDF vectors; top 100 terms."""
