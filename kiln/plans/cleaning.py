@@ -85,8 +85,8 @@ def rule_label(spark, sf):
 
 
 @query("rule_conflicts", f"""
-SELECT count_if(regexp_matches(comment, '{CONFLICT_POSITIVE}')
-                AND regexp_matches(comment, '{CONFLICT_NEGATIVE}')) AS n
+SELECT CAST(count_if(regexp_matches(comment, '{CONFLICT_POSITIVE}')
+                AND regexp_matches(comment, '{CONFLICT_NEGATIVE}')) AS BIGINT) AS n
 FROM v_comments""")
 def rule_conflicts(spark, sf):
     return CL.rule_conflicts(V.comments(spark, sf), "comment", CONFLICT_POSITIVE, CONFLICT_NEGATIVE)
@@ -112,8 +112,8 @@ def genre_clean(spark, sf):
 
 
 @query("blank_to_null", """
-SELECT count(*) AS n, count_if(x IS NULL) AS n_dropped,
-       round(CAST(count_if(x IS NULL) AS DOUBLE) * 100 / count(*), 6) AS dropped_pct,
+SELECT count(*) AS n, CAST(count_if(x IS NULL) AS BIGINT) AS n_dropped,
+       round(CAST(CAST(count_if(x IS NULL) AS BIGINT) AS DOUBLE) * 100 / count(*), 6) AS dropped_pct,
        round(sum(x), 2) AS total
 FROM (SELECT TRY_CAST(nullif(trim(total_charge), '') AS DOUBLE) AS x FROM v_customers)""")
 def blank_to_null(spark, sf):

@@ -20,9 +20,9 @@ RADIUS_SQL = ("(x - CAST(-122.401818 AS DOUBLE)) * (x - CAST(-122.401818 AS DOUB
 
 @query("resolution_share", """
 SELECT category, count(*) AS total,
-       count_if(trim(resolution) = 'NONE') AS n_none,
-       round(CAST(count_if(trim(resolution) = 'NONE') AS DOUBLE) * 100 / count(*), 4) AS none_pct,
-       round(CAST(count(*) - count_if(trim(resolution) = 'NONE') AS DOUBLE) * 100 / count(*), 4) AS resolved_pct
+       CAST(count_if(trim(resolution) = 'NONE') AS BIGINT) AS n_none,
+       round(CAST(CAST(count_if(trim(resolution) = 'NONE') AS BIGINT) AS DOUBLE) * 100 / count(*), 4) AS none_pct,
+       round(CAST(count(*) - CAST(count_if(trim(resolution) = 'NONE') AS BIGINT) AS DOUBLE) * 100 / count(*), 4) AS resolved_pct
 FROM v_incidents GROUP BY category""")
 def resolution_share(spark, sf):
     inc = V.incidents(spark, sf)
@@ -140,7 +140,7 @@ def clicks_by_hour(spark, sf):
 
 
 @query("crosstab_feature", """
-SELECT banner_pos AS value, count_if(click = 0) AS click_0, count_if(click = 1) AS click_1
+SELECT banner_pos AS value, CAST(count_if(click = 0) AS BIGINT) AS click_0, CAST(count_if(click = 1) AS BIGINT) AS click_1
 FROM v_impressions GROUP BY banner_pos""")
 def crosstab_feature(spark, sf):
     return R.crosstab(V.impressions(spark, sf), "banner_pos", "click", [0, 1])
@@ -171,8 +171,8 @@ _CUST_NUM = """(SELECT *, TRY_CAST(nullif(trim(total_charge), '') AS DOUBLE) AS
 
 
 @query("null_counts", "\nUNION ALL\n".join(
-    [f"SELECT '{c}' AS \"column\", count_if({c} IS NULL) AS n_null FROM {_CUST_NUM}" for c in NULL_COLS]
-    + ["SELECT '_total' AS \"column\", " + " + ".join(f"count_if({c} IS NULL)" for c in NULL_COLS)
+    [f"SELECT '{c}' AS \"column\", CAST(count_if({c} IS NULL) AS BIGINT) AS n_null FROM {_CUST_NUM}" for c in NULL_COLS]
+    + ["SELECT '_total' AS \"column\", " + " + ".join(f"CAST(count_if({c} IS NULL) AS BIGINT)" for c in NULL_COLS)
        + f" AS n_null FROM {_CUST_NUM}"]))
 def null_counts(spark, sf):
     cust = V.customers(spark, sf).withColumn("total_charge_num", C.to_number("total_charge"))
@@ -244,7 +244,7 @@ def histogram_by_class(spark, sf):
 
 
 @query("long_text_count", """
-SELECT count_if(length(plot) >= 2000) AS n_long, count(*) AS n FROM v_movies""")
+SELECT CAST(count_if(length(plot) >= 2000) AS BIGINT) AS n_long, count(*) AS n FROM v_movies""")
 def long_text_count(spark, sf):
     m = V.movies(spark, sf)
     return m.agg(F.count_if(F.length("plot") >= 2000).alias("n_long"), F.count(F.lit(1)).alias("n"))

@@ -26,7 +26,7 @@ def _ks_sf_sql(lam: str) -> str:
 
 @query("ks_two_sample", f"""
 WITH long AS ({_long_sql(NUM_COLS, ", churned")}),
-per AS (SELECT feature, value, count_if(churned = 0) AS c0, count_if(churned = 1) AS c1
+per AS (SELECT feature, value, CAST(count_if(churned = 0) AS BIGINT) AS c0, CAST(count_if(churned = 1) AS BIGINT) AS c1
         FROM long WHERE value IS NOT NULL GROUP BY feature, value),
 cum AS (SELECT feature, value,
                sum(c0) OVER (PARTITION BY feature ORDER BY value ROWS UNBOUNDED PRECEDING) AS k0,
@@ -81,8 +81,8 @@ def median_by_class(spark, sf):
     return ST.class_medians(V.customers(spark, sf), NUM_COLS, "churned")
 
 
-_CONF_SQL = """(SELECT count_if(label = 1 AND prediction = 1) AS tp, count_if(label <> 1 AND prediction = 1) AS fp,
-        count_if(label = 1 AND prediction <> 1) AS fn, count_if(label <> 1 AND prediction <> 1) AS tn
+_CONF_SQL = """(SELECT CAST(count_if(label = 1 AND prediction = 1) AS BIGINT) AS tp, CAST(count_if(label <> 1 AND prediction = 1) AS BIGINT) AS fp,
+        CAST(count_if(label = 1 AND prediction <> 1) AS BIGINT) AS fn, CAST(count_if(label <> 1 AND prediction <> 1) AS BIGINT) AS tn
  FROM v_scored)"""
 
 
@@ -122,7 +122,7 @@ def class_report(spark, sf):
 
 
 @query("roc_points", """
-WITH per AS (SELECT score, count_if(label = 1) AS pos, count_if(label <> 1) AS neg FROM v_scored GROUP BY score),
+WITH per AS (SELECT score, CAST(count_if(label = 1) AS BIGINT) AS pos, CAST(count_if(label <> 1) AS BIGINT) AS neg FROM v_scored GROUP BY score),
 c AS (SELECT score, sum(pos) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS tp,
              sum(neg) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS fp,
              sum(pos) OVER () AS P, sum(neg) OVER () AS N FROM per)
@@ -135,7 +135,7 @@ def roc_points(spark, sf):
 
 def _auc_sql(score: str) -> str:
     return f"""
-WITH per AS (SELECT CAST({score} AS DOUBLE) AS score, count_if(label = 1) AS pos, count_if(label <> 1) AS neg
+WITH per AS (SELECT CAST({score} AS DOUBLE) AS score, CAST(count_if(label = 1) AS BIGINT) AS pos, CAST(count_if(label <> 1) AS BIGINT) AS neg
              FROM v_scored GROUP BY 1),
 c AS (SELECT *, sum(neg) OVER (ORDER BY score ROWS UNBOUNDED PRECEDING) AS cum_neg FROM per)
 SELECT round(sum(pos * (cum_neg - neg / CAST(2 AS DOUBLE))) / (CAST(sum(pos) AS DOUBLE) * sum(neg)), 6) AS auc,
@@ -156,10 +156,10 @@ def auc_hard(spark, sf):
 @query("threshold_sweep", """
 WITH t AS (SELECT i * CAST(0.005 AS DOUBLE) AS threshold FROM range(0, 201) r(i)),
 c AS (SELECT t.threshold,
-             count_if(s.label = 1 AND s.score >= t.threshold) AS tp,
-             count_if(s.label <> 1 AND s.score >= t.threshold) AS fp,
-             count_if(s.label = 1 AND s.score < t.threshold) AS fn,
-             count_if(s.label <> 1 AND s.score < t.threshold) AS tn
+             CAST(count_if(s.label = 1 AND s.score >= t.threshold) AS BIGINT) AS tp,
+             CAST(count_if(s.label <> 1 AND s.score >= t.threshold) AS BIGINT) AS fp,
+             CAST(count_if(s.label = 1 AND s.score < t.threshold) AS BIGINT) AS fn,
+             CAST(count_if(s.label <> 1 AND s.score < t.threshold) AS BIGINT) AS tn
       FROM t, v_scored s GROUP BY t.threshold)
 SELECT round(threshold, 6) AS threshold, tp, fp, fn, tn,
        round(CAST(tp + tn AS DOUBLE) / nullif(tp + fp + fn + tn, 0), 6) AS accuracy,
