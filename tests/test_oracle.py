@@ -7,7 +7,7 @@ import pytest
 
 from conftest import SF_SMALL
 from kiln.plans import catalog
-from tools.oracle_check import rows_of
+from tools.oracle_check import rows_of, type_diff
 
 ORACLE_NAMES = sorted(catalog.ORACLE)
 ROW_NAMES = sorted(set(catalog.QUERIES) - set(catalog.ORACLE))
@@ -21,6 +21,7 @@ def test_matches_oracle(spark, duck, name):
     dcols = [d[0] for d in cur.description]
     drows = cur.fetchall()
     assert sorted(df.columns) == sorted(dcols)
+    assert type_diff(df.schema, duck.sql(catalog.ORACLE[name])) == {}
     assert rows_of(df.columns, srows) == rows_of(dcols, drows)
 
 

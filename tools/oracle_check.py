@@ -34,6 +34,18 @@ def norm(v):
     return v
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP",
+                 "array<string>": "VARCHAR[]", "array<double>": "DOUBLE[]", "float": "FLOAT"}
+
+
+def type_diff(schema, duck_rel) -> dict:
+    """Columns whose Spark type and DuckDB type differ (after name mapping)."""
+    st = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in schema.fields}
+    dt = {c: str(t) for c, t in zip(duck_rel.columns, duck_rel.types)}
+    return {c: (st.get(c), dt.get(c)) for c in set(st) | set(dt) if st.get(c) != dt.get(c)}
+
+
 def rows_of(cols, rows):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     return sorted((tuple(norm(r[i]) for i in order) for r in rows), key=repr)
@@ -77,6 +89,10 @@ def main():
             bad.append(n)
             continue
         ok_cols = sorted(scols) == sorted(dcols)
+        tdiff = type_diff(sdf.schema, con.sql(sql))
+        if tdiff:
+            print(f"TYPES {n}: {tdiff}")
+            bad.append(n)
         sr, dr = rows_of(scols, srows), rows_of(dcols, drows)
         ok = ok_cols and sr == dr
         tag = "OK   " if ok else "DIFF "
