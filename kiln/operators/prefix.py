@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,9 +47,12 @@ def running_sum(df: DataFrame, order: Sequence[Column | str], sums: Sequence[str
     # checkpointed to the shared checkpoint folder: both consumers see the same
     # ids, and a lost executor re-reads it instead of re-sampling.
     checkpoint_dir(df.sparkSession)
-    tagged = (df.repartitionByRange(_parts(df, parts), *[F.col(k) for k in keys], *order)
+    # the range sampler and the checkpoint both read the input: keep it once
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    tagged = (src.repartitionByRange(_parts(df, parts), *[F.col(k) for k in keys], *order)
               .withColumn(PID, F.spark_partition_id())
               .checkpoint(eager=True))
+    src.unpersist()
     part_tot = tagged.groupBy(PID, *keys).agg(*[F.sum(s).alias(f"_pt_{s}") for s in sums])
     before = Window.partitionBy(*keys).orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = part_tot.select(PID, *keys, *[F.coalesce(F.sum(f"_pt_{s}").over(before), F.lit(0)).alias(f"_off_{s}")

@@ -139,7 +139,7 @@ def ks_two_sample(df: DataFrame, features: Sequence[str], cls: str, digits: int
     per = (long.groupBy("feature", "value")
            .agg(F.count_if(F.col(cls) == 0).alias("c0"), F.count_if(F.col(cls) == 1).alias("c1")))
     cum = running_sum(per, ["value"], ["c0", "c1"], keys=["feature"])
-    tot = per.groupBy("feature").agg(F.sum("c0").alias("n0"), F.sum("c1").alias("n1"))
+    tot = cum.groupBy("feature").agg(F.max("cum_c0").alias("n0"), F.max("cum_c1").alias("n1"))
     d = (cum.join(tot, "feature")
          .withColumn("gap", F.abs(safe_div("cum_c0", "n0") - safe_div("cum_c1", "n1")))
          .groupBy("feature", "n0", "n1").agg(F.max("gap").alias("d")))
@@ -160,7 +160,8 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], keys: Seq
     keys = list(keys)
     per = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("c"))
     cum = running_sum(per, [value], ["c"], keys=keys)
-    tot = per.groupBy(*keys).agg(F.sum("c").alias("_n"))
+    # totals from the (checkpointed) running counts, not a second pass over the input
+    tot = cum.groupBy(*keys).agg(F.max("cum_c").alias("_n"))
     j = cum.join(tot, keys) if keys else cum.withColumn("_n", tot.select("_n").scalar())
     probs_arr = F.array(*[F.lit(float(p)) for p in probs])
     j = j.withColumn("_p", F.explode(probs_arr))
