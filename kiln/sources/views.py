@@ -114,7 +114,7 @@ def customers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def comments(spark: SparkSession, sf: str) -> DataFrame:
-    d = spread(load(spark, sf, "documents"))
+    d = spread(load(spark, sf, "documents"), "doc_id")
     return d.select(
         F.col("doc_id").alias("comment_id"),
         F.col("source").alias("creator_name"),
@@ -124,7 +124,7 @@ def comments(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def movies(spark: SparkSession, sf: str) -> DataFrame:
-    d = spread(load(spark, sf, "documents"))
+    d = spread(load(spark, sf, "documents"), "doc_id")
     return d.select(
         F.col("doc_id").alias("movie_id"),
         (F.lit(1980) + F.col("doc_id") % 40).alias("year"),
