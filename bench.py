@@ -30,6 +30,8 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     names = sys.argv[1:] or HEADLINE
 
+    # local mode: the driver JVM is the whole cluster; give it half the box
+    os.environ.setdefault("KILN_DRIVER_MEMORY", os.environ.get("BENCH_MEMORY", "16g"))
     from kiln.plans import catalog
     from kiln.session import local_session
 
