@@ -47,8 +47,9 @@ def kmeans_costs(df: DataFrame, vec_array: str, ks: Sequence[int], fit_fraction:
     costs = []
     for k in ks:
         centres = [c.tolist() for c in fit_kmeans(sample, "_v", k, seed).clusterCenters()]
-        a = assign_to_centres(data, vec_array, centres, digits=12)
+        a = assign_to_centres(df.select(vec_array), vec_array, centres, digits=12)
         costs.append(a.agg(F.lit(k).alias("k"), F.round(F.sum("sq_dist"), 6).alias("cost")))
+    data.unpersist()  # the cache served the fits; the costs are one lazy pass over the input
     out = costs[0]
     for c in costs[1:]:
         out = out.unionByName(c)

@@ -113,7 +113,9 @@ def grid_search(spark, sf):
     train, _ = _customers_split(spark, sf)
     lr = LogisticRegression()
     grid = [{lr.regParam: r, lr.elasticNetParam: e} for r in (0.01, 0.1, 1.0) for e in (0.0, 1.0)]
-    cvm = M.cross_val(train.persist(), "logreg", _cust_stages(), "label", folds=5, grid=grid)
+    train = train.persist()
+    cvm = M.cross_val(train, "logreg", _cust_stages(), "label", folds=5, grid=grid)
+    train.unpersist()
     rows = [(g[lr.regParam], g[lr.elasticNetParam], float(m)) for g, m in zip(grid, cvm.avgMetrics)]
     best = max(rows, key=lambda r: r[2])
     return spark.createDataFrame([(*r, r == best) for r in rows], "reg double, enet double, auc double, best boolean")
