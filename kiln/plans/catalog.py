@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from kiln.plans import cleaning, models, neighbours, reports, series, statistics, streams, text  # noqa: F401
+from kiln.plans import cleaning, files, models, neighbours, reports, series, statistics, streams, text  # noqa: F401
 from kiln.plans.registry import ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE"]

@@ -59,9 +59,16 @@ def from_rows(spark: SparkSession, rows: Sequence, schema: T.StructType | str) -
 
 
 def write_predictions(df: DataFrame, path: str, fmt: str = "csv") -> None:
-    """Predictions with a header (csv) or as parquet; replaces the folder."""
+    """A table with a header (csv) or as parquet; replaces the folder.
+    CSV quotes with doubled quotes, as ``read_delimited`` expects (Spark's
+    writer would otherwise escape quotes with a backslash), so any text,
+    commas and line breaks included, reads back unchanged."""
     w = df.write.mode("overwrite")
-    (w.option("header", True).csv(path) if fmt == "csv" else w.parquet(path))
+    if fmt == "csv":
+        (w.option("header", True).option("quote", '"').option("escape", '"')
+         .option("encoding", "UTF-8").csv(path))
+    else:
+        w.parquet(path)
 
 
 def save_model(model, path: str) -> None:
