@@ -23,6 +23,9 @@ def intake_item_stats(spark, sf):
     run = scratch_path(spark, f"intake-{uuid.uuid4().hex}")
     ratings = V.ratings_train(spark, sf).select("user_id", F.col("item_id").cast("int"), "rating")
     ratings.repartition(8, "user_id").write.parquet(f"{run}/in")
-    q = item_stats_stream(spark, f"{run}/in", f"{run}/out", f"{run}/state", files_per_batch=1)
+    # one state partition per core: the state is one row per item
+    parts = spark.sparkContext.defaultParallelism
+    q = item_stats_stream(spark, f"{run}/in", f"{run}/out", f"{run}/state", files_per_batch=1,
+                          state_partitions=parts)
     q.awaitTermination()
     return read_stats(spark, f"{run}/out")

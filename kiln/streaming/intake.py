@@ -18,9 +18,13 @@ RATING_SCHEMA = "user_id long, item_id int, rating double"
 
 
 def item_stats_stream(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str,
-                      files_per_batch: int = 1, available_now: bool = True) -> StreamingQuery:
+                      files_per_batch: int = 1, available_now: bool = True,
+                      state_partitions: int | None = None) -> StreamingQuery:
     """Start the intake query: files in ``in_dir`` -> per-item count, sum and
-    mean in ``out_dir`` (parquet, replaced after each batch)."""
+    mean in ``out_dir`` (parquet, replaced after each batch).
+
+    ``state_partitions`` sizes the state store (fixed in the checkpoint at the
+    first start); by default the session's shuffle partitions are used."""
     src = (spark.readStream.schema(RATING_SCHEMA).option("maxFilesPerTrigger", files_per_batch)
            .parquet(in_dir))
     stats = src.groupBy("item_id").agg(F.count(F.lit(1)).alias("n"), F.sum("rating").alias("total"))
@@ -33,7 +37,15 @@ def item_stats_stream(spark: SparkSession, in_dir: str, out_dir: str, checkpoint
     w = (stats.writeStream.outputMode("complete").foreachBatch(publish)
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
-    return w.start()
+    if state_partitions is None:
+        return w.start()
+    # the query snapshots the session conf when it starts
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        return w.start()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 def read_stats(spark: SparkSession, out_dir: str, digits: int = 6) -> DataFrame:
