@@ -50,3 +50,14 @@ def test_flagship_plan_reads_two_columns(spark):
 def test_top_k_is_not_a_global_sort(spark):
     p = _plan(catalog.QUERIES["top10_categories"](spark, SF_SMALL))
     assert "TakeOrderedAndProject" in p
+
+
+@pytest.mark.parametrize("name", ["word_count", "tfidf_long", "count_idf_long"])
+def test_texts_are_not_tokenised_in_the_scan(spark, name):
+    """``explode`` would let Catalyst infer ``size(tokens) > 0`` and push it
+    into the scan, tokenising every text twice; the term operators use
+    ``explode_outer`` + a NULL filter instead."""
+    p = _plan(catalog.QUERIES[name](spark, SF_SMALL))
+    for line in p.splitlines():
+        if "FileScan parquet" in line or line.lstrip().startswith("+- Filter") and "split(" in line:
+            assert "size(" not in line, line
