@@ -3,13 +3,30 @@ parameters, over whole tables."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from kiln.llm import exact
+from kiln.llm import exact, idfile, pack
 from kiln.llm.registry import query
 from kiln.sources.tables import load
 
 
+@query("op1_token_ids")
+def op1_token_ids(spark, sf_dir):
+    """Ids of every document, written as frequency-ranked variable-length code
+    in doc_id order and read back."""
+    back = idfile.round_trip(load(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), "word")
+    return back.select("doc_id", "start", (F.length("ids") / 4).cast("long").alias("n_tokens"),
+                       F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op5_packing")
+def op5_packing(spark, sf_dir):
+    """Harmonic packing into sequences of 2048 tokens."""
+    packed = pack.pack(load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), "space", 2048)
+    return pack.pieces(packed)
+
+
 @query("op6_exact_dedup", """
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
        doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
