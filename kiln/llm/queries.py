@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from kiln.llm import exact, idfile, pack
+from kiln.llm import exact, idfile, mix, pack
 from kiln.llm.registry import query
 from kiln.sources.tables import load
 
@@ -34,3 +34,9 @@ FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))""")
 def op6_exact_dedup(spark, sf_dir):
     """Copies of equal texts, by two passes over a Bloom filter."""
     return exact.mark_copies(load(spark, sf_dir, "documents"))
+
+
+@query("op8_mixing")
+def op8_mixing(spark, sf_dir):
+    """Sources mixed by weights 1, 2, 3 with a golden-ratio schedule."""
+    return mix.taken(load(spark, sf_dir, "documents"))
