@@ -6,7 +6,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from kiln.llm import exact, idfile, mix, pack
+from kiln.llm import chat, exact, idfile, mix, pack
+from kiln.llm.common import work_dir, written
 from kiln.llm.registry import query
 from kiln.sources.tables import load
 
@@ -20,6 +21,39 @@ def op1_token_ids(spark, sf_dir):
                        F.crc32("ids").alias("ids_crc32"))
 
 
+_ODD = r"\### Assistant: </turn> ok"
+
+
+@query("op3_chat_format", r"""
+WITH t AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+e AS (
+  SELECT *, length(replace(replace(text, '\', '\\'), '</turn>', '<\/turn>'))
+         + coalesce(list_sum(list_transform(regexp_extract_all(text, '#{3,}'), x -> length(x) - 2)), 0) AS body FROM t)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(4 + length(role) + 2 + body + 8) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id""")
+def op3_chat_format(spark, sf_dir):
+    """All conversations and one full of control strings, formatted, written
+    and read back: the digests are taken from the parsed output."""
+    odd = spark.sql("SELECT -7L AS conv_id, array(named_struct('role', 'user', 'content', text), "
+                    "named_struct('role', 'assistant', 'content', text)) AS messages FROM VALUES (:text) AS t(text)",
+                    args={"text": _ODD})
+    turns = chat.turns(load(spark, sf_dir, "conversations")).unionByName(chat.turns(odd))
+    back = written(chat.format_turns(turns), work_dir(spark, "chat"))
+    back = back.select("conv_id", "formatted", chat.parse(F.col("formatted")).alias("turns"),
+                       chat.loss_text(F.col("formatted"), F.col("loss")).alias("learned"))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return back.select("conv_id", F.size("turns").cast("long").alias("n_turns"),
+                       F.sha2(said, 256).alias("turns_sha256"), F.length("learned").cast("long").alias("loss_chars"),
+                       F.sha2("learned", 256).alias("loss_sha256"),
+                       F.length("formatted").cast("long").alias("formatted_chars"))
+
+
 @query("op5_packing")
 def op5_packing(spark, sf_dir):
     """Harmonic packing into sequences of 2048 tokens."""
