@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from kiln.session import checkpoint_dir, scratch_path, ship_package
 
-SEPARATORS = " \t\n\x0b\x0c\r"
+SEPARATORS = r"\x20\x09-\x0D"  # inside a character class
 #: A key with more than 1 / HOT_SHARE of all rows is dealt over many tasks, so
 #: there are fewer than HOT_SHARE such keys, whatever the input.
 HOT_SHARE = 1000
@@ -65,8 +65,7 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
 
 def word_array(text: Column) -> Column:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a whole text, unchanged; null has none."""
-    blanks = F.translate(F.coalesce(text, F.lit("")), SEPARATORS[1:], " " * (len(SEPARATORS) - 1))
-    return F.filter(F.split(blanks, " "), lambda w: w != "")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), f"[{SEPARATORS}]+", -1), "")
 
 
 def word_count(text: Column) -> Column:

@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from kiln.llm import chat, exact, idfile, mix, pack
+from kiln.llm import chat, exact, idfile, mix, pack, quality
 from kiln.llm.common import work_dir, written
 from kiln.llm.registry import query
 from kiln.sources.tables import load
@@ -70,6 +70,15 @@ def op6_exact_dedup(spark, sf_dir):
     return exact.mark_copies(load(spark, sf_dir, "documents"))
 
 
+@query("op7_quality")
+def op7_quality(spark, sf_dir):
+    """Base rules and minimum-covariance-determinant outliers per language
+    and source."""
+    v = quality.verdicts(load(spark, sf_dir, "documents"))
+    return v.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                    "base_failed", "kept")
+
+
 @query("op8_mixing")
 def op8_mixing(spark, sf_dir):
     """Sources mixed by weights 1, 2, 3 with a golden-ratio schedule."""
