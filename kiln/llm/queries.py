@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from kiln.llm import chat, exact, idfile, mix, pack, quality
+from kiln.llm import chat, exact, idfile, mix, pack, quality, substring
 from kiln.llm.common import work_dir, written
 from kiln.llm.registry import query
 from kiln.sources.tables import load
@@ -54,6 +54,12 @@ def op3_chat_format(spark, sf_dir):
                        F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+@query("op4_substring_dedup")
+def op4_substring_dedup(spark, sf_dir):
+    """Words in repeated windows of 35 words, by level-wise doubling."""
+    return substring.removed(load(spark, sf_dir, "documents"), 35)
+
+
 @query("op5_packing")
 def op5_packing(spark, sf_dir):
     """Harmonic packing into sequences of 2048 tokens."""
