@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from kiln.llm import chat, exact, idfile, mix, pack, quality, substring
+from kiln.llm import chat, exact, idfile, mix, neardup, pack, quality, substring
 from kiln.llm.common import work_dir, written
 from kiln.llm.registry import query
 from kiln.sources.tables import load
@@ -21,6 +21,14 @@ def op1_token_ids(spark, sf_dir):
                        F.crc32("ids").alias("ids_crc32"))
 
 
+@query("op2_near_dedup")
+def op2_near_dedup(spark, sf_dir):
+    """Classes of near copies: weighted Jaccard similarity of 5-word shingle
+    bags of at least 0.8, by BagMinHash."""
+    c = neardup.classes(load(spark, sf_dir, "documents"))
+    return c.select("doc_id", "class_id", "class_size", (F.col("doc_id") == F.col("class_id")).alias("kept"))
+
+
 _ODD = r"\### Assistant: </turn> ok"
 
 
