@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from kiln.llm import chat, exact, idfile, mix, neardup, pack, quality, substring
+from kiln.llm import chat, exact, idfile, mix, neardup, pack, quality, substring, warc
 from kiln.llm.common import work_dir, written
 from kiln.llm.registry import query
 from kiln.sources.tables import load
@@ -97,3 +97,18 @@ def op7_quality(spark, sf_dir):
 def op8_mixing(spark, sf_dir):
     """Sources mixed by weights 1, 2, 3 with a golden-ratio schedule."""
     return mix.taken(load(spark, sf_dir, "documents"))
+
+
+@query("op10_warc", """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+d AS (SELECT page_id, CAST(octet_length(b) AS BIGINT) AS payload_bytes, sha256(b) AS payload_digest FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+FROM f""")
+def op10_warc(spark, sf_dir):
+    """Pages as legacy ARC records, converted to WARC files and read back."""
+    files = warc.write(warc.to_arc(load(spark, sf_dir, "pages")), work_dir(spark, "warc"))
+    return warc.read(files).select(F.col("row").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                                   "refers_to")
