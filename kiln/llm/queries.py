@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from kiln.llm import chat, exact, idfile, mix, neardup, pack, quality, substring, warc
+from kiln.llm import chat, exact, idfile, mix, neardup, pack, pii, quality, substring, warc
 from kiln.llm.common import work_dir, written
 from kiln.llm.registry import query
 from kiln.sources.tables import load
@@ -99,6 +99,13 @@ def op8_mixing(spark, sf_dir):
     return mix.taken(load(spark, sf_dir, "documents"))
 
 
+@query("op9_pii")
+def op9_pii(spark, sf_dir):
+    """Personal data replaced by keyed surrogates; whole texts."""
+    r = pii.replace_entities(load(spark, sf_dir, "documents"), key="op9")
+    return r.select("doc_id", "text", "n_replaced")
+
+
 @query("op10_warc", """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
 d AS (SELECT page_id, CAST(octet_length(b) AS BIGINT) AS payload_bytes, sha256(b) AS payload_digest FROM p),
