@@ -39,6 +39,12 @@ def written(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def one_by_one(files: DataFrame, most: int = 10_000) -> DataFrame:
+    """A list of files dealt over as many tasks as it has rows (``most`` at
+    most), although the list itself is small."""
+    return files.repartition(max(min(files.count(), most), 1), *files.columns)
+
+
 def remove(spark: SparkSession, *paths: str) -> None:
     """Delete stages that nothing reads any more, and let Spark drop the
     shuffle files of the jobs that made them."""

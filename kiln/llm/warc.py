@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kiln.llm.common import join_hot, prepare, work_dir, written
+from kiln.llm.common import join_hot, one_by_one, prepare, work_dir, written
 from kiln.llm.storage import new_name, reading, writing
 
 REVISIT_BYTES = 100
@@ -262,4 +262,4 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read(files: DataFrame) -> DataFrame:
     """The records of the listed files, payloads checked against their digests."""
-    return files.select("path").repartition("path").mapInArrow(_read, _RECORD)
+    return one_by_one(files.select("path")).mapInArrow(_read, _RECORD)
