@@ -70,7 +70,7 @@ def argmax(a) -> Column:
 
 
 def hash_code(c, buckets: int | None = None) -> Column:
-    """Stable hash of a value as a feature code (X6); Python's ``hash`` of a
-    string differs between processes, xxhash64 does not."""
-    h = F.xxhash64(col(c).cast("string"))
+    """Stable hash of a value as a feature code (X6): 60 bits of its MD5.
+    Python's ``hash`` of a string differs between processes."""
+    h = F.conv(F.substring(F.md5(col(c).cast("string")), 1, 15), 16, 10).cast("long")
     return F.pmod(h, F.lit(buckets)) if buckets else h

@@ -2,40 +2,54 @@
 
 Spark's ``sample`` / ``randomSplit`` / ``sampleBy`` draw per row from a
 partition-seeded generator, so the result changes with partitioning. The
-stable forms here decide per row from ``xxhash64(key, seed)``: the same row
-is kept or put in the same split on any cluster, and retried tasks give the
-same answer.
+stable forms here decide per row from an MD5 hash of key and seed: the same
+row is kept or put in the same split on any cluster, and retried tasks give
+the same answer.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kiln.operators.prefix import running_sum
+BUCKETS = 1 << 16
 
-_SCALE = 1 << 20
+
+def key_hash(key: str, seed: int):
+    """60 bits of the MD5 of key and seed as a long; any engine with MD5
+    gives the same number."""
+    text = F.concat(F.col(key).cast("string"), F.lit(f":{seed}"))
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
 
 
 def _unit(key: str, seed: int):
     """A per-row number in [0, 1) from the key and the seed."""
-    return F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(_SCALE)) / F.lit(float(_SCALE))
-
-
-def sample_n(df: DataFrame, n: int, key: str, seed: int = 42, small: int = 100_000) -> DataFrame:
-    """Exactly ``n`` rows (all when fewer), chosen by key hash.
-
-    Small n: ``orderBy(hash).limit(n)`` -- a top-n per task, merged.
-    Large n: position along the hash order by the distributed running count,
-    so no task or driver ever holds n rows."""
-    h = F.xxhash64(F.col(key), F.lit(seed))
-    if n <= small:
-        return df.withColumn("_h", h).orderBy("_h", key).limit(n).drop("_h")
-    t = df.withColumn("_h", h).withColumn("_one", F.lit(1))
-    pos = running_sum(t, ["_h", key], ["_one"])
-    return pos.filter(F.col("cum__one") <= n).drop("_h", "_one", "cum__one")
+    return key_hash(key, seed) / F.lit(float(1 << 60))
+
+
+def sample_n(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
+    """Exactly ``n`` rows (all when fewer): those with the least key
+    hashes, ties by key.
+
+    Rows are counted per bucket of the hash (``BUCKETS`` rows of counts); all
+    buckets before the n-th row stay whole, and only the one that holds it is
+    put in order. One way for every n, and no task holds n rows."""
+    h = key_hash(key, seed)
+    bucket = F.shiftright(h, 44)
+    counts = df.groupBy(bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # at most BUCKETS rows
+    cut = (counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+           .filter((F.col("_before") < n) & (F.col("_before") + F.col("_n") > n)))
+    whole = (counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+             .filter(F.col("_before") + F.col("_n") <= n).agg(F.max("_b").alias("_b")))
+    edge, last = cut.select("_b").scalar(), whole.select("_b").scalar()
+    rest = n - cut.select("_before").scalar()
+    in_order = Window.partitionBy("_b").orderBy("_h", key)
+    part = (df.withColumn("_h", h).withColumn("_b", bucket).filter(F.col("_b") == edge)
+            .withColumn("_rank", F.row_number().over(in_order)).filter(F.col("_rank") <= rest))
+    return df.filter(bucket <= last).unionByName(part.drop("_h", "_b", "_rank"))
 
 
 def sample_fraction(df: DataFrame, fraction: float, key: str | None = None, seed: int = 42) -> DataFrame:

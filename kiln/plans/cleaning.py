@@ -21,7 +21,7 @@ LABEL_NEGATIVE = r"\bde\b|\bthe\b"
 CONFLICT_POSITIVE = r"\bthe\b"
 CONFLICT_NEGATIVE = r"\bon\b|\bde\b"
 TENURE_EDGES = [12, 24, 36, 48, 60]
-TENURE_NAMES = ["Tenure_0-12", "Tenure_12-24", "Tenure_24-36", "Tenure_36-48", "Tenure_48-60", "Tenure_gt_60"]
+TENURE_NAMES = ["Tenure_0-12", "Tenure_12-24", "Tenure_24-36", "Tenure_36-48", "Tenure_48-60", "Tenure_>_60"]
 COLD_FILL = 3.7
 RATING_CAP = 5.0
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
@@ -277,27 +277,44 @@ def categorical_columns(spark, sf):
 
 # ---- model- or sample-shaped outputs: row check only --------------------------
 
-@query("sample_hash_n")
+def _hash_sql(key: str, seed: int) -> str:
+    """``sampling.key_hash`` in SQL."""
+    return f"CAST('0x' || substr(md5(CAST({key} AS VARCHAR) || ':{seed}'), 1, 15) AS BIGINT)"
+
+
+def _unit_sql(key: str, seed: int) -> str:
+    return f"(CAST({_hash_sql(key, seed)} AS DOUBLE) / CAST({1 << 60} AS DOUBLE))"
+
+
+@query("sample_hash_n", f"SELECT * FROM v_impressions ORDER BY {_hash_sql('id', 7)}, id LIMIT 1000")
 def sample_hash_n(spark, sf):
     """Exactly 1,000 impressions chosen by key hash."""
     return SM.sample_n(V.impressions(spark, sf), 1000, key="id", seed=7)
 
 
-@query("rebalance")
+@query("rebalance", f"""
+SELECT click, count(*) AS n FROM v_impressions
+WHERE click = 1 OR (click = 0 AND {_unit_sql('id', 42)} < CAST(0.015 AS DOUBLE)) GROUP BY click""")
 def rebalance(spark, sf):
     """K9: every click row and 1.5 % of the others, stable by id hash."""
     s = SM.class_sample(V.impressions(spark, sf), "click", {1: 1.0, 0: 0.015}, key="id")
     return s.groupBy("click").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("hash_split_counts")
+@query("hash_split_counts", f"""
+WITH u AS (SELECT {_unit_sql("(CAST(user_id AS VARCHAR) || ':' || CAST(item_id AS VARCHAR))", 42)} AS u FROM v_ratings_all)
+SELECT CASE WHEN u < CAST({6 / 10} AS DOUBLE) THEN 0 WHEN u < CAST({6 / 10 + 2 / 10} AS DOUBLE) THEN 1 ELSE 2 END AS split,
+       count(*) AS n FROM u GROUP BY 1""")
 def hash_split_counts(spark, sf):
     """6/2/2 split of all ratings by (user, item) hash; rows per split."""
     r = V.ratings_all(spark, sf).withColumn("pair", F.concat_ws(":", "user_id", "item_id"))
     return SM.hash_split(r, "pair", [6, 2, 2]).groupBy("split").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("hash_features")
+@query("hash_features", """
+SELECT id, CAST('0x' || substr(md5(CAST(site_category AS VARCHAR)), 1, 15) AS BIGINT) % 1000 AS site_category_code,
+       CAST('0x' || substr(md5(CAST(device_id AS VARCHAR)), 1, 15) AS BIGINT) % 1000 AS device_id_code
+FROM v_impressions""")
 def hash_features(spark, sf):
     """Categorical impression fields as stable codes in [0, 1000)."""
     return FE.hash_features(V.impressions(spark, sf), ["site_category", "device_id"], 1000, keep=["id"])
