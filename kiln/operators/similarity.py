@@ -9,15 +9,16 @@ groups; every candidate is then verified exactly. No cap, no sampling.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kiln.functions.columns import dot, norm2, sq_dist
+from kiln.functions.columns import dot, norm2
 from kiln.operators.prefix import running_sum
+from kiln.operators.sampling import sample_n
+from kiln.session import scratch_path
 
 
 def jaccard_pairs(df: DataFrame, item: str, token: str, threshold: float, digits: int = 6) -> DataFrame:
@@ -66,7 +67,7 @@ def cosine_to(df: DataFrame, vec: str, other: Column, name: str = "cosine", digi
     return df.withColumn(name, F.round(c, digits))
 
 
-def centroids(df: DataFrame, vec: str, key: str, dims: int) -> DataFrame:
+def centroids(df: DataFrame, vec: str, key: str) -> DataFrame:
     """Mean vector per key, one aggregate over the exploded components."""
     e = df.select(key, F.posexplode(vec).alias("_d", "_v"))
     m = e.groupBy(key, "_d").agg(F.avg("_v").alias("_m"))
@@ -76,72 +77,94 @@ def centroids(df: DataFrame, vec: str, key: str, dims: int) -> DataFrame:
 
 def assign_to_centres(df: DataFrame, vec: str, centres: Sequence[Sequence[float]], digits: int = 6) -> DataFrame:
     """Nearest of k given centres per row (ties to the lower index) and
-    its squared distance. The k centres are literals inside one native
-    expression: no join and no broadcast of data."""
-    dists = [F.aggregate(F.zip_with(F.col(vec), F.array(*[F.lit(float(x)) for x in c]),
-                                    lambda u, v: (u - v) * (u - v)), F.lit(0.0), lambda acc, x: acc + x)
-             for c in centres]
-    arr = F.array(*[F.struct(d.alias("d"), F.lit(i).alias("i")) for i, d in enumerate(dists)])
-    best = F.array_min(arr)
-    return df.withColumn("cluster", best["i"]).withColumn("sq_dist", F.round(best["d"], digits))
-
-
-def _knn_kernel(train_ids, train_x, train_y, k, id_col, vec_col):
-    def run(batches):
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            q = np.vstack(pdf[vec_col].to_numpy()).astype("float64")
-            d = (np.square(q[:, None, :] - train_x[None, :, :])).sum(axis=2)
-            order = np.lexsort((np.broadcast_to(train_ids, d.shape), d), axis=1)[:, :k]
-            rows = []
-            for qi, qid in enumerate(pdf[id_col].to_numpy()):
-                for rank, j in enumerate(order[qi]):
-                    rows.append((qid, int(train_ids[j]), int(train_y[j]), float(d[qi, j]), rank + 1))
-            yield pd.DataFrame(rows, columns=[id_col, "neighbour", "neighbour_label", "sq_dist", "rank"])
-    return run
+    its squared distance. The centres are one array literal; no join."""
+    table = F.array(*[F.struct(F.lit(i).alias("label"), F.array(*[F.lit(float(x)) for x in c]).alias("centre"))
+                      for i, c in enumerate(centres)])
+    return nearest_centre(df, vec, table, digits)
+
+
+def nearest_centre(df: DataFrame, vec: str, centres: Column, digits: int = 6) -> DataFrame:
+    """Label of the nearest entry of ``centres`` (an array of (label,
+    centre), a literal or a scalar subquery) per row, ties to the lower label."""
+    def entry(c: Column) -> Column:
+        d = F.aggregate(F.zip_with(F.col(vec), c["centre"], lambda u, v: (u - v) * (u - v)), F.lit(0.0),
+                        lambda acc, x: acc + x)
+        return F.struct(d.alias("d"), c["label"].alias("label"))
+    best = F.array_min(F.transform("_centres", entry))
+    return (df.withColumn("_centres", centres).withColumn("_best", best).withColumn("cluster", F.col("_best.label"))
+            .withColumn("sq_dist", F.round("_best.d", digits)).drop("_best", "_centres"))
+
+
+def sq_euclid(a, b) -> Column:
+    """Squared Euclidean distance of two arrays."""
+    return F.aggregate(F.zip_with(a, b, lambda u, v: (u - v).cast("double") * (u - v)), F.lit(0.0), lambda acc, x: acc + x)
+
+
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a written table in the shared folder, read by several steps."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def knn_neighbours(test: DataFrame, train: DataFrame, id_col: str, vec: str, label: str, k: int,
-                   max_broadcast_bytes: int = 256 << 20, chunk_rows: int = 200_000) -> DataFrame:
+                   pivots: int = 64, block_rows: int = 4096) -> DataFrame:
     """M5 (neighbour search): the k nearest train rows of every test row by
-    squared Euclidean distance, ties by train id.
-
-    Exact kNN compares every test row with every train row; that work runs
-    in numpy inside the test partitions against a broadcast train matrix
-    whose size is checked. Beyond ``max_broadcast_bytes`` the train side is
-    cut into chunks of ``chunk_rows``; each chunk yields k candidates per test
-    row and the k best over all chunks are kept -- still exact."""
-    spark = test.sparkSession
-    n_train = train.count()
-    dims = len(train.select(vec).first()[0]) if n_train else 0
-    chunks = max(1, int(np.ceil(n_train * max(dims, 1) * 8 / max_broadcast_bytes)))
-    chunks = max(chunks, int(np.ceil(n_train / chunk_rows))) if n_train > chunk_rows else chunks
-    schema = f"{id_col} long, neighbour long, neighbour_label long, sq_dist double, rank int"
-    parts = []
-    keyed = train.withColumn("_chunk", F.pmod(F.xxhash64(id_col), F.lit(chunks)))
-    for c in range(chunks):
-        # one bounded slice of train per pass; the driver holds only this slice
-        pdf = keyed.filter(F.col("_chunk") == c).select(id_col, vec, label).toPandas()
-        if pdf.empty:
-            continue
-        ids = pdf[id_col].to_numpy().astype("int64")
-        x = np.vstack(pdf[vec].to_numpy()).astype("float64")
-        y = pdf[label].to_numpy().astype("int64")
-        bc = spark.sparkContext.broadcast((ids, x, y))
-
-        def run(batches, bc=bc):
-            ids_, x_, y_ = bc.value
-            yield from _knn_kernel(ids_, x_, y_, k, id_col, vec)(batches)
-        parts.append(test.select(id_col, vec).mapInPandas(run, schema))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    if len(parts) > 1:
-        from pyspark.sql import Window
-        w = Window.partitionBy(id_col).orderBy("sq_dist", "neighbour")
-        out = out.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-    return out
+    squared Euclidean distance, ties by train id, exact.
+
+    Train is cut into cells around ``pivots`` of its rows (those with the
+    least key hashes), and large cells into blocks of about ``block_rows``, so
+    a crowded cell is many join keys. A test row first meets the cells that
+    hold k rows nearest to it by the triangle inequality; the k-th distance
+    found there bounds the search, and the row then goes only to further cells
+    whose nearest possible member lies within it. All of it is equi-joins on
+    (cell, block); only the table of cells (``pivots`` rows) is handed to every
+    task, as one array."""
+    t = train.select(F.col(id_col).alias("neighbour"), F.col(vec).alias("_tv"), F.col(label).alias("neighbour_label"))
+    chosen = _stored(sample_n(t, pivots, "neighbour"), "knn-pivots")
+    table = chosen.agg(F.collect_list(F.struct(F.col("neighbour").alias("label"), F.col("_tv").alias("centre"))).alias("c"))
+    placed = nearest_centre(t, "_tv", table.select("c").scalar(), 15).withColumnRenamed("cluster", "_cell")
+    placed = _stored(placed.withColumn("_far", F.sqrt("sq_dist")).drop("sq_dist"), "knn-cells")
+    sizes = placed.groupBy("_cell").agg(F.count(F.lit(1)).alias("_n"), F.max("_far").alias("_radius"))
+    blocks = F.ceil(F.col("_n") / block_rows).cast("int")
+    centres = chosen.select(F.col("neighbour").alias("_cell"), F.col("_tv").alias("_centre"))
+    cells = sizes.join(centres, "_cell").agg(F.collect_list(F.struct(
+        F.col("_cell").alias("cell"), F.col("_centre").alias("centre"), F.col("_radius").alias("radius"),
+        F.col("_n").alias("n"), blocks.alias("blocks"))).alias("c")).select("c").scalar()
+    own_blocks = F.element_at(F.filter(F.col("_cells"), lambda c: c["cell"] == F.col("_cell")), 1)["blocks"]
+    stored = (placed.withColumn("_cells", cells)
+              .withColumn("_block", F.pmod(F.xxhash64("neighbour"), own_blocks).cast("int"))
+              .select("_cell", "_block", "neighbour", "neighbour_label", "_tv"))
+    q = test.select(F.col(id_col).alias("_q"), F.col(vec).alias("_qv"), cells.alias("_all")).withColumn("_cells", F.transform(
+        "_all", lambda c: F.struct(F.sqrt(sq_euclid(F.col("_qv"), c["centre"])).alias("away"), c["cell"].alias("cell"),
+                                  c["radius"].alias("radius"), c["n"].alias("n"), c["blocks"].alias("blocks"))))
+    # cells in order of distance until k rows are met: their farthest member bounds the k-th distance
+    near = F.aggregate(F.array_sort("_cells"), F.struct(F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("reach")),
+                       lambda acc, c: F.when(acc["n"] >= k, acc).otherwise(F.struct(
+                           (acc["n"] + c["n"]).alias("n"), F.greatest(acc["reach"], c["away"] + c["radius"]).alias("reach"))))
+    first = F.aggregate(F.array_sort("_cells"), F.struct(F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("last")),
+                        lambda acc, c: F.when(acc["n"] >= k, acc).otherwise(F.struct(
+                            (acc["n"] + c["n"]).alias("n"), c["away"].alias("last"))))["last"]
+    q = q.withColumn("_reach", near["reach"]).withColumn("_first", first)
+    best = Window.partitionBy("_q").orderBy("sq_dist", "neighbour")
+
+    def meet(rows: DataFrame) -> DataFrame:
+        """The k best of the rows' cells (column ``_to``)."""
+        at = rows.select("_q", "_qv", F.explode("_to").alias("_c"))
+        at = at.select("_q", "_qv", F.col("_c.cell").alias("_cell"),
+                       F.explode(F.sequence(F.lit(0), F.col("_c.blocks") - 1)).alias("_block"))
+        d = at.join(stored, ["_cell", "_block"]).select(
+            "_q", "neighbour", "neighbour_label", sq_euclid(F.col("_qv"), F.col("_tv")).alias("sq_dist"))
+        return d.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+
+    here = meet(q.withColumn("_to", F.filter("_cells", lambda c: c["away"] <= F.col("_first"))))
+    bound = here.groupBy("_q").agg(F.sqrt(F.max("sq_dist")).alias("_bound"), F.count(F.lit(1)).alias("_found"))
+    more = q.join(bound, "_q").withColumn("_bound", F.when(F.col("_found") >= k, F.least("_bound", "_reach"))
+                                          .otherwise(F.lit(float("inf"))))
+    there = meet(more.withColumn("_to", F.filter("_cells", lambda c: (c["away"] > F.col("_first")) & (
+        c["away"] - c["radius"] <= F.col("_bound") * (1 + 1e-9)))))
+    both = here.drop("rank").unionByName(there.drop("rank")).withColumn("rank", F.row_number().over(best))
+    return both.filter(F.col("rank") <= k).select(F.col("_q").alias(id_col), "neighbour", "neighbour_label", "sq_dist", "rank")
 
 
 def knn_vote(neigh: DataFrame, id_col: str, weights: str = "uniform") -> DataFrame:
@@ -155,7 +178,3 @@ def knn_vote(neigh: DataFrame, id_col: str, weights: str = "uniform") -> DataFra
     best = votes.groupBy(id_col).agg(F.max_by("neighbour_label",
                                                F.struct(F.col("_v"), -F.col("neighbour_label"))).alias("prediction"))
     return best
-
-
-def sq_distance(x: str, y: str, cx: float, cy: float) -> Column:
-    return sq_dist(x, y, cx, cy)
