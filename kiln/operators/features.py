@@ -12,19 +12,17 @@ from kiln.functions.columns import hash_code
 from kiln.operators.report import distinct_counts
 
 
-def category_values(df: DataFrame, column: str, max_values: int = 64) -> list:
-    """Distinct values of a categorical column, sorted. The list is small by
-    contract (checked): it becomes column names, not data."""
-    vals = [r[0] for r in df.select(column).distinct().limit(max_values + 1).collect()]
-    if len(vals) > max_values:
-        raise ValueError(f"{column} has more than {max_values} values; not categorical")
-    return sorted(v for v in vals if v is not None)
+def category_values(df: DataFrame, column: str) -> list:
+    """Distinct values of a categorical column, sorted. They become column
+    names, so there are as many as the wide table has columns."""
+    return sorted(r[0] for r in df.select(column).filter(F.col(column).isNotNull()).distinct().toLocalIterator())
 
 
 def one_hot(df: DataFrame, column: str, values: Sequence | None = None, keep: Sequence[str] = ()) -> DataFrame:
-    """Wide 0/1 columns ``<column>_<value>`` (dropLast=False)."""
+    """Wide 0/1 columns ``<column>_<value>`` (dropLast=False); a null is 0
+    in all of them."""
     values = list(values) if values is not None else category_values(df, column)
-    return df.select(*keep, *[(F.col(column) == F.lit(v)).cast("int").alias(f"{column}_{v}") for v in values])
+    return df.select(*keep, *[F.col(column).eqNullSafe(F.lit(v)).cast("int").alias(f"{column}_{v}") for v in values])
 
 
 def standardise(train: DataFrame, df: DataFrame, cols: Sequence[str], keep: Sequence[str] = (),
@@ -65,11 +63,6 @@ def assemble(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataF
     return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="skip").transform(df)
 
 
-def array_to_vector(df: DataFrame, column: str, out: str = "features") -> DataFrame:
-    from pyspark.ml.functions import array_to_vector as a2v
-    return df.withColumn(out, a2v(F.col(column)))
-
-
 def pca(df: DataFrame, vec: str, k: int = 2, out: str = "pca"):
     """E5: principal components of centred vectors -> (model, projected rows)."""
     from pyspark.ml.feature import StandardScaler

@@ -48,11 +48,13 @@ def running_sum(df: DataFrame, order: Sequence[Column | str], sums: Sequence[str
     # ids, and a lost executor re-reads it instead of re-sampling.
     checkpoint_dir(df.sparkSession)
     # the range sampler and the checkpoint both read the input: keep it once
-    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    own_cache = not (df.storageLevel.useMemory or df.storageLevel.useDisk)
+    src = df.persist(StorageLevel.MEMORY_AND_DISK) if own_cache else df
     tagged = (src.repartitionByRange(_parts(df, parts), *[F.col(k) for k in keys], *order)
               .withColumn(PID, F.spark_partition_id())
               .checkpoint(eager=True))
-    src.unpersist()
+    if own_cache:
+        src.unpersist()
     part_tot = tagged.groupBy(PID, *keys).agg(*[F.sum(s).alias(f"_pt_{s}") for s in sums])
     before = Window.partitionBy(*keys).orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = part_tot.select(PID, *keys, *[F.coalesce(F.sum(f"_pt_{s}").over(before), F.lit(0)).alias(f"_off_{s}")

@@ -143,7 +143,8 @@ def ks_two_sample(df: DataFrame, features: Sequence[str], cls: str, digits: int
     d = (cum.join(tot, "feature")
          .withColumn("gap", F.abs(safe_div("cum_c0", "n0") - safe_div("cum_c1", "n1")))
          .groupBy("feature", "n0", "n1").agg(F.max("gap").alias("d")))
-    en = F.sqrt(F.col("n0") * F.col("n1") / (F.col("n0") + F.col("n1")))
+    n0, n1 = F.col("n0").cast("double"), F.col("n1").cast("double")
+    en = F.sqrt(n0 * n1 / (n0 + n1))
     # p from the unrounded D (a same-select alias named d would shadow it)
     p = d.withColumn("p", F.round(ks_lambda_sf(en * F.col("d")), digits))
     return p.select("feature", F.round("d", digits).alias("d"), "n0", "n1", "p")
@@ -254,7 +255,33 @@ def auc(df: DataFrame, label: str, score: str, digits: int = 6) -> DataFrame:
     cum = running_sum(per, ["score"], ["neg"])
     agg = cum.agg(F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") / 2.0)).alias("_s"),
                   F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    return agg.select(F.round(F.try_divide(F.col("_s"), F.col("P") * F.col("N")), digits).alias("auc"), "P", "N")
+    return agg.select(F.round(F.try_divide(F.col("_s"), F.col("P").cast("double") * F.col("N")), digits).alias("auc"), "P", "N")
+
+
+def score_thresholds(df: DataFrame, label: str, score: str, digits: int = 6) -> DataFrame:
+    """Confusion counts and scores at every distinct score (positive
+    when score >= threshold)."""
+    per = _score_counts(df, label, score)
+    cum = running_sum(per, [F.desc("score")], ["pos", "neg"])
+    tot = per.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    P, N = tot.select("P").scalar(), tot.select("N").scalar()
+    c = cum.select(F.col("score").alias("threshold"), F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"))
+    c = c.withColumn("fn", P - F.col("tp")).withColumn("tn", N - F.col("fp"))
+    return binary_scores(c, digits)
+
+
+def pr_area(df: DataFrame, label: str, score: str, digits: int = 6) -> DataFrame:
+    """Area under the precision-recall curve over all distinct
+    scores, by trapezoids; the curve begins at recall 0 with the precision of
+    the highest score. A row's predecessor on the curve is its running count
+    less its own."""
+    cum = running_sum(_score_counts(df, label, score), [F.desc("score")], ["pos", "neg"])
+    tp, fp = F.col("cum_pos").cast("double"), F.col("cum_neg").cast("double")
+    tp0, fp0 = tp - F.col("pos"), fp - F.col("neg")
+    here = tp / (tp + fp)
+    before = F.when(tp0 + fp0 > 0, F.try_divide(tp0, tp0 + fp0)).otherwise(here)
+    area = F.sum(F.col("pos") * (here + before) / 2.0)
+    return cum.agg(F.round(F.try_divide(area, F.sum("pos").cast("double")), digits).alias("pr_auc"))
 
 
 def threshold_sweep(df: DataFrame, label: str, score: str, step: float = 0.005, digits: int = 6) -> DataFrame:
@@ -293,7 +320,3 @@ def rmse(df: DataFrame, y: str, pred: str, by: Sequence[str] = (), digits: int =
     """Root mean squared error (optionally per group)."""
     e = F.col(y) - F.col(pred)
     return df.groupBy(*by).agg(F.round(F.sqrt(F.avg(e * e)), digits).alias("rmse"), F.count(F.lit(1)).alias("n"))
-
-
-def unpivot_text(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    return unpivot_str(df, features, keep)

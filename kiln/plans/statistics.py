@@ -153,6 +153,45 @@ def auc_hard(spark, sf):
     return ST.auc(V.scored(spark, sf), "label", "prediction")
 
 
+_CURVE_SQL = """
+WITH per AS (SELECT CAST({score} AS DOUBLE) AS score, CAST(count_if(label = 1) AS BIGINT) AS pos,
+                    CAST(count_if(label <> 1) AS BIGINT) AS neg FROM v_scored GROUP BY 1),
+c AS (SELECT score, pos, neg, CAST(sum(pos) OVER w AS BIGINT) AS tp, CAST(sum(neg) OVER w AS BIGINT) AS fp,
+             CAST(sum(pos) OVER () AS BIGINT) AS P, CAST(sum(neg) OVER () AS BIGINT) AS N
+      FROM per WINDOW w AS (ORDER BY score DESC ROWS UNBOUNDED PRECEDING))"""
+
+
+def _pr_sql(score: str) -> str:
+    return _CURVE_SQL.format(score=score) + """,
+p AS (SELECT *, CAST(tp AS DOUBLE) / (tp + fp) AS here FROM c),
+l AS (SELECT *, coalesce(lag(here) OVER (ORDER BY score DESC), here) AS before FROM p)
+SELECT round(sum(pos * (here + before) / 2) / nullif(CAST(sum(pos) AS DOUBLE), 0), 6) AS pr_auc FROM l"""
+
+
+@query("pr_auc", _pr_sql("score"))
+def pr_auc(spark, sf):
+    """Area under the precision-recall curve of the scored labels."""
+    return ST.pr_area(V.scored(spark, sf), "label", "score")
+
+
+@query("pr_auc_hard", _pr_sql("prediction"))
+def pr_auc_hard(spark, sf):
+    """The same of hard predictions."""
+    return ST.pr_area(V.scored(spark, sf), "label", "prediction")
+
+
+@query("score_thresholds", _CURVE_SQL.format(score="score") + """
+SELECT score AS threshold, tp, fp, P - tp AS fn, N - fp AS tn,
+       round(CAST(tp + N - fp AS DOUBLE) / nullif(P + N, 0), 6) AS accuracy,
+       round(CAST(tp AS DOUBLE) / nullif(tp + fp, 0), 6) AS precision, round(CAST(tp AS DOUBLE) / nullif(P, 0), 6) AS recall,
+       round(2 * (CAST(tp AS DOUBLE) / nullif(tp + fp, 0)) * (CAST(tp AS DOUBLE) / nullif(P, 0))
+             / nullif(CAST(tp AS DOUBLE) / nullif(tp + fp, 0) + CAST(tp AS DOUBLE) / nullif(P, 0), 0), 6) AS f1
+FROM c""")
+def score_thresholds(spark, sf):
+    """Confusion counts and scores at every distinct score."""
+    return ST.score_thresholds(V.scored(spark, sf), "label", "score")
+
+
 @query("threshold_sweep", """
 WITH t AS (SELECT i * CAST(0.005 AS DOUBLE) AS threshold FROM range(0, 201) r(i)),
 c AS (SELECT t.threshold,
