@@ -10,6 +10,8 @@ are persisted once and unpersisted after.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline
@@ -21,13 +23,15 @@ from pyspark.ml.evaluation import (BinaryClassificationEvaluator, ClusteringEval
 from pyspark.ml.feature import (IDF, CountVectorizer, OneHotEncoder, StopWordsRemover, StringIndexer,
                                 VectorAssembler, Word2Vec)
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.recommendation import ALS
+from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kiln.operators.similarity import assign_to_centres
+from kiln.operators.prefix import dense_index
+from kiln.operators.sampling import sample_fraction
+from kiln.operators.similarity import sq_euclid
 from kiln.session import checkpoint_dir
 
 # ---- clustering --------------------------------------------------------------------
@@ -37,23 +41,23 @@ def fit_kmeans(df: DataFrame, vec: str, k: int, seed: int = 1, max_iter: int = 2
     return KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol=vec, predictionCol="cluster").fit(df)
 
 
-def kmeans_costs(df: DataFrame, vec_array: str, ks: Sequence[int], fit_fraction: float = 0.2,
+def kmeans_costs(df: DataFrame, vec_array: str, ks: Sequence[int], key: str, fit_fraction: float = 0.2,
                  seed: int = 1) -> DataFrame:
-    """For each k fit on a sample and cost (sum of squared distances to
-    the nearest centre) on all rows. Centres (k x dims literals) are applied
-    by a native expression; all costs come from one union of aggregates."""
-    data = df.select(vec_array, array_to_vector(vec_array).alias("_v")).persist(StorageLevel.MEMORY_AND_DISK)
-    sample = data.sample(False, fit_fraction, seed)
-    costs = []
-    for k in ks:
-        centres = [c.tolist() for c in fit_kmeans(sample, "_v", k, seed).clusterCenters()]
-        a = assign_to_centres(df.select(vec_array), vec_array, centres, digits=12)
-        costs.append(a.agg(F.lit(k).alias("k"), F.round(F.sum("sq_dist"), 6).alias("cost")))
-    data.unpersist()  # the cache served the fits; the costs are one lazy pass over the input
-    out = costs[0]
-    for c in costs[1:]:
-        out = out.unionByName(c)
-    return out
+    """For each k fit on a keyed sample and cost (sum of squared distances
+    to the nearest centre) on all rows. The fits run a few at a time; all
+    costs come from one aggregate with an expression per k, in one pass."""
+    sample = (sample_fraction(df, fit_fraction, key, seed).select(array_to_vector(vec_array).alias("_v"))
+              .persist(StorageLevel.MEMORY_AND_DISK))
+    with ThreadPool(4) as pool:
+        centres = pool.map(lambda k: [c.tolist() for c in fit_kmeans(sample, "_v", k, seed).clusterCenters()], list(ks))
+    sample.unpersist()
+    near = []
+    for k, cs in zip(ks, centres):
+        table = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in cs])
+        near.append(F.array_min(F.transform(table, lambda c: sq_euclid(F.col(vec_array), c))).alias(f"d{k}"))
+    sums = df.select(*near).agg(*[F.round(F.sum(f"d{k}"), 6).alias(f"d{k}") for k in ks])
+    return sums.unpivot([], [f"d{k}" for k in ks], "k", "cost").select(
+        F.substring("k", 2, 9).cast("int").alias("k"), "cost")
 
 
 def silhouette(pred: DataFrame, vec: str, cluster: str = "cluster") -> float:
@@ -64,9 +68,11 @@ def silhouette(pred: DataFrame, vec: str, cluster: str = "cluster") -> float:
 
 
 def count_vectors(df: DataFrame, tokens: str, min_df: float = 2.0, max_df: float | None = None,
-                  vocab_size: int = 1 << 18, idf: bool = True):
-    """N7 as Spark ML: CountVectorizer (+ IDF with the same minimum)."""
-    cv = CountVectorizer(inputCol=tokens, outputCol="tf_vec", minDF=min_df, vocabSize=vocab_size)
+                  vocab_size: int | None = None, idf: bool = True):
+    """N7 as Spark ML: CountVectorizer (+ IDF with the same minimum). Without
+    ``vocab_size`` the vocabulary is as large as the terms are many."""
+    cv = CountVectorizer(inputCol=tokens, outputCol="tf_vec", minDF=min_df,
+                         vocabSize=vocab_size or distinct_terms(df, tokens))
     if max_df is not None:
         cv.setMaxDF(max_df)
     stages = [cv] + ([IDF(inputCol="tf_vec", outputCol="tfidf_vec", minDocFreq=int(min_df) if min_df >= 1 else 0)]
@@ -75,6 +81,11 @@ def count_vectors(df: DataFrame, tokens: str, min_df: float = 2.0, max_df: float
     return model, model.transform(df)
 
 
+def distinct_terms(df: DataFrame, tokens: str) -> int:
+    """Number of different terms, as a vocabulary size that cuts none."""
+    return max(df.select(F.explode(tokens).alias("t")).distinct().count(), 1)
+
+
 def fit_lda(df: DataFrame, vec: str, k: int, optimizer: str = "online", seed: int = 666, max_iter: int = 20):
     return LDA(k=k, seed=seed, optimizer=optimizer, maxIter=max_iter, featuresCol=vec).fit(df)
 
@@ -110,10 +121,11 @@ def text_pipeline(train: DataFrame, text: str, pattern: str = r"\W", min_df: flo
     """Tokenizer -> stop words -> counts, fitted once on ``train``; the
     fitted PipelineModel is then applied to any new rows."""
     from pyspark.ml.feature import RegexTokenizer
-    stages = [RegexTokenizer(inputCol=text, outputCol="_words", pattern=pattern),
-              StopWordsRemover(inputCol="_words", outputCol="_filtered"),
-              CountVectorizer(inputCol="_filtered", outputCol="tf_vec", minDF=min_df)]
-    return Pipeline(stages=stages).fit(train)
+    prepare = [RegexTokenizer(inputCol=text, outputCol="_words", pattern=pattern),
+               StopWordsRemover(inputCol="_words", outputCol="_filtered")]
+    size = distinct_terms(Pipeline(stages=prepare).fit(train).transform(train), "_filtered")
+    return Pipeline(stages=[*prepare, CountVectorizer(inputCol="_filtered", outputCol="tf_vec", minDF=min_df,
+                                                      vocabSize=size)]).fit(train)
 
 
 # ---- classification and evaluation ---------------------------------------------------------
@@ -158,7 +170,8 @@ def fit_predict(kind: str, train: DataFrame, test: DataFrame, stages: list, labe
 
 def auc_of(pred: DataFrame, label: str, metric: str = "areaUnderROC") -> float:
     col = "probability" if "probability" in pred.columns else "rawPrediction"
-    return BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=col, metricName=metric).evaluate(pred)
+    return BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=col, metricName=metric,
+                                         numBins=0).evaluate(pred)
 
 
 def cross_val(df: DataFrame, kind: str, stages: list, label: str, folds: int = 5, grid=None,
@@ -170,17 +183,25 @@ def cross_val(df: DataFrame, kind: str, stages: list, label: str, folds: int = 5
     grid = grid if grid is not None else ParamGridBuilder().build()
     if grid and isinstance(grid[0], dict) and grid[0]:
         grid = [{est.getParam(p.name): v for p, v in g.items()} for g in grid]
-    ev = BinaryClassificationEvaluator(labelCol=label)
+    ev = BinaryClassificationEvaluator(labelCol=label, numBins=0)
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=ev, numFolds=folds,
                         parallelism=parallelism, seed=seed)
     return cv.fit(df)
 
 
-def importance(model, names: Sequence[str], spark) -> DataFrame:
-    """Feature importances (trees) or coefficients (linear), named."""
+def vector_names(df: DataFrame, vec: str) -> list[str]:
+    """Names of a vector column's entries, from the metadata that the
+    assembler left in its schema."""
+    groups = df.schema[vec].metadata["ml_attr"]["attrs"]
+    return [a["name"] for a in sorted((a for g in groups.values() for a in g), key=lambda a: a["idx"])]
+
+
+def importance(model, pred: DataFrame, spark, vec: str = "features") -> DataFrame:
+    """Feature importances (trees) or coefficients (linear), named from
+    the vector metadata of the transformed rows ``pred``."""
     last = model.stages[-1] if hasattr(model, "stages") else model
     vals = last.featureImportances.toArray() if hasattr(last, "featureImportances") else last.coefficients.toArray()
-    rows = [(n, float(v)) for n, v in zip(names, vals)]
+    rows = [(n, float(v)) for n, v in zip(vector_names(pred, vec), vals, strict=True)]
     return spark.createDataFrame(rows, "feature string, value double").orderBy(F.desc(F.abs("value")), "feature")
 
 
@@ -189,21 +210,56 @@ def importance(model, names: Sequence[str], spark) -> DataFrame:
 
 def fit_als(ratings: DataFrame, rank: int = 12, iters: int = 10, reg: float = 0.2, seed: int = 42,
             user: str = "user_id", item: str = "item_id", rating: str = "rating"):
-    """ALS on (user, item, rating); ids must fit in int. The factor
-    lineage is cut every 10 iterations in the shared checkpoint folder."""
+    """ALS on (user, item, rating). Ids of any size or type are mapped to
+    dense numbers first, as ALS needs ints; ``IndexedAls`` maps them back. The
+    factor lineage is cut every 10 iterations in the shared checkpoint folder."""
     checkpoint_dir(ratings.sparkSession)
-    als = ALS(rank=rank, maxIter=iters, regParam=reg, seed=seed, userCol=user, itemCol=item, ratingCol=rating,
+    als = ALS(rank=rank, maxIter=iters, regParam=reg, seed=seed, userCol="_user", itemCol="_item", ratingCol="_rating",
               coldStartStrategy="nan", checkpointInterval=10)
-    src = ratings.select(F.col(user).cast("int").alias(user), F.col(item).cast("int").alias(item),
-                         F.col(rating).cast("float").alias(rating))
-    return als.fit(src)
+    users, items = dense_index(ratings, user, "_user"), dense_index(ratings, item, "_item")
+    src = ratings.join(users, user).join(items, item).select(
+        F.col("_user").cast("int").alias("_user"), F.col("_item").cast("int").alias("_item"),
+        F.col(rating).cast("float").alias("_rating"))
+    return IndexedAls(als.fit(src), users, items)
+
+
+@dataclass
+class IndexedAls:
+    """A fitted ALS model with the tables that map ids to its numbers."""
+    model: ALSModel
+    users: DataFrame
+    items: DataFrame
+
+    def transform(self, pairs: DataFrame, user: str = "user_id", item: str = "item_id") -> DataFrame:
+        """``pairs`` with ``prediction``; NaN where user or item is unknown."""
+        numbered = pairs.join(self.users, user, "left").join(self.items, item, "left")
+        numbered = numbered.withColumns({c: F.coalesce(F.col(c).cast("int"), F.lit(-1)) for c in ("_user", "_item")})
+        return self.model.transform(numbered).drop("_user", "_item")
+
+    def user_factors(self, user: str = "user_id") -> DataFrame:
+        """(user, features) for every user of the training ratings."""
+        return self.users.join(self.model.userFactors.withColumnRenamed("id", "_user"), "_user").drop("_user")
+
+    def recommend(self, users: DataFrame, n: int, rated: DataFrame, user: str = "user_id",
+                  item: str = "item_id") -> DataFrame:
+        """The n best items that each of ``users`` has not rated, by rank. As
+        many more are asked of the model as one of the users has rated."""
+        most = rated.join(users.select(user).distinct(), user, "left_semi").groupBy(user).count().agg(F.max("count")).first()[0]
+        asked = self.users.join(users.select(user).distinct(), user).select(F.col("_user").cast("int").alias("_user"))
+        recs = self.model.recommendForUserSubset(asked, n + int(most or 0))
+        recs = recs.select("_user", F.explode("recommendations").alias("r")).select(
+            "_user", F.col("r._item").alias("_item"), F.col("r.rating").cast("double").alias("pred"))
+        named = recs.join(self.users, "_user").join(self.items, "_item").drop("_user", "_item")
+        left = named.join(rated.select(user, item), [user, item], "left_anti")
+        best = Window.partitionBy(user).orderBy(F.desc("pred"), item)
+        return left.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= n)
 
 
 def predict_pairs(model, pairs: DataFrame, fill: float | None = 3.7, upper: float | None = 5.0,
                   user: str = "user_id", item: str = "item_id") -> DataFrame:
     """Predictions for given pairs; pairs the model cannot score
     (unseen user or item) get ``fill``; the upper clip only, as the reference."""
-    p = model.transform(pairs.withColumn(user, F.col(user).cast("int")).withColumn(item, F.col(item).cast("int")))
+    p = model.transform(pairs, user, item)
     pred = F.when(F.isnan("prediction"), F.lit(None)).otherwise(F.col("prediction").cast("double"))
     if fill is not None:
         pred = F.coalesce(pred, F.lit(float(fill)))
@@ -212,18 +268,25 @@ def predict_pairs(model, pairs: DataFrame, fill: float | None = 3.7, upper: floa
     return p.withColumn("pred", pred).drop("prediction")
 
 
-def als_grid(train: DataFrame, valid: DataFrame, ranks: Sequence[int], regs: Sequence[float], iters: int = 10,
+def als_grid(train: DataFrame, valid: DataFrame, holdout: DataFrame, settings: Sequence[tuple[int, float, int]],
              seed: int = 42) -> DataFrame:
-    """Validation RMSE for every (rank, reg); inputs persisted for the loop."""
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    """Validation RMSE for every (rank, reg, iterations) and, for the best
+    one, the RMSE on ``holdout``; train is persisted for the loop unless the
+    caller has done so."""
+    own = not (train.storageLevel.useMemory or train.storageLevel.useDisk)
+    train = train.persist(StorageLevel.MEMORY_AND_DISK) if own else train
     ev = RegressionEvaluator(metricName="rmse", labelCol="rating", predictionCol="pred")
-    rows = []
-    for r in ranks:
-        for g in regs:
-            m = fit_als(train, rank=r, iters=iters, reg=g, seed=seed)
-            rows.append((r, g, float(ev.evaluate(predict_pairs(m, valid)))))
-    train.unpersist()
-    return train.sparkSession.createDataFrame(rows, "rank int, reg double, rmse double")
+    rows, best = [], None
+    for rank, reg, iters in settings:
+        m = fit_als(train, rank=rank, iters=iters, reg=reg, seed=seed)
+        rows.append((rank, reg, iters, float(ev.evaluate(predict_pairs(m, valid)))))
+        if best is None or rows[-1][3] < best[0]:
+            best = rows[-1][3], m
+    held = float(ev.evaluate(predict_pairs(best[1], holdout)))
+    if own:
+        train.unpersist()
+    out = [(*r, held if r[3] == best[0] else None) for r in rows]
+    return train.sparkSession.createDataFrame(out, "rank int, reg double, iters int, rmse double, holdout_rmse double")
 
 
 def forecast_linear(windows: DataFrame, train_flag: str = "is_train"):

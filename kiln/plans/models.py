@@ -3,8 +3,11 @@ classifiers, tuning, ALS, forecasting, Word2Vec."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kiln.functions.words import PLOT_STOPWORDS, SPARK_ENGLISH
@@ -78,27 +81,28 @@ def fit_gbt(spark, sf):
 
 @query("compare_models")
 def compare_models(spark, sf):
-    """Several models on one split; one row per model."""
-    train, test = _customers_split(spark, sf)
+    """Several models on one split, which is kept over the fits;
+    one row per model."""
+    train, test = (x.persist() for x in _customers_split(spark, sf))
     rows = []
     for kind in ("logreg", "forest", "gbt", "svc"):
         _, pred = M.fit_predict(kind, train, test, _cust_stages(), "label")
         sc = ST.binary_scores(ST.confusion(pred, "label", "prediction"))
-        rows.append(sc.withColumn("model", F.lit(kind))
-                    .withColumn("auc", F.lit(round(M.auc_of(pred, "label"), 6))))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+        row = sc.withColumn("model", F.lit(kind)).withColumn("auc", F.lit(round(M.auc_of(pred, "label"), 6)))
+        rows.append(spark.createDataFrame(row.collect(), row.schema))  # one row
+    train.unpersist()
+    test.unpersist()
+    return reduce(DataFrame.unionByName, rows)
 
 
 @query("cv_scores")
 def cv_scores(spark, sf):
-    """M6: 5-fold cross-validated ROC AUC per model (empty grid)."""
+    """M6: 5-fold cross-validated ROC AUC per model (empty grid); kNN is
+    scored by ``knn_classify``, which has no model to fit."""
     train, _ = _customers_split(spark, sf)
     train = train.persist()
     rows = []
-    for kind in ("logreg", "forest"):
+    for kind in ("logreg", "forest", "gbt", "svc"):
         cvm = M.cross_val(train, kind, _cust_stages(), "label", folds=5)
         rows.append((kind, float(cvm.avgMetrics[0])))
     train.unpersist()
@@ -125,20 +129,8 @@ def grid_search(spark, sf):
 def feature_importance(spark, sf):
     """Random-forest importances with feature names."""
     train, test = _customers_split(spark, sf)
-    model, _ = M.fit_predict("forest", train, test, _cust_stages(), "label")
-    segs = FE.category_values(train, "segment")
-    names = CUST_NUM + [f"segment_{s}" for s in segs] + ["segment_unknown"]
-    return M.importance(model, names, spark)
-
-
-@query("pr_auc")
-def pr_auc(spark, sf):
-    """Area under the precision-recall curve of the scored labels."""
-    from pyspark.ml.evaluation import BinaryClassificationEvaluator
-    s = V.scored(spark, sf).withColumn("label", F.col("label").cast("double"))
-    v = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="score",
-                                      metricName="areaUnderPR").evaluate(s)
-    return spark.createDataFrame([(round(float(v), 6),)], "pr_auc double")
+    model, pred = M.fit_predict("forest", train, test, _cust_stages(), "label")
+    return M.importance(model, pred, spark)
 
 
 # ---- clustering, topics, projections --------------------------------------------------------
@@ -154,7 +146,7 @@ def kmeans_points(spark, sf):
 @query("kmeans_elbow")
 def kmeans_elbow(spark, sf):
     """Cost for k = 2..20, fitted on a 20 % sample, cost on all points."""
-    return M.kmeans_costs(V.points(spark, sf), "features", range(2, 21), fit_fraction=0.2, seed=1)
+    return M.kmeans_costs(V.points(spark, sf), "features", range(2, 21), "point_id", fit_fraction=0.2, seed=1)
 
 
 @query("silhouette")
@@ -177,16 +169,13 @@ def kmeans_docs(spark, sf):
 
 @query("cluster_members")
 def cluster_members(spark, sf):
-    """Per k-means cluster of the plots, its size and the titles of its
-    first five members (a bounded top-n per cluster, never a whole group)."""
-    from kiln.operators.report import top_per_key
+    """Every plot's title with its k-means cluster and that cluster's
+    size: a row per title, so a large cluster is never one group."""
     m = TX.drop_stopwords(TX.tokens(V.movies(spark, sf), "plot", PLOT_SPLIT), "tokens", PLOT_STOPWORDS)
     _, vec = M.count_vectors(m, "tokens", min_df=0.1, max_df=0.8, vocab_size=2000)
     pred = M.fit_kmeans(vec, "tfidf_vec", 5, seed=1).transform(vec).select("movie_id", "title", "cluster")
     sizes = pred.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
-    first = top_per_key(pred, "cluster", [F.asc("movie_id")], 5)
-    titles = first.groupBy("cluster").agg(F.sort_array(F.collect_list(F.struct("rank", "title"))).alias("_t"))
-    return sizes.join(titles, "cluster").select("cluster", "n", F.transform("_t", lambda x: x["title"]).alias("titles"))
+    return pred.join(sizes, "cluster").select("cluster", "n", "movie_id", "title")
 
 
 @query("lda_em")
@@ -258,16 +247,19 @@ def text_pipeline(spark, sf):
 
 @query("forecast_next")
 def forecast_next(spark, sf):
-    """Next price from the previous 3, one linear model over all series,
-    fitted on the first 80 % of each series' windows; APE on the rest."""
+    """Next price from the previous T = 3, 5, 7, 10, a linear model over
+    all series for each T, fitted on the first 80 % of each series' windows;
+    APE on the rest."""
     prices = V.prices(spark, sf)
-    w = SE.lag_windows(prices, "name", "date", "price", 3)
-    n = w.groupBy("name").agg(F.count(F.lit(1)).alias("_n"))
-    pos = SE.positions(w.drop("pos"), "name", "date")
-    flagged = pos.join(n, "name").withColumn("is_train", F.col("pos") <= F.floor(F.col("_n") * 0.8))
-    _, pred = M.forecast_linear(flagged)
-    return SE.ape(pred, "y", "pred").select("name", "date", "y", F.round("pred", 6).alias("pred"),
-                                            F.round("ape", 6).alias("ape"))
+    n = prices.groupBy("name").agg(F.count(F.lit(1)).alias("_n"))
+    parts = []
+    for t in (3, 5, 7, 10):
+        w = SE.lag_windows(prices, "name", "date", "price", t).join(n, "name")
+        flagged = w.withColumn("is_train", F.col("pos") - t <= F.floor((F.col("_n") - t) * 0.8))
+        _, pred = M.forecast_linear(flagged)
+        parts.append(SE.ape(pred, "y", "pred").select(F.lit(t).alias("t"), "name", "date", "y", F.round("pred", 6).alias("pred"),
+                                                      F.round("ape", 6).alias("ape")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 # ---- ALS ------------------------------------------------------------------------------
@@ -279,7 +271,7 @@ ALS_RANK, ALS_REG, ALS_ITERS = 12, 0.2, 10
 def als_fit(spark, sf):
     """ALS (rank 12, lambda 0.2, 10 iterations); the user factors."""
     model = M.fit_als(V.ratings_train(spark, sf), ALS_RANK, ALS_ITERS, ALS_REG)
-    return model.userFactors.select(F.col("id").alias("user_id"), F.size("features").alias("rank"))
+    return model.user_factors().select("user_id", F.size("features").alias("rank"))
 
 
 @query("als_predict")
@@ -293,11 +285,39 @@ def als_predict(spark, sf):
 
 @query("als_grid")
 def als_grid(spark, sf):
-    """Validation RMSE over rank x lambda on a key-hash split of train."""
+    """Validation RMSE over rank x lambda and rank x iterations on a
+    key-hash split (6, 2, 2) of train, and the holdout RMSE of the best."""
     r = V.ratings_train(spark, sf).withColumn("pair", F.concat_ws(":", "user_id", "item_id"))
-    s = SM.hash_split(r, "pair", [8, 2], seed=9)
-    train, valid = s.filter("split = 0").drop("pair", "split"), s.filter("split = 1").drop("pair", "split")
-    return M.als_grid(train, valid, ranks=(4, 8, 12), regs=(0.1, 0.2), iters=ALS_ITERS)
+    s = SM.hash_split(r, "pair", [6, 2, 2], seed=9)
+    train, valid, holdout = (s.filter(F.col("split") == i).drop("pair", "split") for i in range(3))
+    settings = [(k, reg, ALS_ITERS) for k in (4, 8, 12) for reg in (0.1, 0.2)] + [(k, 0.2, 5) for k in (4, 8, 12)]
+    return M.als_grid(train, valid, holdout, settings)
+
+
+@query("als_refit")
+def als_refit(spark, sf):
+    """A new user's ten ratings are appended, the model is fitted anew
+    and scores the new user's unrated items."""
+    train = V.ratings_train(spark, sf).select("user_id", "item_id", "rating")
+    new_user = -1
+    items = train.select("item_id").distinct()
+    first = SM.sample_n(items, 10, "item_id", seed=4)
+    new = first.select(F.lit(new_user).cast(train.schema["user_id"].dataType).alias("user_id"), "item_id",
+                       (1 + F.col("item_id") % 5).cast("double").alias("rating"))
+    every = train.unionByName(new)
+    model = M.fit_als(every, ALS_RANK, ALS_ITERS, ALS_REG)
+    cand = RC.unrated_items(every, new_user)
+    return M.predict_pairs(model, cand, fill=None).select("user_id", "item_id", F.round("pred", 6).alias("pred"))
+
+
+@query("recommend_many_users")
+def recommend_many_users(spark, sf):
+    """R5 for many users: the ten best unrated items of every 20th user."""
+    train = V.ratings_train(spark, sf)
+    model = M.fit_als(train, ALS_RANK, ALS_ITERS, ALS_REG)
+    users = train.select("user_id").distinct().filter(F.col("user_id") % 20 == 0)
+    r = model.recommend(users, 10, train)
+    return r.select("user_id", "item_id", F.round("pred", 6).alias("pred"), "rank")
 
 
 @query("recommend_top_n")
