@@ -16,16 +16,16 @@ from kiln.streaming.intake import item_stats_stream, read_stats
 SELECT item_id, count(*) AS n, round(sum(rating), 6) AS total, round(avg(rating), 6) AS mean
 FROM v_ratings_train GROUP BY item_id""")
 def intake_item_stats(spark, sf):
-    """The train ratings arrive as 8 files; a Structured Streaming query
-    takes one file per micro-batch and keeps per-item count and sum in its
-    state store. After all files the published table must equal the batch
+    """The train ratings arrive as files, a few per core; a Structured
+    Streaming query takes an eighth of them per micro-batch and keeps per-item
+    count and sum in its state store. After all files the published table must equal the batch
     ``item_rating_stats``."""
     run = scratch_path(spark, f"intake-{uuid.uuid4().hex}")
     ratings = V.ratings_train(spark, sf).select("user_id", F.col("item_id").cast("int"), "rating")
-    ratings.repartition(8, "user_id").write.parquet(f"{run}/in")
     # one state partition per core: the state is one row per item
     parts = spark.sparkContext.defaultParallelism
-    q = item_stats_stream(spark, f"{run}/in", f"{run}/out", f"{run}/state", files_per_batch=1,
+    ratings.repartition(parts, "user_id").write.parquet(f"{run}/in")
+    q = item_stats_stream(spark, f"{run}/in", f"{run}/out", f"{run}/state", files_per_batch=-(-parts // 8),
                           state_partitions=parts)
     q.awaitTermination()
     return read_stats(spark, f"{run}/out")

@@ -29,7 +29,7 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType | str, h
     byte-order mark ignored. Gzip files are one split each, so callers
     repartition after reading large ones."""
     if isinstance(schema, str):
-        schema = T._parse_datatype_string(schema)
+        schema = T.StructType.fromDDL(schema)
     r = (spark.read.schema(_with_corrupt(schema)).option("header", header).option("sep", sep)
          .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE")
          .option("columnNameOfCorruptRecord", CORRUPT)
@@ -79,3 +79,8 @@ def save_model(model, path: str) -> None:
 def load_model(cls, path: str):
     """Reload with the model's class, e.g. ``ALSModel``."""
     return cls.load(path)
+
+
+def register_view(df: DataFrame, name: str) -> None:
+    """Make a table known to ``spark.sql`` under a name."""
+    df.createOrReplaceTempView(name)

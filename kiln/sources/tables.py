@@ -16,15 +16,9 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Spread the rows over the cluster when the scan yields fewer
-    partitions than there are cores (one large file or row group), before
-    CPU-heavy per-row work such as tokenising whole texts. A scan that is
-    already split (the normal case on big inputs) is left as it is, so no
-    extra shuffle is paid at scale. With ``key`` (a unique row id) the rows
-    are hash-partitioned on it, so later aggregates keyed by (key, ...) --
-    term counts per document -- need no further shuffle."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores, key) if key else df.repartition(cores)
-    return df
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash the rows on ``key`` (a unique row id) before CPU-heavy per-row
+    work such as tokenising whole texts: one plan at every size, and later
+    aggregates keyed by (key, ...) -- term counts per document -- need no
+    further shuffle."""
+    return df.repartition(key)

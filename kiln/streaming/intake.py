@@ -3,7 +3,7 @@
 New rating files land in a folder; a Structured Streaming query reads them
 with a declared schema, keeps the running count and sum per item in the
 state store (checkpointed, so a restarted or re-tried query resumes exactly
-once), and after every micro-batch writes the item statistics table. The
+once), and after every micro-batch writes the statistics that changed. The
 latest-wins replacement of a user's earlier rating is a batch operation
 (``kiln.operators.clean.append_latest``); the stream counts arrivals.
 """
@@ -21,33 +21,32 @@ def item_stats_stream(spark: SparkSession, in_dir: str, out_dir: str, checkpoint
                       files_per_batch: int = 1, available_now: bool = True,
                       state_partitions: int | None = None) -> StreamingQuery:
     """Start the intake query: files in ``in_dir`` -> per-item count, sum and
-    mean in ``out_dir`` (parquet, replaced after each batch).
+    mean in ``out_dir``, update mode: each micro-batch writes only the items it
+    changed, to a folder of its epoch. A batch that is run again replaces its
+    own folder, and readers always see whole epochs.
 
     ``state_partitions`` sizes the state store (fixed in the checkpoint at the
-    first start); by default the session's shuffle partitions are used."""
-    src = (spark.readStream.schema(RATING_SCHEMA).option("maxFilesPerTrigger", files_per_batch)
+    first start); the query runs in a session of its own, so the caller's
+    settings stay as they are."""
+    own = spark.newSession()
+    if state_partitions is not None:
+        own.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    src = (own.readStream.schema(RATING_SCHEMA).option("maxFilesPerTrigger", files_per_batch)
            .parquet(in_dir))
     stats = src.groupBy("item_id").agg(F.count(F.lit(1)).alias("n"), F.sum("rating").alias("total"))
 
     def publish(batch: DataFrame, epoch: int) -> None:
-        # complete mode: the batch holds every item's current totals
-        (batch.withColumn("mean", F.col("total") / F.col("n"))
-         .write.mode("overwrite").parquet(out_dir))
+        batch.write.mode("overwrite").parquet(f"{out_dir}/epoch={epoch}")
 
-    w = (stats.writeStream.outputMode("complete").foreachBatch(publish)
+    w = (stats.writeStream.outputMode("update").foreachBatch(publish)
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
-    if state_partitions is None:
-        return w.start()
-    # the query snapshots the session conf when it starts
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
-    try:
-        return w.start()
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+    return w.start()
 
 
 def read_stats(spark: SparkSession, out_dir: str, digits: int = 6) -> DataFrame:
-    s = spark.read.parquet(out_dir)
-    return s.select("item_id", "n", F.round("total", digits).alias("total"), F.round("mean", digits).alias("mean"))
+    """The latest statistics of each item."""
+    s = spark.read.schema("item_id int, n long, total double, epoch long").parquet(out_dir)
+    now = s.groupBy("item_id").agg(F.max_by(F.struct("n", "total"), "epoch").alias("s")).select("item_id", "s.*")
+    return now.select("item_id", "n", F.round("total", digits).alias("total"),
+                      F.round(F.col("total") / F.col("n"), digits).alias("mean"))
