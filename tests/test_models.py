@@ -32,7 +32,7 @@ def test_kmeans_finds_far_blobs_and_cost_falls(spark):
     model = M.fit_kmeans(df, "v", 3, seed=3)
     got = sorted((round(c[0]), round(c[1])) for c in model.clusterCenters())
     assert all(min(abs(g[0] - cx) + abs(g[1] - cy) for cx, cy in centres) < 3 for g in got)
-    costs = {r["k"]: r["cost"] for r in M.kmeans_costs(df.select("p"), "p", [2, 3, 4], fit_fraction=1.0).collect()}
+    costs = {r["k"]: r["cost"] for r in M.kmeans_costs(df.withColumn("id", F.monotonically_increasing_id()).select("id", "p"), "p", [2, 3, 4], "id", fit_fraction=1.0).collect()}
     assert costs[2] > costs[3] >= costs[4] * 0.999
 
 
@@ -72,3 +72,30 @@ def test_pearson_p_values(spark):
     assert got["a"]["p"] < 1.0 and 0.0 <= got["noise"]["p"] <= 1.0
     strong = {r["feature"]: r for r in ST.pearson_p(df, ["b"], "a").collect()}
     assert strong["b"]["r"] > 0.99 and strong["b"]["p"] == 0.0
+
+
+def test_als_takes_ids_beyond_int_and_strings(spark):
+    rows = [((1 << 40) + u, f"item{i}", float(1 + (u + i) % 5)) for u in range(12) for i in range(9) if (u + i) % 3]
+    df = spark.createDataFrame(rows, "user_id long, item_id string, rating double")
+    model = M.fit_als(df, rank=2, iters=3, reg=0.1)
+    pairs = spark.createDataFrame([((1 << 40) + 1, "item1"), (5, "item1"), ((1 << 40) + 2, "other")], "user_id long, item_id string")
+    got = {(r["user_id"], r["item_id"]): r["pred"] for r in M.predict_pairs(model, pairs, fill=3.7).collect()}
+    assert got[(5, "item1")] == 3.7 and got[((1 << 40) + 2, "other")] == 3.7 and got[((1 << 40) + 1, "item1")] != 3.7
+    users = df.select("user_id").distinct()
+    top = model.recommend(users, 2, df).collect()
+    rated = {(r[0], r[1]) for r in rows}
+    assert top and all((r["user_id"], r["item_id"]) not in rated and r["rank"] <= 2 for r in top)
+    assert len({(r["user_id"], r["item_id"]) for r in top}) == len(top) == 12 * 2
+
+
+def test_importance_is_named_from_the_vector(spark):
+    df = spark.createDataFrame([(float(i % 7), "a" if i % 3 else "b", float(i % 2)) for i in range(60)], "x double, c string, label double")
+    model, pred = M.fit_predict("forest", df, df, M.feature_pipeline(["x"], ["c"]), "label", numTrees=3)
+    names = {r["feature"] for r in M.importance(model, pred, spark).collect()}
+    assert {"x", "c_vec_a", "c_vec_b"} <= names
+
+
+def test_vocabulary_is_not_cut(spark):
+    df = spark.createDataFrame([([f"t{i}" for i in range(300)],)], "tokens array<string>")
+    cvm, _ = M.count_vectors(df, "tokens", min_df=1.0, idf=False)
+    assert len(cvm.stages[0].vocabulary) == 300

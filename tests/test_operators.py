@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kiln.operators import clean as CL
+from kiln.operators import features as FE
 from kiln.operators import recommend as RC
 from kiln.operators import report as R
 from kiln.operators import sampling as SM
@@ -138,8 +139,11 @@ def test_sample_n_exact_and_stable(spark):
     df = spark.range(0, 500).withColumnRenamed("id", "k")
     a = {r["k"] for r in SM.sample_n(df, 37, "k").collect()}
     b = {r["k"] for r in SM.sample_n(df.repartition(7), 37, "k").collect()}
-    big = SM.sample_n(df, 300, "k", small=10).count()
-    assert len(a) == 37 and a == b and big == 300
+    assert len(a) == 37 and a == b
+    h = {r["k"]: r["h"] for r in df.select("k", SM.key_hash("k", 42).alias("h")).collect()}
+    by_hash = sorted(h, key=lambda k: (h[k], k))
+    for n in (0, 1, 37, 300, 500, 900):
+        assert {r["k"] for r in SM.sample_n(df, n, "k").collect()} == set(by_hash[:n])
 
 
 def test_hash_split_proportions(spark):
@@ -155,6 +159,11 @@ def test_lag_windows_chunk_halo(spark):
     a = sorted((r["d"], r["x"], r["y"]) for r in out if r["k"] == "a")
     assert len(a) == 8 and a[0] == (4, [1.0, 2.0, 3.0], 4.0) and a[-1] == (11, [8.0, 9.0, 10.0], 11.0)
     assert [r for r in out if r["k"] == "b"] == []  # only 3 rows: no full window
+    for t, chunk in ((5, 4), (9, 2), (3, 1), (4, 100)):
+        got = sorted((r["k"], r["d"], r["x"], r["y"]) for r in SE.lag_windows(df, "k", "d", "v", t, chunk=chunk).collect())
+        want = sorted((k, vs[i][0], [v for _, v in vs[i - t:i]], vs[i][1]) for k in "ab"
+                      for vs in [[(d, v) for kk, d, v in rows if kk == k]] for i in range(t, len(vs)))
+        assert got == want
 
 
 def test_minmax_constant_series_is_null(spark):
@@ -179,16 +188,48 @@ def test_jaccard_prefix_filter_equals_brute_force(spark):
     assert got == want
 
 
-def test_knn_chunked_equals_single_broadcast(spark):
+def test_knn_cells_equal_brute_force(spark):
     import random
     rnd = random.Random(1)
-    pts = [(i, [rnd.random() for _ in range(4)], i % 3) for i in range(60)]
+    pts = [(i, [float(rnd.randint(0, 6)) for _ in range(2)], i % 3) for i in range(120)]
     df = spark.createDataFrame(pts, "id long, v array<double>, label long")
     train, test = df.filter("id % 4 <> 0"), df.filter("id % 4 = 0")
-    one = SI.knn_neighbours(test, train, "id", "v", "label", 3)
-    many = SI.knn_neighbours(test, train, "id", "v", "label", 3, max_broadcast_bytes=200)
-    key = lambda d: sorted((r["id"], r["rank"], r["neighbour"]) for r in d.collect())
-    assert key(one) == key(many)
+    d2 = lambda a, b: sum((x - y) ** 2 for x, y in zip(a, b))
+    for k, pivots, block in ((3, 1, 1000), (3, 8, 4), (7, 64, 2), (200, 8, 4)):
+        got = sorted((r["id"], r["rank"], r["neighbour"], r["sq_dist"]) for r in SI.knn_neighbours(
+            test, train, "id", "v", "label", k, pivots, block).collect())
+        want = sorted((q[0], n + 1, t[0], d2(q[1], t[1])) for q in pts if q[0] % 4 == 0
+                      for n, t in enumerate(sorted((t for t in pts if t[0] % 4), key=lambda t: (d2(q[1], t[1]), t[0]))[:k]))
+        assert got == want
+    assert SI.knn_neighbours(test, train.filter("1 = 0"), "id", "v", "label", 3).count() == 0
+
+
+def test_knn_distance_votes(spark):
+    n = spark.createDataFrame([(1, 0, 0, 1.0), (1, 1, 1, 4.0), (1, 2, 1, 9.0), (2, 0, 0, 0.0), (2, 1, 1, 0.01), (2, 2, 1, 0.01)],
+                              "id long, neighbour long, neighbour_label long, sq_dist double")
+    assert {r["id"]: r["prediction"] for r in SI.knn_vote(n, "id", "distance").collect()} == {1: 0, 2: 0}
+    assert {r["id"]: r["prediction"] for r in SI.knn_vote(n, "id").collect()} == {1: 1, 2: 1}
+
+
+def test_running_sum_keeps_the_callers_cache(spark):
+    from kiln.operators.prefix import running_sum
+    df = spark.range(50).withColumn("one", F.lit(1)).persist()
+    assert running_sum(df, ["id"], ["one"]).agg(F.max("cum_one")).first()[0] == 50
+    assert df.storageLevel.useMemory
+    df.unpersist()
+
+
+def test_one_hot_of_null_is_zero_and_has_no_limit(spark):
+    df = spark.createDataFrame([(None,), *[(f"v{i}",) for i in range(70)]], "c string")
+    out = FE.one_hot(df, "c")
+    assert len(out.columns) == 70 and sorted(sum(r) for r in out.collect()) == [0] + [1] * 70
+
+
+def test_large_class_counts_do_not_overflow(spark):
+    big = 4_000_000_000
+    per = spark.createDataFrame([(0.1, 0, big), (0.9, big, 0)], "score double, pos long, neg long")
+    total = per.agg(F.sum("pos").cast("double") * F.sum("neg")).first()[0]
+    assert total == float(big) * big
 
 
 def test_assign_to_centres_tie_goes_to_lower_index(spark):

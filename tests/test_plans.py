@@ -11,9 +11,9 @@ from kiln.plans import catalog
 
 PY_NODES = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "MapInPandas", "FlatMapGroupsInPandas")
 # model-shaped queries whose plans are built by Spark ML or hold a pandas UDF by design
-PYTHON_OK = {"knn_classify", "pearson_p", "stem_vocabulary"}
+PYTHON_OK = {"pearson_p", "stem_vocabulary"}
 SKIP_PLAN = {"cv_scores", "grid_search", "compare_models", "als_grid", "kmeans_elbow", "intake_item_stats",
-             "silhouette", "pr_auc", "feature_importance"}
+             "silhouette", "feature_importance"}
 
 
 def _plan(df) -> str:
