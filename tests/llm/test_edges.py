@@ -36,7 +36,7 @@ def test_join_hot_equals_a_join(spark):
     rows = spark.range(5000).select(F.when(F.col("id") % 2 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"),
                                     F.col("id").alias("v")).union(spark.sql("SELECT CAST(NULL AS STRING), -1L"))
     table = rows.select("k").distinct().withColumn("w", F.length("k"))
-    got = join_hot(rows, table, ["k"], total=100).collect()
+    got = join_hot(rows, table, ["k"]).collect()
     assert len(got) == 5001 and sum(r.k == "hot" for r in got) == 2500 and sum(r.k is None for r in got) == 1
     left = join_hot(rows, table.filter("k = 'hot'"), ["k"], "left")
     assert left.count() == 5001 and left.filter("w IS NULL").count() == 2501
@@ -106,8 +106,7 @@ def test_near(odd):
 def test_near_large_buckets(spark, monkeypatch):
     """A family of near copies, and many texts that share only a passage, with
     bucket bounds so small that buckets are dealt anew."""
-    monkeypatch.setattr(neardup, "SMALL", 3)
-    monkeypatch.setattr(neardup, "FEW", 1)
+    monkeypatch.setattr(neardup, "GROUP", 12)
     rng = np.random.default_rng(2)
     base = [f"b{i}" for i in range(150)]
     texts = []
