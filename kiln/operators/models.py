@@ -26,7 +26,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kiln.operators.prefix import dense_index
@@ -236,6 +236,17 @@ class IndexedAls:
         numbered = numbered.withColumns({c: F.coalesce(F.col(c).cast("int"), F.lit(-1)) for c in ("_user", "_item")})
         return self.model.transform(numbered).drop("_user", "_item")
 
+    def save(self, path: str) -> None:
+        """The model and its id tables below ``path``, replacing older ones."""
+        self.model.write().overwrite().save(f"{path}/model")
+        self.users.write.mode("overwrite").parquet(f"{path}/users")
+        self.items.write.mode("overwrite").parquet(f"{path}/items")
+
+    @classmethod
+    def load(cls, path: str) -> IndexedAls:
+        spark = SparkSession.active()
+        return cls(ALSModel.load(f"{path}/model"), spark.read.parquet(f"{path}/users"), spark.read.parquet(f"{path}/items"))
+
     def user_factors(self, user: str = "user_id") -> DataFrame:
         """(user, features) for every user of the training ratings."""
         return self.users.join(self.model.userFactors.withColumnRenamed("id", "_user"), "_user").drop("_user")

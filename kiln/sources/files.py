@@ -73,7 +73,10 @@ def write_predictions(df: DataFrame, path: str, fmt: str = "csv") -> None:
 
 def save_model(model, path: str) -> None:
     """Persist a fitted model (replacing an older one)."""
-    model.write().overwrite().save(path)
+    if hasattr(model, "write"):
+        model.write().overwrite().save(path)
+    else:  # a model of ours, which replaces its own parts
+        model.save(path)
 
 
 def load_model(cls, path: str):

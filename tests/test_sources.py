@@ -5,7 +5,6 @@ from __future__ import annotations
 import gzip
 import os
 
-from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import functions as F
 
 from kiln.operators import models as M
@@ -65,7 +64,7 @@ def test_model_save_and_load(spark, tmp_dir):
                               "user_id long, item_id int, rating double")
     m = M.fit_als(r, rank=2, iters=3, reg=0.1)
     FS.save_model(m, f"{tmp_dir}/als")
-    m2 = FS.load_model(ALSModel, f"{tmp_dir}/als")
+    m2 = FS.load_model(M.IndexedAls, f"{tmp_dir}/als")
     a = M.predict_pairs(m, r).orderBy("user_id", "item_id").select("pred").collect()
     b = M.predict_pairs(m2, r).orderBy("user_id", "item_id").select("pred").collect()
     assert a == b
