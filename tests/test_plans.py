@@ -20,7 +20,11 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - SKIP_PLAN))
+# Spark ML multiplies blocks of factors itself; the refit scores one constant user (a one-row side)
+FACTOR_PRODUCT = {"recommend_many_users", "als_refit"}
+
+
+@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - SKIP_PLAN - FACTOR_PRODUCT))
 def test_no_cartesian_or_nested_loop(spark, name):
     p = _plan(catalog.QUERIES[name](spark, SF_SMALL))
     assert "CartesianProduct" not in p
