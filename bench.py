@@ -20,7 +20,8 @@ HEADLINE = [
     "resolution_share", "count_by_category", "top3_detail", "item_rating_stats", "feature_ctr",
     "nunique_columns", "describe_numeric", "ks_two_sample", "roc_points", "auc_rank", "threshold_sweep",
     "dense_row_id", "user_knn", "item_knn", "jaccard_pairs", "lag_windows", "tfidf_long", "word_count",
-    "count_idf_long", "doc_cosine", "knn_classify", "als_predict",
+    "count_idf_long", "doc_cosine", "knn_classify", "als_predict", "ape_naive", "kmeans_elbow", "lda_online",
+    "intake_item_stats",
 ]
 
 
