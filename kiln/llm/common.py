@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from contextlib import contextmanager
 from functools import reduce
 from operator import and_
 
@@ -14,9 +15,10 @@ from pyspark.sql import functions as F
 from kiln.session import checkpoint_dir, scratch_path, ship_package
 
 SEPARATORS = r"\x20\x09-\x0D"  # inside a character class
-#: A key with more than 1 / HOT_SHARE of all rows is dealt over many tasks, so
-#: there are fewer than HOT_SHARE such keys, whatever the input.
-HOT_SHARE = 1000
+#: At most so many keys are dealt over sub-keys, if they hold over so many rows.
+HOT_KEYS = 1000
+HOT_ROWS = 1000
+_DROP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def prepare(spark: SparkSession) -> None:
@@ -34,11 +36,24 @@ def work_dir(spark: SparkSession, name: str) -> str:
 
 def written(df: DataFrame, path: str) -> DataFrame:
     """``df`` as a written table: its rows are fixed once, lineage ends here,
-    and a lost executor costs only a new read."""
-    df.write.parquet(path)
+    and a lost executor costs only a new read. The shuffle files of the job
+    serve nobody after that and are dropped with its end."""
+    with shuffles_dropped(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """Jobs in this block drop their shuffle files when they end."""
+    before = spark.conf.get(_DROP, "false")
+    spark.conf.set(_DROP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_DROP, before)
+
+
 def one_by_one(files: DataFrame, most: int = 10_000) -> DataFrame:
     """A list of files dealt over as many tasks as it has rows (``most`` at
     most), although the list itself is small."""
@@ -46,13 +61,11 @@ def one_by_one(files: DataFrame, most: int = 10_000) -> DataFrame:
 
 
 def remove(spark: SparkSession, *paths: str) -> None:
-    """Delete stages that nothing reads any more, and let Spark drop the
-    shuffle files of the jobs that made them."""
+    """Delete stages that nothing reads any more."""
     jvm = spark.sparkContext._jvm
     for p in paths:
         path = jvm.org.apache.hadoop.fs.Path(p)
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-    jvm.System.gc()
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:
@@ -78,36 +91,42 @@ def word_count(text: Column) -> Column:
     return F.size(word_array(text)).cast("long")
 
 
-def join_hot(rows: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "inner",
-             total: int | None = None) -> DataFrame:
+def join_hot(rows: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Join ``rows`` with ``table`` (at most one row per key) on ``keys``,
     where a few keys may hold much of ``rows``.
 
-    Keys with over 1 / HOT_SHARE of the rows -- fewer than HOT_SHARE keys, so
-    the list is small by construction and may be broadcast -- are dealt over
-    several sub-keys by a hash of the row's other columns; ``table`` repeats
-    its row of such a key once for each sub-key. All other keys join as usual.
-    Keys are compared null-safe. ``rows`` is read twice: pass a written table.
+    The HOT_KEYS keys with most rows, of those with over HOT_ROWS, are looked
+    up first: a list whose length is bounded, whatever the input, and beyond
+    which no key holds more than 1 / HOT_KEYS of the rows. A hot key is dealt
+    over a sub-key per HOT_ROWS rows by a hash of the row's other columns;
+    ``table`` repeats its row of that key for each sub-key. All other keys
+    join as usual. Keys are compared null-safe. ``rows`` is read twice: pass a
+    written table.
     """
     keys = list(keys)
     others = [c for c in table.columns if c not in keys]
     part, copies, salt = fresh(rows.select(*rows.columns, *[F.lit(1).alias(c) for c in others]),
                                "key", "copies", "salt")
-    most = max((rows.count() if total is None else total) // HOT_SHARE, 1000)
-    hot = (rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(copies)).filter(F.col(copies) > most)
-           .select(*[F.col(k).alias(f"{part}{i}") for i, k in enumerate(keys)],
-                   F.ceil(F.col(copies) / most).cast("int").alias(copies)))
+    parts = [f"{part}{i}" for i in range(len(keys))]
+    hot = (rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(copies)).filter(F.col(copies) > HOT_ROWS)
+           .select(*[F.col(k).alias(p) for k, p in zip(keys, parts)], F.ceil(F.col(copies) / HOT_ROWS).alias(copies))
+           .orderBy(F.desc(copies)).limit(HOT_KEYS))
+    found = hot.collect()
+
+    def same(a: DataFrame, b: DataFrame):
+        return reduce(and_, [a[k].eqNullSafe(b[p]) for k, p in zip(keys, parts)])
+
+    if not found:
+        right = table.select(*[F.col(k).alias(p) for k, p in zip(keys, parts)], *others)
+        return rows.join(right, same(rows, right), how).drop(*parts)
+    listed = rows.sparkSession.createDataFrame(found, hot.schema)
 
     def with_copies(df: DataFrame) -> DataFrame:
-        same = [df[k].eqNullSafe(hot[f"{part}{i}"]) for i, k in enumerate(keys)]
-        return (df.join(F.broadcast(hot), reduce(and_, same), "left")
-                .drop(*[f"{part}{i}" for i in range(len(keys))])
+        return (df.join(F.broadcast(listed), same(df, listed), "left").drop(*parts)
                 .withColumn(copies, F.coalesce(copies, F.lit(1))))
 
     row_hash = F.xxhash64(*[F.col(c) for c in rows.columns if c not in keys] or [F.lit(0)])
-    left = with_copies(rows).withColumn(salt, F.pmod(row_hash, F.col(copies)).cast("int")).drop(copies)
-    right = (with_copies(table).withColumn(salt, F.explode(F.sequence(F.lit(0), F.col(copies) - 1)))
-             .select(*[F.col(c).alias(f"{part}{i}") for i, c in enumerate([*keys, salt])], *others))
-    cond = [left[k].eqNullSafe(right[f"{part}{i}"]) for i, k in enumerate(keys)]
-    cond.append(left[salt] == right[f"{part}{len(keys)}"])
-    return left.join(right, reduce(and_, cond), how).drop(salt, *[f"{part}{i}" for i in range(len(cond))])
+    left = with_copies(rows).withColumn(salt, F.pmod(row_hash, F.col(copies))).drop(copies)
+    right = (with_copies(table).withColumn(salt, F.explode(F.sequence(F.lit(0).cast("long"), F.col(copies) - 1)))
+             .select(*[F.col(k).alias(p) for k, p in zip(keys, parts)], F.col(salt).alias(f"{part}s"), *others))
+    return left.join(right, same(left, right) & (left[salt] == right[f"{part}s"]), how).drop(salt, f"{part}s", *parts)

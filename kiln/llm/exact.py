@@ -151,7 +151,7 @@ def mark_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     maybe = flagged.filter("maybe").drop("maybe")
     groups = maybe.groupBy("digest").agg(F.max(F.struct("id", "row")).alias("keep"),
                                          F.count(F.lit(1)).alias("group_size"))
-    copies = join_hot(maybe, groups, ["digest"], total=total).select(
+    copies = join_hot(maybe, groups, ["digest"]).select(
         "id", F.col("keep.id").alias("keep_id"), "group_size", (F.col("row") == F.col("keep.row")).alias("kept"),
         "digest")
     alone = flagged.filter("NOT maybe").select("id", F.col("id").alias("keep_id"),

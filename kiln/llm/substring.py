@@ -4,20 +4,21 @@ Wanted: every word that a window of ``window`` words covers whose words also
 start anywhere else. If a window is repeated, so is each shorter window in it;
 so short windows are counted first and only windows whose short one is
 repeated are extended to twice its length, until the wanted length is reached
-or no candidate is left (``levels(35)`` is 18, 35).
+(``levels(35)`` is 18, 35).
 
 At a level of l words each candidate window is represented by its anchor: of
 the l-word windows in it the one with the least hash. Equal windows have equal
 anchors, so nothing is lost, and neighbouring windows mostly share theirs: only
 about 2 / (window - l + 2) of the places are counted. A candidate whose anchor
 occurs once in the corpus dies. At the last level the anchor is the window
-itself, told apart by 128 bits of hash.
+itself, told apart by 96 bits of hash.
 
 Equal texts are counted once, as text with its number of copies. The distinct
 texts are written once, bucketed by their digest; every level and the end join
 what they need to that table without moving a text again. Anchors travel as
-narrow rows, counted with a combine before the shuffle; an anchor that much of
-the corpus shares is joined through ``join_hot``.
+narrow rows in one aggregation with a combine before the shuffle, so an anchor
+that much of the corpus shares is only counted. What comes back are the anchors
+that die: each belongs to one text, which the same aggregation tells.
 
 Defined results: a null or empty text has no words and no windows; nothing is
 removed from texts shorter than a window; copies of a text of at least
@@ -37,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kiln.llm import words as W
-from kiln.llm.common import fresh, join_hot, prepare, remove, work_dir, written
+from kiln.llm.common import fresh, join_hot, prepare, remove, shuffles_dropped, work_dir, written
 from kiln.llm.tokens import ragged
 
 SLICE_BYTES = 4 << 20
@@ -95,11 +96,9 @@ class _Slice:
         top = _slide(np.concatenate([np.zeros(span - 1, np.uint64), least]), span, np.maximum)
         return least, np.flatnonzero((top == h) & (h > 0))
 
-    def keep(self, length: int, found: np.ndarray) -> None:
-        """Only windows whose anchor is in ``found`` (sorted) stay alive."""
-        least, _ = self.anchors(length)
-        at = np.minimum(np.searchsorted(found, least), max(len(found) - 1, 0))
-        self.alive &= found[at] == least if len(found) else np.zeros(len(least), bool)
+    def drop(self, length: int, dead: np.ndarray) -> None:
+        """Windows whose anchor is in ``dead`` (sorted) die."""
+        self.alive &= ~_within(self.anchors(length)[0], dead)
 
     def doc_of(self, places: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.first, places, side="right") - 1
@@ -114,6 +113,18 @@ def _slices(column) -> Iterator[tuple[int, int]]:
         lo = hi
 
 
+def _within(x: np.ndarray, found: np.ndarray) -> np.ndarray:
+    """Is each entry of ``x`` in ``found`` (sorted)?"""
+    if not len(found):
+        return np.zeros(len(x), bool)
+    return found[np.minimum(np.searchsorted(found, x), len(found) - 1)] == x
+
+
+def _check(s: _Slice, window: int) -> np.ndarray:
+    """31 further bits of hash of the windows."""
+    return s.hashes(window, other=True) >> np.uint64(33)
+
+
 def _lists(column: pa.Array) -> np.ndarray:
     """All entries of a list<long> column, sorted, as unsigned numbers."""
     return np.unique(column.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
@@ -121,19 +132,19 @@ def _lists(column: pa.Array) -> np.ndarray:
 
 def _emit(steps: list[int], window: int):
     """Counts of the anchors of level ``steps[-1]``; the levels before have
-    left their repeated anchors in columns s0, s1, ..."""
+    left their dead anchors in columns s0, s1, ..."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo, hi in _slices(b.column("text")):
                 part = b.slice(lo, hi - lo)
                 s = _Slice(part.column("text"), window)
                 for i, length in enumerate(steps[:-1]):
-                    s.keep(length, _lists(part.column(f"s{i}")))
+                    s.drop(length, _lists(part.column(f"s{i}")))
                 _, at = s.anchors(steps[-1])
                 if not len(at):
                     continue
                 h = s.hashes(steps[-1])[at]
-                c = s.hashes(window, other=True)[at] if steps[-1] == window else np.zeros(len(at), np.uint64)
+                c = _check(s, window)[at] if steps[-1] == window else np.zeros(len(at), np.uint64)
                 doc = s.doc_of(at)
                 order = np.lexsort((c, h, doc))
                 h, c, doc = h[order], c[order], doc[order]
@@ -144,7 +155,7 @@ def _emit(steps: list[int], window: int):
                 doc = doc[first]
                 copies = part.column("copies").to_numpy()[doc]
                 yield pa.RecordBatch.from_pydict({
-                    "h": pa.array(h[first].view(np.int64)), "c": pa.array(c[first].view(np.int64)),
+                    "h": pa.array(h[first].view(np.int64)), "c": pa.array(c[first].astype(np.int32)),
                     "rid": part.column("rid").take(pa.array(doc)),
                     "n": pa.array(np.minimum(n * np.minimum(copies, 2), 2).astype(np.int32))})
     return run
@@ -156,11 +167,12 @@ def _finish(steps: list[int], window: int):
             for lo, hi in _slices(b.column("text")):
                 part = b.slice(lo, hi - lo)
                 s = _Slice(part.column("text"), window)
-                s.keep(window, _lists(part.column("s")))
-                found = _lists(part.column("sc"))
-                c = s.hashes(window, other=True)
-                if len(found):
-                    s.alive &= found[np.minimum(np.searchsorted(found, c), len(found) - 1)] == c
+                for i, length in enumerate(steps):
+                    if length == window:
+                        s.alive &= ~(_within(s.hashes(window), _lists(part.column(f"s{i}")))
+                                     & _within(_check(s, window), _lists(part.column("c"))))
+                    else:
+                        s.drop(length, _lists(part.column(f"s{i}")))
                 # words covered by a repeated window
                 step = np.zeros(len(s.h) + window + 1, np.int64)
                 at = np.flatnonzero(s.alive)
@@ -202,7 +214,8 @@ def distinct_texts(docs: DataFrame, text_col: str) -> tuple[DataFrame, str, str]
          .withColumn("rid", F.monotonically_increasing_id()))
     name, folder = f"kiln_texts_{uuid.uuid4().hex[:12]}", work_dir(spark, "texts")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (d.write.bucketBy(parts, "digest").sortBy("digest").option("path", folder).format("parquet").saveAsTable(name))
+    with shuffles_dropped(spark):
+        d.write.bucketBy(parts, "digest").sortBy("digest").option("path", folder).format("parquet").saveAsTable(name)
     return spark.table(name), name, folder
 
 
@@ -215,26 +228,18 @@ def repeats(docs: DataFrame, window: int = 35, text_col: str = "text", with_text
     texts, name, folder = distinct_texts(docs, text_col)
     done, state, steps = [folder], texts, levels(window)
     ids = texts.select("rid", "digest")
-    marks: list[DataFrame] = []
+    none = F.array().cast("array<long>")
     for k, length in enumerate(steps):
-        state = texts
-        for i, m in enumerate(marks):
-            state = state.join(m.withColumnRenamed("s", f"s{i}").drop("sc"), "digest")
-        counted, where = work_dir(spark, f"level{length}"), work_dir(spark, f"marks{length}")
-        rows = written(state.mapInArrow(_emit(steps[:k + 1], window), "h long, c long, rid long, n int"), counted)
-        again = rows.groupBy("h", "c").agg(F.sum("n").alias("total")).filter("total > 1").drop("total")
-        found = (join_hot(rows.drop("n"), again, ["h", "c"]).groupBy("rid")
-                 .agg(F.collect_list("h").alias("s"), F.collect_list("c").alias("sc")))
-        marks.append(written(found.join(ids, "rid").select("digest", "s", "sc"), where))
-        remove(spark, counted)
-        done.append(where)
-        if marks[-1].isEmpty():
-            break
-    last = marks[-1]
-    ended = texts.join(last, "digest", "left")
+        rows = state.mapInArrow(_emit(steps[:k + 1], window), "h long, c int, rid long, n int")
+        counted = rows.groupBy("h", "c").agg(F.sum("n").alias("total"), F.min("rid").alias("rid"))
+        last = [F.collect_list(F.col("c").cast("long")).alias("c")] if length == window else []
+        dead = counted.filter("total = 1").groupBy("rid").agg(F.collect_list("h").alias(f"s{k}"), *last)
+        done.append(work_dir(spark, f"level{length}"))
+        dead = written(dead.join(ids, "rid").drop("rid"), done[-1])
+        state = state.join(dead, "digest", "left")
+        state = state.withColumns({c: F.coalesce(c, none) for c in dead.columns if c != "digest"})
     out = "digest binary, n_words long, n_removed long, kept_sha256 string, kept string"
-    result = ended.select("digest", "text", *[F.coalesce(c, F.array().cast("array<long>")).alias(c) for c in ("s", "sc")]) \
-        .mapInArrow(_finish(steps, window), out)
+    result = state.mapInArrow(_finish(steps, window), out)
     result = written(result if with_text else result.drop("kept"), work_dir(spark, "repeats"))
     spark.sql(f"DROP TABLE {name}")
     remove(spark, *done)
