@@ -38,7 +38,7 @@ WITH t AS (
   UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
 e AS (
   SELECT *, length(replace(replace(text, '\', '\\'), '</turn>', '<\/turn>'))
-         + coalesce(list_sum(list_transform(regexp_extract_all(text, '#{3,}'), x -> length(x) - 2)), 0) AS body FROM t)
+         + coalesce(list_sum(list_transform(regexp_extract_all(text, '#{3,}'), lambda x: length(x) - 2)), 0) AS body FROM t)
 SELECT conv_id, count(*) AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
        CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
