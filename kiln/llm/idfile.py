@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kiln.llm.common import prepare, work_dir, written
+from kiln.llm.common import one_by_one, prepare, work_dir, written
 from kiln.llm.storage import new_name, reading, writing
 from kiln.llm.tokens import encoder
 
@@ -160,9 +160,8 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read(files: DataFrame) -> DataFrame:
     """Documents of the listed files: doc_id, start (ids of all documents
-    before), ids (unsigned 32-bit little-endian). One file per task row."""
-    spread = files.select("path", "start").repartition("path")
-    return spread.mapInArrow(_read, "doc_id long, start long, ids binary")
+    before), ids (unsigned 32-bit little-endian). Files are read side by side."""
+    return one_by_one(files.select("path", "start")).mapInArrow(_read, "doc_id long, start long, ids binary")
 
 
 def round_trip(docs: DataFrame, tokenizer: str, kind: str = "word") -> DataFrame:
