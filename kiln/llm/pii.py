@@ -52,6 +52,8 @@ PATTERNS = {
     "person": rf"(?<![\p{{L}}\p{{N}}])(?:{'|'.join(TITLES)})\.? \p{{Lu}}\p{{L}}+(?:-\p{{Lu}}\p{{L}}+)?(?: \p{{Lu}}\p{{L}}+(?:-\p{{Lu}}\p{{L}}+)?)?",
 }
 ANY = "|".join(PATTERNS.values())
+#: Every entity holds one of these; a text without them needs no look at ``ANY``.
+HINT = r"[0-9@=]|:\s{0,3}[\"']|AKIA|gh[pousr]_|" + "|".join(TITLES)
 #: Syllables of made-up names by script, and their endings by gender (fixed values).
 SYLLABLES = {
     "Latn": ["ba", "den", "for", "gar", "hol", "kin", "lan", "mer", "nor", "pel", "ros", "sten", "tor", "val", "wes", "lin"],
@@ -192,7 +194,7 @@ def replace_entities(docs: DataFrame, key: str, text_col: str = "text") -> DataF
         count = "n_replaced"
     row, found = fresh(docs.withColumn(count, F.lit(0)), "row", "found")
     mentions = F.regexp_extract_all(F.col(text_col), F.lit(ANY), F.lit(0))
-    has = F.coalesce(F.rlike(F.col(text_col), F.lit(ANY)), F.lit(False))
+    has = F.coalesce(F.rlike(F.col(text_col), F.lit(HINT)) & F.rlike(F.col(text_col), F.lit(ANY)), F.lit(False))
     held = written(docs.filter(has).withColumn(row, F.monotonically_increasing_id()).withColumn(found, mentions),
                    work_dir(spark, "mentions"))
     parts = held.select(F.col(row).alias("row"), F.posexplode(found).alias("at", "mention"))
