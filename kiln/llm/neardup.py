@@ -6,16 +6,21 @@ the connected components of links; equal texts are one class from the start.
 
 1. One pass over the texts gives ``BANDS`` band keys of ``ROWS`` BagMinHash
    slots each. At a similarity of 0.8 two texts share no band with a chance of
-   3e-6.
-2. Texts that share a band stand in one bucket. Candidates are never all pairs
-   of a bucket. First each member is compared with one text of its bucket (a
-   different choice in every band), which joins almost all of a large group
-   of near copies. Then only buckets that still hold several components go on:
-   if they are small, or few members stand outside their largest component,
-   those members are compared with the rest; else the bucket is dealt anew by
-   a second band (a third, ...), which parts texts that only share a common
-   passage. (0.8 or more in two common bands: all but 6e-5.)
-3. Every candidate pair is verified by the overlap of the two whole bags.
+   3e-6. Texts that share a band stand in one bucket.
+2. First each member of a bucket is compared with one text of it (a different
+   choice in every band): a few comparisons per text, which join almost all of
+   a large group of near copies.
+3. In buckets that still hold several components the members outside the
+   largest one are compared with all others, in groups of at most ``GROUP`` of
+   each, a group in one task: members come with their bags and a finer
+   signature of ``FINE`` slots, pairs of different components are taken in
+   order of estimated similarity, and a pair is left out as soon as its
+   components have met. Estimates five deviations below the threshold need no
+   look at the bags. So pairs never become rows. A bucket of more than
+   ``LARGE`` members is dealt anew by a second band (a third, ...), which parts
+   texts that only share a common line or passage; two texts of similarity 0.8
+   have two common bands with a chance of 1 - 6e-5, three with 1 - 5e-4.
+4. Every link is verified by the overlap of the two whole bags.
 
 Bags of the candidates are written once; a text compared with very many others
 meets them through ``join_hot``. Links and components stay on the cluster.
@@ -37,14 +42,14 @@ from pyspark.sql import functions as F
 
 from kiln.llm import bagminhash as B
 from kiln.llm import words as W
-from kiln.llm.common import fresh, join_hot, prepare, remove, work_dir, written
+from kiln.llm.common import fresh, join_hot, prepare, work_dir, written
 from kiln.llm.components import components
 from kiln.llm.substring import text_key
 
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 24, 4
-SMALL, FEW = 32, 8
+GROUP, LARGE, FINE = 256, 1 << 14, 1024
 SLICE_BYTES = 2 << 20
 
 
@@ -86,10 +91,12 @@ def _bags(shingle: int):
                 _, _, _, h, first = W.words(part.column("text"))
                 bag, element, weight = B.bags(h, first, shingle)
                 at = np.searchsorted(bag, np.arange(part.num_rows + 1))
+                fine = B.signatures(bag, element, weight, part.num_rows, FINE).astype(np.uint8)
                 yield pa.RecordBatch.from_pydict({
                     "rid": part.column("rid"),
                     "shingles": pa.array([element[a:z].astype("<u8").tobytes() for a, z in zip(at, at[1:])], pa.binary()),
-                    "counts": pa.array([weight[a:z].astype("<u4").tobytes() for a, z in zip(at, at[1:])], pa.binary())})
+                    "counts": pa.array([weight[a:z].astype("<u4").tobytes() for a, z in zip(at, at[1:])], pa.binary()),
+                    "fine": pa.array([x.tobytes() for x in fine], pa.binary())})
     return run
 
 
@@ -111,91 +118,125 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"a": b.column("a"), "b": b.column("b"), "sim": pa.array(sim, pa.float64())})
 
 
+def _group(threshold: float):
+    """Links between a group's outer members (its ``left`` rows, or the
+    ``out`` rows where it has none) and its other rows."""
+    cut = threshold - 5 * (threshold * (1 - threshold) / FINE) ** 0.5
+
+    def run(t: pa.Table) -> pa.Table:
+        rid, comp = t["rid"].to_numpy(), t["comp"].to_numpy()
+        bag = list(zip(t["shingles"].to_pylist(), t["counts"].to_pylist()))
+        fine = np.stack([np.frombuffer(x, np.uint8) for x in t["fine"].to_pylist()])
+        left = t["left"].to_numpy()
+        right = np.flatnonzero(~left)
+        outer = np.flatnonzero(left) if left.any() else np.flatnonzero(t["out"].to_numpy())
+        root = {c: c for c in comp.tolist()}
+
+        def find(c: int) -> int:
+            while root[c] != c:
+                root[c] = root[root[c]]
+                c = root[c]
+            return c
+
+        found = []
+        for i in outer.tolist():
+            est = (fine[i] == fine[right]).mean(axis=1)
+            found += [(-est[j], i, int(right[j])) for j in np.flatnonzero((est >= cut) & (comp[right] != comp[i]))]
+        links = []
+        for _, i, j in sorted(found):
+            a, b = find(int(comp[i])), find(int(comp[j]))
+            if a == b:
+                continue
+            sim = similarity(*bag[i], *bag[j])
+            if sim >= threshold:
+                root[max(a, b)] = min(a, b)
+                links.append((int(min(rid[i], rid[j])), int(max(rid[i], rid[j])), sim))
+        return pa.table({"a": pa.array([x[0] for x in links], pa.int64()), "b": pa.array([x[1] for x in links], pa.int64()),
+                         "sim": pa.array([x[2] for x in links], pa.float64())})
+    return run
+
+
+_LINK = "a long, b long, sim double"
+
+
 class _Search:
     """Links among bucket members; each round works on what is unfinished."""
 
     def __init__(self, nodes: DataFrame, bags: DataFrame, threshold: float):
         self.spark, self.nodes, self.bags, self.threshold = nodes.sparkSession, nodes, bags, threshold
-        self.tried: DataFrame | None = None
         self.links: DataFrame | None = None
         self.labels: DataFrame | None = None
 
-    def compare(self, pairs: DataFrame) -> None:
-        """Verify the pairs (a < b) that were not compared yet; new links
-        extend the components."""
-        sizes = self.nodes.select("rid", "size")
-        pairs = pairs.filter("a < b").distinct()
-        if self.tried is not None:
-            pairs = pairs.join(self.tried, ["a", "b"], "left_anti")
-        pairs = written(pairs, work_dir(self.spark, "pairs"))
-        self.tried = pairs if self.tried is None else self.tried.unionByName(pairs)
-        # the bags' sizes bound the similarity
-        s1 = sizes.select(F.col("rid").alias("a"), F.col("size").alias("size1"))
-        s2 = sizes.select(F.col("rid").alias("b"), F.col("size").alias("size2"))
-        near = (join_hot(pairs, s1, ["a"]).join(s2, "b")
-                .filter(F.least("size1", "size2") >= self.threshold * F.greatest("size1", "size2")).select("a", "b"))
-        near = written(near, work_dir(self.spark, "pairs"))
-        b1 = self.bags.select(F.col("rid").alias("a"), F.col("shingles").alias("s1"), F.col("counts").alias("n1"))
-        b2 = self.bags.select(F.col("rid").alias("b"), F.col("shingles").alias("s2"), F.col("counts").alias("n2"))
-        met = join_hot(near, b1, ["a"]).join(b2, "b").select("a", "b", "s1", "n1", "s2", "n2")
-        links = written(met.mapInArrow(_verify, "a long, b long, sim double")
-                        .filter(F.col("sim") >= self.threshold), work_dir(self.spark, "links"))
-        self.links = links if self.links is None else self.links.unionByName(links)
+    def add(self, links: DataFrame) -> None:
+        """New links extend the components."""
+        links = written(links, work_dir(self.spark, "links"))
         if not links.isEmpty():
-            old = self.labels
-            joined = links
-            if old is not None:  # link the components that the new links meet
-                la = old.select(F.col("node").alias("a"), F.col("comp").alias("ca"))
-                lb = old.select(F.col("node").alias("b"), F.col("comp").alias("cb"))
-                joined = (links.join(la, "a", "left").join(lb, "b", "left")
-                          .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
-            new, _ = components(joined)
-            if old is not None:
-                moved = new.select(F.col("node").alias("comp"), F.col("comp").alias("least"))
-                kept = join_hot(old, moved, ["comp"], "left").select("node", F.coalesce("least", "comp").alias("comp"))
-                added = new.join(old.select("node"), "node", "left_anti")
-                new = written(kept.unionByName(added), work_dir(self.spark, "labels"))
-            self.labels = new
-
-    def labelled(self, members: DataFrame) -> DataFrame:
-        """``members`` (bucket, rid, ...) with their component."""
-        if self.labels is None:
-            return members.withColumn("comp", F.col("rid"))
-        return (members.join(self.labels.withColumnRenamed("node", "rid"), "rid", "left")
-                .withColumn("comp", F.coalesce("comp", "rid")))
+            self.links = links if self.links is None else self.links.unionByName(links)
+            self.labels = components(self.links, self.labels)
+
+    def first_links(self, members: DataFrame) -> DataFrame:
+        """Each member of a bucket with one text of it, verified. Only the
+        texts chosen for a bucket may stand in very many pairs; the sizes of
+        two bags bound their similarity."""
+        first = members.groupBy("bucket").agg(F.min_by(F.struct("rid", "size"), F.xxhash64("bucket", "rid")).alias("r"))
+        first = first.select("bucket", F.col("r.rid").alias("rep"), F.col("r.size").alias("size1"))
+        pairs = join_hot(members, first, ["bucket"]).filter(
+            (F.col("rid") != F.col("rep")) & (F.least("size", "size1") >= self.threshold * F.greatest("size", "size1")))
+        pairs = pairs.groupBy(F.least("rep", "rid").alias("a"), F.greatest("rep", "rid").alias("b")).agg(
+            F.max(F.struct("rep", "rid")).alias("p"))
+        pairs = written(pairs.select("a", "b", "p.rep", "p.rid"), work_dir(self.spark, "pairs"))
+        b1 = self.bags.select(F.col("rid").alias("rep"), F.col("shingles").alias("s1"), F.col("counts").alias("n1"))
+        b2 = self.bags.select("rid", F.col("shingles").alias("s2"), F.col("counts").alias("n2"))
+        met = join_hot(pairs, b1, ["rep"]).join(b2, "rid").select("a", "b", "s1", "n1", "s2", "n2")
+        return met.mapInArrow(_verify, _LINK).filter(F.col("sim") >= self.threshold)
+
+    def unfinished(self, members: DataFrame) -> DataFrame:
+        """Members, with component, of buckets of several components; of
+        buckets with the same members one stays. ``out`` tells who stands
+        outside the largest component."""
+        now = members.withColumn("comp", F.col("rid")) if self.labels is None else (
+            members.join(self.labels.withColumnRenamed("node", "rid"), "rid", "left")
+            .withColumn("comp", F.coalesce("comp", "rid")))
+        now = written(now, work_dir(self.spark, "members"))
+        parts = now.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("rid")).alias("who"),
+                                                  F.max("band").alias("at"))
+        state = parts.groupBy("bucket").agg(F.sum("n").alias("n"), F.max(F.struct("n", "comp")).alias("top"),
+                                            F.bit_xor("who").alias("who"), F.max("at").alias("at"))
+        state = state.filter("top.n < n").groupBy("n", "who").agg(F.min(F.struct("at", "bucket", "top")).alias("s"))
+        state = state.select("s.bucket", "n", F.col("s.top.comp").alias("largest"), (F.col("n") - F.col("s.top.n")).alias("o"))
+        met = join_hot(now, state, ["bucket"]).withColumn("out", F.col("comp") != F.col("largest")).drop("largest")
+        return written(met, work_dir(self.spark, "open"))
+
+    def grouped(self, open_: DataFrame) -> DataFrame:
+        """Rows of the groups: outer members by blocks, with all members by
+        blocks; a bucket of one block each has its rows once."""
+        blocks = lambda c: F.ceil(F.col(c) / GROUP)
+        all_of = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), blocks(c) - 1))
+        h = F.xxhash64("rid")
+        right = (open_.withColumn("mb", F.pmod(h, blocks("n"))).withColumn("ob", all_of("o"))
+                 .withColumn("left", F.lit(False)))
+        left = (open_.filter(F.col("out") & ((blocks("n") > 1) | (blocks("o") > 1)))
+                .withColumn("ob", F.pmod(h, blocks("o"))).withColumn("mb", all_of("n")).withColumn("left", F.lit(True)))
+        rows = right.unionByName(left).select("bucket", "ob", "mb", "rid", "comp", "out", "left")
+        return rows.join(self.bags, "rid").groupBy("bucket", "ob", "mb").applyInArrow(_group(self.threshold), _LINK)
 
     def run(self, members: DataFrame) -> None:
-        """``members``: (bucket, band, rid), buckets of two members or more;
-        ``band`` is the last band that dealt the bucket."""
+        """``members``: (bucket, band, rid, size), buckets of two members or
+        more; ``band`` is the last band that dealt the bucket."""
+        self.add(self.first_links(members))
         while not members.isEmpty():
-            # one comparison per member and bucket
-            first = members.groupBy("bucket").agg(F.min_by("rid", F.xxhash64("bucket", "rid")).alias("rep"))
-            met = join_hot(members, first, ["bucket"]).filter("rid <> rep")
-            self.compare(met.select(F.least("rid", "rep").alias("a"), F.greatest("rid", "rep").alias("b")))
-            # what stands outside the largest component of its bucket
-            now = written(self.labelled(members), work_dir(self.spark, "members"))
-            parts = now.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
-            state = parts.groupBy("bucket").agg(F.max(F.struct("n", "comp"))["comp"].alias("largest"),
-                                                F.max("n").alias("inside"), F.sum("n").alias("n"))
-            state = state.filter("inside < n").withColumn("outside", F.col("n") - F.col("inside"))
-            open_ = written(join_hot(now, state, ["bucket"]), work_dir(self.spark, "open"))
-            direct = (F.col("n") <= SMALL) | (F.col("outside") <= FEW)
-            out = (open_.filter(direct & (F.col("comp") != F.col("largest")))
-                   .groupBy("bucket").agg(F.collect_list(F.struct(F.col("rid").alias("other"), F.col("comp").alias("oc")))
-                                          .alias("others")))
-            cross = (join_hot(open_.filter(direct).select("bucket", "rid", "comp"), out, ["bucket"])
-                     .select("rid", "comp", F.inline("others")).filter("comp <> oc"))
-            pairs = cross.select(F.least("rid", "other").alias("a"), F.greatest("rid", "other").alias("b"))
-            self.compare(pairs)
-            members = self._dealt_anew(open_.filter(~direct))
+            open_ = self.unfinished(members)
+            self.add(self.grouped(open_.filter(F.col("n") <= LARGE)))
+            members = self._dealt_anew(open_.filter(F.col("n") > LARGE))
 
     def _dealt_anew(self, members: DataFrame) -> DataFrame:
         """Large buckets of many components, dealt by each later band."""
         bands = self.nodes.select("rid", "bands")
-        rest = members.select("bucket", "band", "rid").join(bands, "rid")
-        sub = rest.select("rid", "bucket", "band", F.posexplode("bands").alias("next", "key")).filter(F.col("next") > F.col("band"))
-        sub = sub.select(F.xxhash64("bucket", "key").alias("bucket"), F.col("next").alias("band"), "rid")
-        return shared(sub, self.spark)
+        rest = members.select("bucket", "band", "rid", "size").join(bands, "rid")
+        sub = rest.select("rid", "size", "bucket", "band", F.posexplode("bands").alias("next", "key"))
+        sub = sub.filter(F.col("next") > F.col("band"))
+        return shared(sub.select(F.xxhash64("bucket", "key").alias("bucket"), F.col("next").alias("band"), "rid", "size"),
+                      self.spark)
 
 
 def shared(members: DataFrame, spark) -> DataFrame:
@@ -219,12 +260,12 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     nodes = rows.groupBy("digest").agg(F.first("size").alias("size"), F.first("bands").alias("bands"),
                                        F.min("id").alias("some_id"))
     nodes = written(nodes.withColumn("rid", F.monotonically_increasing_id()), work_dir(spark, "nodes"))
-    members = nodes.filter("size > 0").select("rid", F.posexplode("bands").alias("band", "bucket"))
-    members = shared(members.select("bucket", "band", "rid"), spark)
+    members = nodes.filter("size > 0").select("rid", "size", F.posexplode("bands").alias("band", "bucket"))
+    members = shared(members.select("bucket", "band", "rid", "size"), spark)
     wanted = members.select("rid").distinct().join(nodes.select("rid", "digest", "some_id"), "rid")
     texts = (slim.join(wanted, (slim.digest == wanted.digest) & slim.id.eqNullSafe(wanted.some_id))
              .select("rid", "text").dropDuplicates(["rid"]))
-    bags = written(texts.mapInArrow(_bags(shingle), "rid long, shingles binary, counts binary"), work_dir(spark, "bags"))
+    bags = written(texts.mapInArrow(_bags(shingle), "rid long, shingles binary, counts binary, fine binary"), work_dir(spark, "bags"))
     search = _Search(nodes, bags, threshold)
     search.run(members)
     comp = nodes.select("digest", "rid")

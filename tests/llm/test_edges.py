@@ -103,10 +103,12 @@ def test_near(odd):
     assert {i for i, _ in _rows(kept)} == {c for c in expected.values()}
 
 
-def test_near_large_buckets(spark, monkeypatch):
+@pytest.mark.parametrize("group,large", [(12, 1 << 14), (12, 30)])
+def test_near_large_buckets(spark, monkeypatch, group, large):
     """A family of near copies, and many texts that share only a passage, with
-    bucket bounds so small that buckets are dealt anew."""
-    monkeypatch.setattr(neardup, "GROUP", 12)
+    bounds so small that buckets are cut into blocks and dealt anew."""
+    monkeypatch.setattr(neardup, "GROUP", group)
+    monkeypatch.setattr(neardup, "LARGE", large)
     rng = np.random.default_rng(2)
     base = [f"b{i}" for i in range(150)]
     texts = []
