@@ -16,11 +16,14 @@ the connected components of links; equal texts are one class from the start.
    signature of ``FINE`` slots, pairs of different components are taken in
    order of estimated similarity, and a pair is left out as soon as its
    components have met. Estimates five deviations below the threshold need no
-   look at the bags. So pairs never become rows. A bucket of more than
-   ``LARGE`` members is dealt anew by a second band (a third, ...), which parts
-   texts that only share a common line or passage; two texts of similarity 0.8
-   have two common bands with a chance of 1 - 6e-5, three with 1 - 5e-4.
-4. Every link is verified by the overlap of the two whole bags.
+   look at the bags. So pairs never become rows.
+4. Buckets with more than ``LARGE`` members outside the largest component
+   would make too many groups at once. Their members are dealt anew, without a
+   loss: by the rarest shingles of each bag, so many that two bags of the
+   threshold have one of them in common (prefix filter). This parts texts that
+   only share a common line or passage. All buckets of this second deal are
+   worked off as in 3, whatever their size.
+5. Every link is verified by the overlap of the two whole bags.
 
 Bags of the candidates are written once; a text compared with very many others
 meets them through ``join_hot``. Links and components stay on the cluster.
@@ -111,6 +114,18 @@ def similarity(x: bytes, nx: bytes, y: bytes, ny: bytes) -> float:
     return float(both / (n.sum() + m.sum() - both))
 
 
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A bag as a set: one token for each copy of a shingle."""
+    for b in batches:
+        for rid, size, x, nx in zip(*[b.column(c).to_pylist() for c in ("rid", "size", "shingles", "counts")]):
+            n = np.frombuffer(nx, "<u4").astype(np.int64)
+            copy = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            token = W.mix(np.repeat(np.frombuffer(x, "<u8"), n) + copy.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+            yield pa.RecordBatch.from_pydict({"rid": pa.array(np.full(len(token), rid, np.int64)),
+                                              "size": pa.array(np.full(len(token), size, np.int64)),
+                                              "token": pa.array(token.view(np.int64))})
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         cols = [b.column(c).to_pylist() for c in ("s1", "n1", "s2", "n2")]
@@ -163,7 +178,7 @@ class _Search:
     """Links among bucket members; each round works on what is unfinished."""
 
     def __init__(self, nodes: DataFrame, bags: DataFrame, threshold: float):
-        self.spark, self.nodes, self.bags, self.threshold = nodes.sparkSession, nodes, bags, threshold
+        self.spark, self.bags, self.threshold = nodes.sparkSession, bags, threshold
         self.links: DataFrame | None = None
         self.labels: DataFrame | None = None
 
@@ -198,11 +213,10 @@ class _Search:
             members.join(self.labels.withColumnRenamed("node", "rid"), "rid", "left")
             .withColumn("comp", F.coalesce("comp", "rid")))
         now = written(now, work_dir(self.spark, "members"))
-        parts = now.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("rid")).alias("who"),
-                                                  F.max("band").alias("at"))
+        parts = now.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("rid")).alias("who"))
         state = parts.groupBy("bucket").agg(F.sum("n").alias("n"), F.max(F.struct("n", "comp")).alias("top"),
-                                            F.bit_xor("who").alias("who"), F.max("at").alias("at"))
-        state = state.filter("top.n < n").groupBy("n", "who").agg(F.min(F.struct("at", "bucket", "top")).alias("s"))
+                                            F.bit_xor("who").alias("who"))
+        state = state.filter("top.n < n").groupBy("n", "who").agg(F.min(F.struct("bucket", "top")).alias("s"))
         state = state.select("s.bucket", "n", F.col("s.top.comp").alias("largest"), (F.col("n") - F.col("s.top.n")).alias("o"))
         met = join_hot(now, state, ["bucket"]).withColumn("out", F.col("comp") != F.col("largest")).drop("largest")
         return written(met, work_dir(self.spark, "open"))
@@ -221,22 +235,27 @@ class _Search:
         return rows.join(self.bags, "rid").groupBy("bucket", "ob", "mb").applyInArrow(_group(self.threshold), _LINK)
 
     def run(self, members: DataFrame) -> None:
-        """``members``: (bucket, band, rid, size), buckets of two members or
-        more; ``band`` is the last band that dealt the bucket."""
+        """``members``: (bucket, rid, size), buckets of two members or more."""
         self.add(self.first_links(members))
-        while not members.isEmpty():
-            open_ = self.unfinished(members)
-            self.add(self.grouped(open_.filter(F.col("n") <= LARGE)))
-            members = self._dealt_anew(open_.filter(F.col("n") > LARGE))
-
-    def _dealt_anew(self, members: DataFrame) -> DataFrame:
-        """Large buckets of many components, dealt by each later band."""
-        bands = self.nodes.select("rid", "bands")
-        rest = members.select("bucket", "band", "rid", "size").join(bands, "rid")
-        sub = rest.select("rid", "size", "bucket", "band", F.posexplode("bands").alias("next", "key"))
-        sub = sub.filter(F.col("next") > F.col("band"))
-        return shared(sub.select(F.xxhash64("bucket", "key").alias("bucket"), F.col("next").alias("band"), "rid", "size"),
-                      self.spark)
+        open_ = self.unfinished(members)
+        self.add(self.grouped(open_.filter(F.col("o") <= LARGE)))
+        large = open_.filter(F.col("o") > LARGE)
+        if not large.isEmpty():
+            self.add(self.grouped(self.unfinished(self.by_prefix(large))))
+
+    def by_prefix(self, open_: DataFrame) -> DataFrame:
+        """The texts of ``open_`` in a bucket for each token of their prefix,
+        rarest tokens first. Bags of the threshold have at least ``threshold *
+        size`` tokens in common, so their prefixes have one."""
+        texts = open_.select("rid", "size").distinct()
+        tokens = (texts.join(self.bags, "rid").select("rid", "size", "shingles", "counts")
+                  .mapInArrow(_tokens, "rid long, size long, token long"))
+        tokens = written(tokens, work_dir(self.spark, "tokens"))
+        met = join_hot(tokens, tokens.groupBy("token").agg(F.count(F.lit(1)).alias("held")), ["token"])
+        rarest = F.row_number().over(Window.partitionBy("rid").orderBy("held", "token"))
+        prefix = F.col("size") - F.ceil(F.col("size") * self.threshold - 1e-6) + 1
+        met = met.withColumn("at", rarest).filter(F.col("at") <= prefix)
+        return shared(met.select(F.col("token").alias("bucket"), "rid", "size"), self.spark)
 
 
 def shared(members: DataFrame, spark) -> DataFrame:
@@ -260,8 +279,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     nodes = rows.groupBy("digest").agg(F.first("size").alias("size"), F.first("bands").alias("bands"),
                                        F.min("id").alias("some_id"))
     nodes = written(nodes.withColumn("rid", F.monotonically_increasing_id()), work_dir(spark, "nodes"))
-    members = nodes.filter("size > 0").select("rid", "size", F.posexplode("bands").alias("band", "bucket"))
-    members = shared(members.select("bucket", "band", "rid", "size"), spark)
+    members = nodes.filter("size > 0").select("rid", "size", F.explode("bands").alias("bucket"))
+    members = shared(members.select("bucket", "rid", "size"), spark)
     wanted = members.select("rid").distinct().join(nodes.select("rid", "digest", "some_id"), "rid")
     texts = (slim.join(wanted, (slim.digest == wanted.digest) & slim.id.eqNullSafe(wanted.some_id))
              .select("rid", "text").dropDuplicates(["rid"]))

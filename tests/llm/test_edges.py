@@ -125,6 +125,26 @@ def test_near_large_buckets(spark, monkeypatch, group, large):
     assert got == expected
 
 
+def test_near_leaves_no_bucket_out(spark, monkeypatch):
+    """All texts stand in one bucket of the last band and share a passage; the
+    bucket exceeds ``LARGE``."""
+    monkeypatch.setattr(neardup, "LARGE", 4)
+    passage = " ".join(f"common{i}" for i in range(12))
+    texts = []
+    for k in range(20):
+        own = [f"t{k}x{i}" for i in range(100)]
+        texts += [" ".join([passage, *own]), " ".join([passage, *own[:97], "other", *own[98:], "twice", "twice"])]
+    nodes = spark.createDataFrame(list(enumerate(texts)), "rid long, text string")
+    bags = nodes.mapInArrow(neardup._bags(5), "rid long, shingles binary, counts binary, fine binary").cache()
+    nodes = nodes.withColumn("bands", F.array_repeat(F.lit(7).cast("long"), neardup.BANDS))
+    members = nodes.select(F.lit(7).cast("long").alias("bucket"), F.lit(neardup.BANDS - 1).alias("band"), "rid",
+                           F.size(F.split("text", " ")).cast("long").alias("words"))
+    members = members.select("bucket", "band", "rid", (F.col("words") - 4).alias("size")).cache()
+    search = neardup._Search(nodes, bags, neardup.THRESHOLD)
+    search.run(members)
+    assert {(r.a, r.b) for r in search.links.collect()} == {(2 * k, 2 * k + 1) for k in range(20)}
+
+
 def test_quality_statistics(odd):
     got = quality.verdicts(odd).collect()
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "marks", "base_failed")
