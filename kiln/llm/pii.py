@@ -6,8 +6,13 @@ entity table and get one surrogate everywhere. A surrogate is drawn from a
 keyed hash of the entity and keeps its type and format: digits stay digits,
 letters stay letters of their script, separators, case, country codes and
 top-level domains stay; a card number that passes the Luhn test gets one that
-does; an IPv4 address stays one; names keep title, gender and script, and a
-name part (the family name alone, say) is replaced alike wherever it stands.
+does; an IPv4 address stays one; names keep title, gender and script.
+
+A person is found by a title (``Mrs. Anna Smith``). The parts of such a name
+are then further mentions in the same text, alone or in a row, as written there
+or in capitals (``Anna Smith``, ``Smith``), with the surrogate of the first titled
+mention that has the part. A name that no title introduces in its text is not
+found.
 
 Collision checks: no two entities of a type share a surrogate, and no
 surrogate is itself an entity of the corpus. Entities that fail draw again
@@ -40,8 +45,8 @@ TITLES = {"Mr": "m", "Mister": "m", "Herr": "m", "Monsieur": "m", "Señor": "m",
 #: Types in the order in which they are tried. None matches an empty string or uses a capturing group.
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)+",
-    "secret": r"(?i:\b(?:token|secret|password|passwd|api[_-]?key)\b)\s{0,3}[=:]\s{0,3}[\"'][^\"'\s]{8,200}[\"']",
-    "key": r"(?<![\p{L}\p{N}])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|(?=[a-fA-F]*+[0-9])[0-9a-fA-F]{32,128})(?![\p{L}\p{N}])",
+    "secret": r"(?i:\b(?:token|secret|password|passwd|api[_-]?key)\b)\s*+[=:]\s*+[\"'][^\"'\s]{8,}+[\"']",
+    "key": r"(?<![\p{L}\p{N}])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,255}|(?=[a-fA-F]*+[0-9])[0-9a-fA-F]{32,}+)(?![\p{L}\p{N}])",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
     "ip": r"(?<![\p{N}.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?!\.?[0-9])",
     "card": r"(?<![\p{L}\p{N}+.-])(?:[0-9]{4}[ -]?){3}[0-9]{4}(?![\p{L}\p{N}])",
@@ -53,7 +58,7 @@ PATTERNS = {
 }
 ANY = "|".join(PATTERNS.values())
 #: Every entity holds one of these; a text without them needs no look at ``ANY``.
-HINT = r"[0-9@=]|:\s{0,3}[\"']|AKIA|gh[pousr]_|" + "|".join(TITLES)
+HINT = r"[0-9@=]|:\s*+[\"']|AKIA|gh[pousr]_|" + "|".join(TITLES)
 #: Syllables of made-up names by script, and their endings by gender (fixed values).
 SYLLABLES = {
     "Latn": ["ba", "den", "for", "gar", "hol", "kin", "lan", "mer", "nor", "pel", "ros", "sten", "tor", "val", "wes", "lin"],
@@ -83,8 +88,29 @@ def _normal(kind: Column, mention: Column) -> Column:
                    (kind == "phone", F.concat(F.when(mention.startswith("+"), F.lit("+")).otherwise(""), plain))], plain)
 
 
-def _parts(mention: Column) -> Column:
-    """Parts of a mention, each (type, norm, shown); type "" is kept as it is."""
+def _titled(mention: Column) -> Column:
+    return F.rlike(mention, F.lit(f"^(?:{PATTERNS['person']})$"))
+
+
+def _names(mentions: Column) -> Column:
+    """Parts of the titled names among a text's mentions."""
+    parts = F.flatten(F.transform(F.filter(mentions, _titled), lambda m: _parts(m)))
+    return F.array_distinct(F.filter(parts, lambda p: (p["type"] != "") & ~p["shown"].isin(*TITLES)))
+
+
+def _with_names(names: Column) -> Column:
+    """``ANY``, and the names of a text as whole words, longest first. Names
+    are letters and hyphens only."""
+    shown = F.transform(names, lambda p: p["shown"])
+    words = F.array_distinct(F.concat(shown, F.transform(shown, F.upper)))
+    words = F.reverse(F.array_sort(F.transform(words, lambda w: F.struct(F.length(w).alias("n"), w.alias("w")))))
+    one = F.concat(F.lit("(?:"), F.array_join(F.transform(words, lambda x: x["w"]), "|"), F.lit(r")(?![\p{L}\p{N}])"))
+    return F.concat(F.lit(ANY + r"|(?<![\p{L}\p{N}])"), one, F.lit("(?: "), one, F.lit(")*+"))
+
+
+def _parts(mention: Column, names: Column | None = None) -> Column:
+    """Parts of a mention, each (type, norm, shown); type "" is kept as it is.
+    A name without a title has the types of ``names``."""
     kind = mention_type(mention)
     words = F.split(mention, " ")
     title = F.regexp_replace(F.get(words, F.lit(0)), r"\.$", "")
@@ -94,7 +120,11 @@ def _parts(mention: Column) -> Column:
     def name(w: Column, i: Column) -> Column:
         script = F.when(F.rlike(w, F.lit(r"\p{IsCyrillic}")), F.lit("Cyrl")).otherwise("Latn")
         role = F.when(i == F.size(words) - 1, F.lit("family")).otherwise("given")
-        return part(F.when(i == 0, F.lit("")).otherwise(F.concat_ws(" ", role, script, gender)), F.lower(w), w)
+        titled = F.when(i == 0, F.lit("")).otherwise(F.concat_ws(" ", role, script, gender))
+        if names is None:
+            return part(titled, F.lower(w), w)
+        known = F.get(F.filter(names, lambda p: p["norm"] == F.lower(w)), F.lit(0))["type"]
+        return part(F.when(_titled(mention), titled).otherwise(known), F.lower(w), w)
     return F.when(kind == "person", F.transform(words, name)).otherwise(F.array(part(kind, _normal(kind, mention), mention)))
 
 
@@ -117,8 +147,8 @@ def surrogate(kind: Column, norm: Column, nonce: Column, key: str) -> Column:
     tld = F.length(norm) - F.length(F.substring_index(norm, ".", -1))
     domain = drawn(F.lit("domain"), F.substring_index(norm, "@", -1))
 
-    def letter(c: Column, i: Column) -> Column:
-        x = F.substring(F.when((kind == "email") & (i + 1 > at), domain).otherwise(h), F.pmod(i, F.lit(128)) + 1, F.lit(1))
+    def letter(c: Column, i: Column, once: Column) -> Column:
+        x = F.substring(F.when((kind == "email") & (i + 1 > at), domain).otherwise(once), F.pmod(i, F.lit(128)) + 1, F.lit(1))
         same = ((kind == "email") & ((c == "@") | (i >= tld))) | ((kind == "card") & (i == 0)) | ((kind == "iban") & (i < 2)) \
             | ((kind == "phone") & (i == 1) & norm.startswith("+"))
         hexed = kind.isin("secret", "key") & F.rlike(c, F.lit("[a-f]"))
@@ -127,7 +157,9 @@ def surrogate(kind: Column, norm: Column, nonce: Column, key: str) -> Column:
                        (F.rlike(c, F.lit(r"\p{IsCyrillic}")), F.translate(x, HEX, "абвгдежзиклмнопр")),
                        (F.rlike(c, F.lit(r"\p{L}")), F.translate(x, HEX, "abdeghiklmnoprst"))], c)
 
-    plain = F.array_join(F.transform(F.split(norm, ""), letter), "")
+    # the hash as a lambda variable: made once, not for each letter
+    plain = F.get(F.transform(F.array(h), lambda once: F.array_join(
+        F.transform(F.split(norm, ""), lambda c, i: letter(c, i, once)), "")), F.lit(0))
     body = F.substring(plain, F.lit(1), F.length(plain) - 1)
     check = F.pmod(10 - _luhn_sum(F.concat(body, F.lit("0"))) % 10, F.lit(10)).cast("string")
     card = F.when(_luhn_sum(norm) % 10 == 0, F.concat(body, check)).otherwise(plain)
@@ -155,11 +187,15 @@ def _shown(kind: Column, made: Column, shown: Column) -> Column:
                         (acc["k"] + F.when(free, 1).otherwise(0)).alias("k"))
 
     value = F.regexp_extract(shown, r"[\"']([^\"'\s]+)[\"']$", 1)
+    whole = made
     made_plain = F.when(kind == "email", F.regexp_replace(made, r"[^\p{L}\p{N}]", "")).otherwise(F.ltrim(made, F.lit("+")))
     made = F.when(kind == "secret", F.regexp_replace(made, r"[^\p{L}\p{N}]", "")).otherwise(made_plain)
     target = F.when(kind == "secret", value).otherwise(shown)
     zero = F.struct(F.lit("").alias("out"), F.lit(0).alias("k"))
-    filled = F.aggregate(F.split(target, ""), zero, put)["out"]
+    # secrets and keys, which may be long, have a surrogate letter by letter
+    cased = F.zip_with(F.split(target, ""), F.split(whole, ""), lambda c, x: F.when(c != F.lower(c), F.upper(x)).otherwise(x))
+    filled = F.when(kind.isin("secret", "key") & (F.length(whole) == F.length(target)), F.array_join(cased, "")).otherwise(
+        F.aggregate(F.split(target, ""), zero, put)["out"])
     secret = F.concat(F.substring(shown, F.lit(1), F.length(shown) - F.length(value) - 1), filled, F.substring(shown, -1, 1))
     return _cases([(kind == "", shown), (kind == "ip", made), (kind == "secret", secret),
                    (kind.contains(" "), F.initcap(made))], filled)
@@ -192,13 +228,17 @@ def replace_entities(docs: DataFrame, key: str, text_col: str = "text") -> DataF
     count, = fresh(docs, "n_replaced")
     if "n_replaced" not in {c.lower() for c in docs.columns}:
         count = "n_replaced"
-    row, found = fresh(docs.withColumn(count, F.lit(0)), "row", "found")
+    row, found, names, pattern = fresh(docs.withColumn(count, F.lit(0)), "row", "found", "names", "pattern")
     mentions = F.regexp_extract_all(F.col(text_col), F.lit(ANY), F.lit(0))
     has = F.coalesce(F.rlike(F.col(text_col), F.lit(HINT)) & F.rlike(F.col(text_col), F.lit(ANY)), F.lit(False))
-    held = written(docs.filter(has).withColumn(row, F.monotonically_increasing_id()).withColumn(found, mentions),
-                   work_dir(spark, "mentions"))
-    parts = held.select(F.col(row).alias("row"), F.posexplode(found).alias("at", "mention"))
-    parts = parts.select("row", "at", F.posexplode(_parts(F.col("mention"))).alias("part", "p"))
+    held = docs.filter(has).withColumn(row, F.monotonically_increasing_id()).withColumn(found, mentions)
+    held = held.withColumn(names, _names(F.col(found)))
+    held = held.withColumn(pattern, F.when(F.size(names) > 0, _with_names(F.col(names))))
+    held = held.withColumn(found, F.when(F.col(pattern).isNull(), F.col(found))
+                           .otherwise(F.regexp_extract_all(F.col(text_col), F.col(pattern), F.lit(0))))
+    held = written(held, work_dir(spark, "mentions"))
+    parts = held.select(F.col(row).alias("row"), F.col(names).alias("names"), F.posexplode(found).alias("at", "mention"))
+    parts = parts.select("row", "at", F.posexplode(_parts(F.col("mention"), F.col("names"))).alias("part", "p"))
     parts = written(parts.select("row", "at", "part", "p.*"), work_dir(spark, "parts"))
     made = assign(parts.filter("type <> ''").select("type", "norm").distinct(), key)
     met = join_hot(parts, made, ["type", "norm"], "left").select(
@@ -207,7 +247,8 @@ def replace_entities(docs: DataFrame, key: str, text_col: str = "text") -> DataF
     lists = met.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("at", "part", "shown"))).alias("new"))
     lists = lists.select(F.col("row").alias(row), F.transform("new", lambda x: F.struct(
         x["at"].alias("at"), x["part"].alias("part"), x["shown"].alias("shown"))).alias("new"))
-    pieces = F.split(F.col(text_col), ANY, -1)
+    pieces = F.when(F.col(pattern).isNull(), F.split(F.col(text_col), ANY, -1)).otherwise(
+        F.split(F.col(text_col), F.col(pattern), -1))
     put = F.transform(F.col("_new"), lambda x: F.concat(
         F.when(x["part"] == 0, F.get(pieces, x["at"])).otherwise(F.lit(" ")), x["shown"]))
     text = F.concat(F.array_join(put, ""), F.element_at(pieces, -1))

@@ -295,6 +295,26 @@ def test_pii(odd, spark):
     assert got[7] == (None, 0) and got[8] == ("", 0) and got[9] == ("no entity 2024", 0)
 
 
+def test_pii_names_without_title_and_long_secrets(spark):
+    jwt, blob, gap = "eyJ" + "aB3.-_" * 60, "0123456789abcdef" * 5000, "s3cretvalue"
+    texts = ["Mrs. Anna Smith called. Later Anna Smith wrote; Smith agreed.", "Smith and Anna, no title here",
+             f'token = "{jwt}" and', f"hash {blob} end", f'password    =    "{gap}"',
+             "Herr Jung-Weber kam, sagte Jung-Weber. Jung war jung. SMITHSON, Mr. Smith and SMITH's Smithers"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.text, r.n_replaced) for r in pii.replace_entities(df, "k").collect()}
+    text, n = got[0]
+    _, given, family, *_ = text.split(" ")
+    assert text == f"Mrs. {given} {family} called. Later {given} {family} wrote; {family} agreed." and n == 3
+    assert "Anna" not in text and "Smith" not in text and got[1] == (texts[1], 0)
+    new = got[2][0].removeprefix('token = "').removesuffix('" and')
+    assert got[2][1] == 1 and new != jwt and [len(x) for x in new.split(".")] == [len(x) for x in jwt.split(".")]
+    new = got[3][0].removeprefix("hash ").removesuffix(" end")
+    assert got[3][1] == 1 and len(new) == len(blob) and new != blob and gap not in got[4][0]
+    text, n = got[5]
+    assert n == 4 and "Weber" not in text and "Jung war jung. SMITHSON, Mr. " in text and text.endswith("'s Smithers")
+    assert "SMITH'" not in text and text.split(" kam, ")[0].split()[-1] == text.split("sagte ")[1].split(".")[0]
+
+
 def test_pii_collisions_are_redrawn(spark, monkeypatch):
     """Names drawn from so few syllables that they collide at first."""
     monkeypatch.setattr(pii, "SYLLABLES", {k: [v[0]] * 15 + [v[1]] for k, v in pii.SYLLABLES.items()})
