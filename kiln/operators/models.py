@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel
@@ -253,11 +254,20 @@ class IndexedAls:
 
     def recommend(self, users: DataFrame, n: int, rated: DataFrame, user: str = "user_id",
                   item: str = "item_id") -> DataFrame:
-        """The n best items that each of ``users`` has not rated, by rank. As
-        many more are asked of the model as one of the users has rated."""
-        most = rated.join(users.select(user).distinct(), user, "left_semi").groupBy(user).count().agg(F.max("count")).first()[0]
-        asked = self.users.join(users.select(user).distinct(), user).select(F.col("_user").cast("int").alias("_user"))
-        recs = self.model.recommendForUserSubset(asked, n + int(most or 0))
+        """The n best items that each of ``users`` has not rated, by rank.
+        Users are asked for in groups of like numbers of ratings (the same
+        number of binary digits, so a few dozen groups at most), each with as
+        many items more as one of its users has rated."""
+        checkpoint_dir(users.sparkSession)
+        wanted = users.select(user).distinct()
+        counts = rated.join(wanted, user, "left_semi").groupBy(user).agg(F.count(F.lit(1)).alias("_rated"))
+        asked = self.users.join(wanted, user).join(counts, user, "left").select(
+            F.col("_user").cast("int").alias("_user"), F.coalesce("_rated", F.lit(0)).alias("_rated"))
+        asked = asked.withColumn("_digits", F.length(F.bin("_rated"))).checkpoint()
+        groups = asked.groupBy("_digits").agg(F.max("_rated").alias("most")).collect() or [(1, 0)]
+        recs = reduce(DataFrame.unionByName, [
+            self.model.recommendForUserSubset(asked.filter(F.col("_digits") == digits).select("_user"), n + most)
+            for digits, most in sorted(groups)])
         recs = recs.select("_user", F.explode("recommendations").alias("r")).select(
             "_user", F.col("r._item").alias("_item"), F.col("r.rating").cast("double").alias("pred"))
         named = recs.join(self.users, "_user").join(self.items, "_item").drop("_user", "_item")

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import random
 
+import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
@@ -88,6 +89,36 @@ def test_als_takes_ids_beyond_int_and_strings(spark):
     assert len({(r["user_id"], r["item_id"]) for r in top}) == len(top) == 12 * 2
 
 
+def test_recommend_asks_by_the_users_own_count(spark, monkeypatch):
+    """One user has rated nearly all items; the others are not asked for as many."""
+    pairs = [(0, i) for i in range(39)] + [(u, i) for u in range(1, 9) for i in range(40) if (u * 7 + i) % 11 == 0]
+    df = spark.createDataFrame([(u, i, float(1 + (u + i) % 5)) for u, i in pairs], "user_id long, item_id long, rating double")
+    df = df.union(spark.createDataFrame([(9, 39, 2.0)], df.schema))
+    model = M.fit_als(df, rank=2, iters=3, reg=0.1)
+    ask, asked = type(model.model).recommendForUserSubset, []
+    monkeypatch.setattr(type(model.model), "recommendForUserSubset",
+                        lambda self, users, n: asked.append((users.count(), n)) or ask(self, users, n))
+    got = {}
+    for r in model.recommend(df.select("user_id"), 5, df).collect():
+        got.setdefault(r["user_id"], []).append((r["rank"], r["pred"]))
+    assert sum(c for c, n in asked if n > 20) == 1 and sum(c for c, _ in asked) == 10
+    every = df.select("user_id").distinct().crossJoin(df.select("item_id").distinct()).join(df, ["user_id", "item_id"], "left_anti")
+    expected = {}
+    for r in M.predict_pairs(model, every, fill=None, upper=None).collect():
+        expected.setdefault(r["user_id"], []).append(r["pred"])
+    assert set(got) == set(expected) == set(range(10))
+    for u, preds in expected.items():
+        assert [p for _, p in sorted(got[u])] == pytest.approx(sorted(preds, reverse=True)[:5], abs=1e-5)
+
+
+def test_every_user_gets_recommendations(spark):
+    from kiln.plans import catalog
+    from kiln.sources import views as V
+    users = {r["user_id"] for r in V.ratings_train(spark, "/root/testdata/sf0.001").select("user_id").distinct().collect()}
+    top = catalog.QUERIES["recommend_many_users"](spark, "/root/testdata/sf0.001").collect()
+    assert {r["user_id"] for r in top} == users and max(r["rank"] for r in top) == 10
+
+
 def test_importance_is_named_from_the_vector(spark):
     df = spark.createDataFrame([(float(i % 7), "a" if i % 3 else "b", float(i % 2)) for i in range(60)], "x double, c string, label double")
     model, pred = M.fit_predict("forest", df, df, M.feature_pipeline(["x"], ["c"]), "label", numTrees=3)
