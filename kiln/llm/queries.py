@@ -1,4 +1,4 @@
-"""The ten operator queries and the pipeline, with their production
+"""The operator queries and the pipeline, with their production
 parameters, over whole tables."""
 
 from __future__ import annotations
@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from kiln.llm import chat, exact, idfile, mix, neardup, pack, pii, quality, substring, warc
+from kiln.llm import chat, exact, idfile, mix, neardup, pack, pii, quality, resample, sentpiece, substring, warc, whiten
 from kiln.llm.common import work_dir, written
 from kiln.llm.registry import query
 from kiln.sources.tables import load
@@ -119,3 +119,35 @@ def op10_warc(spark, sf_dir):
     files = warc.write(warc.to_arc(load(spark, sf_dir, "pages")), work_dir(spark, "warc"))
     return warc.read(files).select(F.col("row").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
                                    "refers_to")
+
+
+@query("op11_whitening")
+def op11_whitening(spark, sf_dir):
+    """Up to 8 whitened components of every embedding, by QDWH."""
+    table = load(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = whiten.fit(table, "embedding", most=8)
+    error = whiten.identity_error(table, "embedding", model)
+    explained = F.array(*[F.lit(float(e)) for e in model.explained]).cast("array<double>")
+    rows = whiten.transform(table, "embedding", model)
+    return rows.select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened")).select(
+        "vec_id", (F.col("at") + 1).alias("component"), F.lit(model.n).cast("long").alias("n"), "deviation", "whitened",
+        F.get(explained, F.col("at")).alias("explained"), F.lit(error).alias("identity_error"))
+
+
+@query("op12_resampling")
+def op12_resampling(spark, sf_dir):
+    """Documents drawn towards the benchmark's distribution of word n-grams."""
+    drawn = resample.draw(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"), percent=5, min_words=20)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query("op13_sentencepiece")
+def op13_sentencepiece(spark, sf_dir):
+    """Every document encoded by merge rounds and decoded by the library."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    ids = sentpiece.encode(load(spark, sf_dir, "documents").select("doc_id", "text"), model).select("doc_id", "ids")
+    back = sentpiece.decode(ids, model)
+    listed = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                       F.sha2(listed.cast("binary"), 256).alias("ids_sha256"),
+                       F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
