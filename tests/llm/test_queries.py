@@ -28,7 +28,7 @@ def queries():
 
 def test_all_are_registered(queries):
     import __spark_entry__ as entry
-    assert {int(n[2:].split("_")[0]) for n in queries if n.startswith("op")} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in queries if n.startswith("op")} == set(range(1, 14))
     assert set(queries) <= set(entry.queries()) and "pipeline" in queries and set(ORACLE) <= set(entry.oracle_sql())
 
 
