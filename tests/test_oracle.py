@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import pytest
 
-from conftest import SF_SMALL
+from kiln_paths import SF_SMALL
 from kiln.plans import catalog
 from tools.oracle_check import rows_of, type_diff
 

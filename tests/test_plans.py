@@ -6,7 +6,7 @@ from __future__ import annotations
 
 import pytest
 
-from conftest import SF_SMALL
+from kiln_paths import SF_SMALL
 from kiln.plans import catalog
 
 PY_NODES = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "MapInPandas", "FlatMapGroupsInPandas")
