@@ -9,7 +9,6 @@ groups; every candidate is then verified exactly. No cap, no sampling.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -18,7 +17,7 @@ from pyspark.sql import functions as F
 from kiln.functions.columns import dot, norm2
 from kiln.operators.prefix import running_sum
 from kiln.operators.sampling import sample_n
-from kiln.session import scratch_path
+from kiln.session import stored
 
 
 def jaccard_pairs(df: DataFrame, item: str, token: str, threshold: float, digits: int = 6) -> DataFrame:
@@ -100,13 +99,6 @@ def sq_euclid(a, b) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda u, v: (u - v).cast("double") * (u - v)), F.lit(0.0), lambda acc, x: acc + x)
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a written table in the shared folder, read by several steps."""
-    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def knn_neighbours(test: DataFrame, train: DataFrame, id_col: str, vec: str, label: str, k: int,
                    pivots: int = 64, block_rows: int = 4096) -> DataFrame:
     """M5 (neighbour search): the k nearest train rows of every test row by
@@ -121,10 +113,10 @@ def knn_neighbours(test: DataFrame, train: DataFrame, id_col: str, vec: str, lab
     (cell, block); only the table of cells (``pivots`` rows) is handed to every
     task, as one array."""
     t = train.select(F.col(id_col).alias("neighbour"), F.col(vec).alias("_tv"), F.col(label).alias("neighbour_label"))
-    chosen = _stored(sample_n(t, pivots, "neighbour"), "knn-pivots")
+    chosen = stored(sample_n(t, pivots, "neighbour"), "knn-pivots")
     table = chosen.agg(F.collect_list(F.struct(F.col("neighbour").alias("label"), F.col("_tv").alias("centre"))).alias("c"))
     placed = nearest_centre(t, "_tv", table.select("c").scalar(), 15).withColumnRenamed("cluster", "_cell")
-    placed = _stored(placed.withColumn("_far", F.sqrt("sq_dist")).drop("sq_dist"), "knn-cells")
+    placed = stored(placed.withColumn("_far", F.sqrt("sq_dist")).drop("sq_dist"), "knn-cells")
     sizes = placed.groupBy("_cell").agg(F.count(F.lit(1)).alias("_n"), F.max("_far").alias("_radius"))
     blocks = F.ceil(F.col("_n") / block_rows).cast("int")
     centres = chosen.select(F.col("neighbour").alias("_cell"), F.col("_tv").alias("_centre"))

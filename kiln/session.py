@@ -9,9 +9,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session of ours gets. Shuffle partitions are sized by the
 # caller (cores locally, data size / ~128 MB on a cluster); AQE then
@@ -70,6 +71,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a written table in the shared folder: computed once, read by
+    several steps, and only read again after a lost executor."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 _SHIPPED: set[str] = set()
 
 
