@@ -13,11 +13,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from kiln.functions.columns import dot, norm2
+from kiln.operators import knn
 from kiln.operators.prefix import running_sum
-from kiln.operators.sampling import sample_n
-from kiln.session import stored
+from kiln.session import ship_package
 
 
 def jaccard_pairs(df: DataFrame, item: str, token: str, threshold: float, digits: int = 6) -> DataFrame:
@@ -100,63 +101,37 @@ def sq_euclid(a, b) -> Column:
 
 
 def knn_neighbours(test: DataFrame, train: DataFrame, id_col: str, vec: str, label: str, k: int,
-                   pivots: int = 64, block_rows: int = 4096) -> DataFrame:
+                   block_rows: int = 16384) -> DataFrame:
     """M5 (neighbour search): the k nearest train rows of every test row by
     squared Euclidean distance, ties by train id, exact.
 
-    Train is cut into cells around ``pivots`` of its rows (those with the
-    least key hashes), and large cells into blocks of about ``block_rows``, so
-    a crowded cell is many join keys. A test row first meets the cells that
-    hold k rows nearest to it by the triangle inequality; the k-th distance
-    found there bounds the search, and the row then goes only to further cells
-    whose nearest possible member lies within it. All of it is equi-joins on
-    (cell, block); only the table of cells (``pivots`` rows) is handed to every
-    task, as one array."""
-    t = train.select(F.col(id_col).alias("neighbour"), F.col(vec).alias("_tv"), F.col(label).alias("neighbour_label"))
-    chosen = stored(sample_n(t, pivots, "neighbour"), "knn-pivots")
-    table = chosen.agg(F.collect_list(F.struct(F.col("neighbour").alias("label"), F.col("_tv").alias("centre"))).alias("c"))
-    placed = nearest_centre(t, "_tv", table.select("c").scalar(), 15).withColumnRenamed("cluster", "_cell")
-    placed = stored(placed.withColumn("_far", F.sqrt("sq_dist")).drop("sq_dist"), "knn-cells")
-    sizes = placed.groupBy("_cell").agg(F.count(F.lit(1)).alias("_n"), F.max("_far").alias("_radius"))
-    blocks = F.ceil(F.col("_n") / block_rows).cast("int")
-    centres = chosen.select(F.col("neighbour").alias("_cell"), F.col("_tv").alias("_centre"))
-    cells = sizes.join(centres, "_cell").agg(F.collect_list(F.struct(
-        F.col("_cell").alias("cell"), F.col("_centre").alias("centre"), F.col("_radius").alias("radius"),
-        F.col("_n").alias("n"), blocks.alias("blocks"))).alias("c")).select("c").scalar()
-    own_blocks = F.element_at(F.filter(F.col("_cells"), lambda c: c["cell"] == F.col("_cell")), 1)["blocks"]
-    stored = (placed.withColumn("_cells", cells)
-              .withColumn("_block", F.pmod(F.xxhash64("neighbour"), own_blocks).cast("int"))
-              .select("_cell", "_block", "neighbour", "neighbour_label", "_tv"))
-    q = test.select(F.col(id_col).alias("_q"), F.col(vec).alias("_qv"), cells.alias("_all")).withColumn("_cells", F.transform(
-        "_all", lambda c: F.struct(F.sqrt(sq_euclid(F.col("_qv"), c["centre"])).alias("away"), c["cell"].alias("cell"),
-                                  c["radius"].alias("radius"), c["n"].alias("n"), c["blocks"].alias("blocks"))))
-    # cells in order of distance until k rows are met: their farthest member bounds the k-th distance
-    near = F.aggregate(F.array_sort("_cells"), F.struct(F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("reach")),
-                       lambda acc, c: F.when(acc["n"] >= k, acc).otherwise(F.struct(
-                           (acc["n"] + c["n"]).alias("n"), F.greatest(acc["reach"], c["away"] + c["radius"]).alias("reach"))))
-    first = F.aggregate(F.array_sort("_cells"), F.struct(F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("last")),
-                        lambda acc, c: F.when(acc["n"] >= k, acc).otherwise(F.struct(
-                            (acc["n"] + c["n"]).alias("n"), c["away"].alias("last"))))["last"]
-    q = q.withColumn("_reach", near["reach"]).withColumn("_first", first)
-    best = Window.partitionBy("_q").orderBy("sq_dist", "neighbour")
-
-    def meet(rows: DataFrame) -> DataFrame:
-        """The k best of the rows' cells (column ``_to``)."""
-        at = rows.select("_q", "_qv", F.explode("_to").alias("_c"))
-        at = at.select("_q", "_qv", F.col("_c.cell").alias("_cell"),
-                       F.explode(F.sequence(F.lit(0), F.col("_c.blocks") - 1)).alias("_block"))
-        d = at.join(stored, ["_cell", "_block"]).select(
-            "_q", "neighbour", "neighbour_label", sq_euclid(F.col("_qv"), F.col("_tv")).alias("sq_dist"))
-        return d.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
-
-    here = meet(q.withColumn("_to", F.filter("_cells", lambda c: c["away"] <= F.col("_first"))))
-    bound = here.groupBy("_q").agg(F.sqrt(F.max("sq_dist")).alias("_bound"), F.count(F.lit(1)).alias("_found"))
-    more = q.join(bound, "_q").withColumn("_bound", F.when(F.col("_found") >= k, F.least("_bound", "_reach"))
-                                          .otherwise(F.lit(float("inf"))))
-    there = meet(more.withColumn("_to", F.filter("_cells", lambda c: (c["away"] > F.col("_first")) & (
-        c["away"] - c["radius"] <= F.col("_bound") * (1 + 1e-9)))))
-    both = here.drop("rank").unionByName(there.drop("rank")).withColumn("rank", F.row_number().over(best))
-    return both.filter(F.col("rank") <= k).select(F.col("_q").alias(id_col), "neighbour", "neighbour_label", "sq_dist", "rank")
+    Both sides are dealt over blocks of about ``block_rows`` rows by a hash of
+    the id; each (test block, train block) meets once, as two matrices in one
+    task (``kiln.operators.knn``). Pairs never become rows: a cell hands on at
+    most k rows per test row, and the k best of these are kept. Numbers of
+    blocks come from counts inside the plan. Rows without a vector, or with a
+    null in it, neither have nor are neighbours."""
+    def sound(df: DataFrame) -> DataFrame:
+        return df.filter(F.col(vec).isNotNull() & ~F.exists(vec, lambda c: c.isNull()))
+
+    def blocks(df: DataFrame) -> Column:
+        return sound(df).agg(F.greatest(F.ceil(F.count(F.lit(1)) / block_rows), F.lit(1)).cast("int").alias("n")).select("n").scalar()
+
+    def dealt(df: DataFrame, columns: list[Column], own: str, other: str, n_own: Column, n_other: Column) -> DataFrame:
+        return sound(df).select(*columns, F.pmod(F.xxhash64(id_col), n_own).cast("int").alias(own),
+                                F.explode(F.sequence(F.lit(0), n_other - 1)).alias(other))
+    n_test, n_train = blocks(test), blocks(train)
+    values = F.col(vec).cast("array<double>").alias("v")
+    q = dealt(test, [F.col(id_col).alias("id"), values], "i", "j", n_test, n_train)
+    t = dealt(train, [F.col(id_col).alias("neighbour"), F.col(label).alias("neighbour_label"), values],
+              "j", "i", n_train, n_test)
+    schema = StructType([StructField("id", test.schema[id_col].dataType), StructField("neighbour", train.schema[id_col].dataType),
+                         StructField("neighbour_label", train.schema[label].dataType), StructField("sq_dist", DoubleType())])
+    ship_package(test.sparkSession)
+    met = q.groupBy("i", "j").cogroup(t.groupBy("i", "j")).applyInArrow(knn.nearest_in_cell(k), schema)
+    best = Window.partitionBy("id").orderBy("sq_dist", "neighbour")
+    return (met.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+            .select(F.col("id").alias(id_col), "neighbour", "neighbour_label", "sq_dist", "rank"))
 
 
 def knn_vote(neigh: DataFrame, id_col: str, weights: str = "uniform") -> DataFrame:
@@ -166,7 +141,8 @@ def knn_vote(neigh: DataFrame, id_col: str, weights: str = "uniform") -> DataFra
         w = F.lit(1.0)
     else:
         w = F.when(F.col("sq_dist") == 0, F.lit(1e300)).otherwise(1.0 / F.sqrt("sq_dist"))
-    votes = neigh.groupBy(id_col, "neighbour_label").agg(F.sum(w).alias("_v"))
+    # rounded, so that equal sums of weights tie in any order of summation
+    votes = neigh.groupBy(id_col, "neighbour_label").agg(F.round(F.sum(w), 9).alias("_v"))
     best = votes.groupBy(id_col).agg(F.max_by("neighbour_label",
                                                F.struct(F.col("_v"), -F.col("neighbour_label"))).alias("prediction"))
     return best
