@@ -1,11 +1,5 @@
-"""Set, vector and document similarity.
-
-Jaccard pairs use exact prefix filtering: with tokens in one global order
-(rarest first), two sets with Jaccard >= t must share a token among the first
-``n - floor(t n) + 1`` tokens of each. Only those prefix entries are joined,
-so frequent tokens (a user who rated everything) rarely form candidate
-groups; every candidate is then verified exactly. No cap, no sampling.
-"""
+"""Vector and document similarity, nearest neighbours (T7, M5, C7). Joins above
+a similarity threshold are in ``simjoin``."""
 
 from __future__ import annotations
 
@@ -17,36 +11,9 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from kiln.functions.columns import dot, norm2
 from kiln.operators import knn
-from kiln.operators.prefix import running_sum
 from kiln.session import ship_package
 
 
-def jaccard_pairs(df: DataFrame, item: str, token: str, threshold: float, digits: int = 6) -> DataFrame:
-    """Item pairs (id1 < id2) whose token sets have Jaccard >= threshold."""
-    sets = df.select(item, token).distinct()
-    freq = sets.groupBy(token).agg(F.count(F.lit(1)).alias("_df"))
-    # global token order: rarest first, ties by token
-    ranked = running_sum(freq.withColumn("_one", F.lit(1)), ["_df", token], ["_one"]) \
-        .select(token, F.col("cum__one").alias("_rank"))
-    sizes = sets.groupBy(item).agg(F.count(F.lit(1)).alias("_n"))
-    r = sets.join(ranked, token)
-    pos = running_sum(r.withColumn("_one", F.lit(1)), ["_rank"], ["_one"], keys=[item]) \
-        .withColumnRenamed("cum__one", "_pos").join(sizes, item)
-    prefix = pos.filter(F.col("_pos") <= F.col("_n") - F.floor(F.col("_n") * F.lit(threshold)) + 1)
-    a = prefix.select(F.col(item).alias("id1"), token, F.col("_n").alias("n1"))
-    b = prefix.select(F.col(item).alias("id2"), token, F.col("_n").alias("n2"))
-    cand = (a.join(b, token).filter(F.col("id1") < F.col("id2"))
-            .filter((F.col("n2") >= F.col("n1") * threshold) & (F.col("n1") >= F.col("n2") * threshold))
-            .select("id1", "id2", "n1", "n2").distinct())
-    s1 = sets.select(F.col(item).alias("id1"), token)
-    s2 = sets.select(F.col(item).alias("id2"), token)
-    inter = (cand.join(s1, "id1").join(s2, ["id2", token])
-             .groupBy("id1", "id2", "n1", "n2").agg(F.count(F.lit(1)).alias("inter")))
-    sim = F.col("inter") / (F.col("n1") + F.col("n2") - F.col("inter"))
-    return inter.withColumn("similarity", sim).filter(F.col("similarity") >= threshold) \
-        .select("id1", "id2", F.round("similarity", digits).alias("similarity"))
-
-
 def cosine_sparse(weights: DataFrame, doc: str = "doc", term: str = "term", weight: str = "weight",
                   digits: int = 6) -> DataFrame:
     """Cosine of every document pair (doc1 < doc2) sharing a term, from a

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kiln.functions.columns import safe_div
-from kiln.operators.prefix import running_sum
+from kiln.operators.prefix import rows_at, running_sum
 from kiln.operators.report import unpivot_str
 
 
@@ -139,7 +139,7 @@ def ks_two_sample(df: DataFrame, features: Sequence[str], cls: str, digits: int
     per = (long.groupBy("feature", "value")
            .agg(F.count_if(F.col(cls) == 0).alias("c0"), F.count_if(F.col(cls) == 1).alias("c1")))
     cum = running_sum(per, ["value"], ["c0", "c1"], keys=["feature"])
-    tot = cum.groupBy("feature").agg(F.max("cum_c0").alias("n0"), F.max("cum_c1").alias("n1"))
+    tot = per.groupBy("feature").agg(F.sum("c0").alias("n0"), F.sum("c1").alias("n1"))
     d = (cum.join(tot, "feature")
          .withColumn("gap", F.abs(safe_div("cum_c0", "n0") - safe_div("cum_c1", "n1")))
          .groupBy("feature", "n0", "n1").agg(F.max("gap").alias("d")))
@@ -155,16 +155,17 @@ def ks_two_sample(df: DataFrame, features: Sequence[str], cls: str, digits: int
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], keys: Sequence[str] = ()) -> DataFrame:
     """Exact linear-interpolation quantiles (position p * (n - 1)) per key.
 
-    Distinct values with counts -> distributed running count -> each value
-    row checks which of the few target positions it covers. No group ever
-    holds its values in one buffer (unlike the ``percentile`` aggregate)."""
+    Distinct values with counts -> order buckets; only buckets that hold a
+    target position are sorted, and each of their rows checks which positions
+    it covers. No group ever holds its values in one buffer (unlike the
+    ``percentile`` aggregate)."""
     keys = list(keys)
     per = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("c"))
-    cum = running_sum(per, [value], ["c"], keys=keys)
-    # totals from the (checkpointed) running counts, not a second pass over the input
-    tot = cum.groupBy(*keys).agg(F.max("cum_c").alias("_n"))
-    j = cum.join(tot, keys) if keys else cum.withColumn("_n", tot.select("_n").scalar())
+    tot = per.groupBy(*keys).agg(F.sum("c").alias("_n"))
     probs_arr = F.array(*[F.lit(float(p)) for p in probs])
+    at = F.flatten(F.transform(probs_arr, lambda p: F.array(F.floor(p * (F.col("_n") - 1)), F.ceil(p * (F.col("_n") - 1)))))
+    cum = rows_at(per, [value], "c", tot.select(*keys, at.alias("_at")), keys=keys)
+    j = cum.join(tot, keys) if keys else cum.withColumn("_n", tot.select("_n").scalar())
     j = j.withColumn("_p", F.explode(probs_arr))
     pos = F.col("_p") * (F.col("_n") - 1)
     lo, hi = F.floor(pos), F.ceil(pos)
@@ -240,7 +241,7 @@ def roc(df: DataFrame, label: str, score: str, digits: int = 6) -> DataFrame:
     """One ROC point per distinct score (threshold: score >= t),
     from running totals taken from the highest score down."""
     per = _score_counts(df, label, score)
-    cum = running_sum(per, [F.desc("score")], ["pos", "neg"])
+    cum = running_sum(per, [-F.col("score")], ["pos", "neg"])
     tot = per.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     P, N = tot.select("P").scalar(), tot.select("N").scalar()
     return cum.select(F.col("score").alias("threshold"), F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"),
@@ -262,7 +263,7 @@ def score_thresholds(df: DataFrame, label: str, score: str, digits: int = 6) ->
     """Confusion counts and scores at every distinct score (positive
     when score >= threshold)."""
     per = _score_counts(df, label, score)
-    cum = running_sum(per, [F.desc("score")], ["pos", "neg"])
+    cum = running_sum(per, [-F.col("score")], ["pos", "neg"])
     tot = per.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     P, N = tot.select("P").scalar(), tot.select("N").scalar()
     c = cum.select(F.col("score").alias("threshold"), F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"))
@@ -275,7 +276,7 @@ def pr_area(df: DataFrame, label: str, score: str, digits: int = 6) -> DataFrame
     scores, by trapezoids; the curve begins at recall 0 with the precision of
     the highest score. A row's predecessor on the curve is its running count
     less its own."""
-    cum = running_sum(_score_counts(df, label, score), [F.desc("score")], ["pos", "neg"])
+    cum = running_sum(_score_counts(df, label, score), [-F.col("score")], ["pos", "neg"])
     tp, fp = F.col("cum_pos").cast("double"), F.col("cum_neg").cast("double")
     tp0, fp0 = tp - F.col("pos"), fp - F.col("neg")
     here = tp / (tp + fp)

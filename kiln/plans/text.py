@@ -6,14 +6,17 @@ from pyspark.sql import functions as F
 
 from kiln.functions.words import PLOT_STOPWORDS, SPARK_ENGLISH
 from kiln.operators import similarity as SI
+from kiln.operators import simjoin as SJ
 from kiln.operators import text as TX
 from kiln.plans.registry import query
+from kiln.session import stored
 from kiln.sources import views as V
 
 WORD_SPLIT = r"\W"                 # RegexTokenizer pattern of the comment project
 PLOT_SPLIT = r"[^\p{L}]+"          # letters only, any alphabet
 PLOT_TOKEN = r"[^\p{L}\p{N}']+"    # words with digits and apostrophes kept
 MIN_DF, MAX_DF, MAX_TERMS = 0.1, 0.8, 2000
+LIKE_T = 0.8                       # least cosine of like plots
 
 
 def _sql_list(words) -> str:
@@ -140,6 +143,42 @@ def doc_cosine(spark, sf):
     return out
 
 
+_LIKE_CTES = rf"""
+words AS (SELECT movie_id, list_filter(regexp_split_to_array(lower(plot), '{PLOT_SPLIT}'),
+                                       lambda x: x <> '' AND NOT list_contains({_PLOT}, x)) AS tokens FROM v_movies),
+reps AS (SELECT min(movie_id) AS movie_id, count(*) AS copies, any_value(tokens) AS tokens FROM words
+         WHERE len(tokens) > 0 GROUP BY array_to_string(tokens, ' ')),
+tok AS (SELECT movie_id, unnest(tokens) AS term FROM reps),
+tf AS (SELECT movie_id, term, count(*) AS tf FROM tok GROUP BY movie_id, term),
+nd AS (SELECT count(*) AS n FROM reps),
+st AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+w AS (SELECT tf.movie_id, tf.term, round(tf.tf * (ln((nd.n + CAST(1 AS DOUBLE)) / (st.df + CAST(1 AS DOUBLE)))
+             + CAST(1 AS DOUBLE)), 6) AS w FROM tf JOIN st ON tf.term = st.term, nd),
+nrm AS (SELECT movie_id, sqrt(sum(w * w)) AS norm FROM w GROUP BY movie_id),
+u AS (SELECT w.movie_id, w.term, w.w / nrm.norm AS w FROM w JOIN nrm ON w.movie_id = nrm.movie_id)"""
+
+
+@query("cosine_above", f"""
+WITH {_LIKE_CTES},
+p AS (SELECT a.movie_id AS doc1, b.movie_id AS doc2, round(sum(a.w * b.w), 6) AS cosine
+      FROM u a JOIN u b ON a.term = b.term AND a.movie_id < b.movie_id GROUP BY a.movie_id, b.movie_id)
+SELECT doc1, doc2, cosine, x.copies AS copies1, y.copies AS copies2
+FROM p JOIN reps x ON x.movie_id = doc1 JOIN reps y ON y.movie_id = doc2 WHERE cosine >= {LIKE_T}""")
+def cosine_above(spark, sf):
+    """T7 over all plots: pairs of different texts with cosine >= 0.8. Texts
+    with the same words are one row, named by their least id, with their
+    number of copies, so a large group of copies is no quadratic result."""
+    words = _plot_terms(spark, sf).filter(F.size("tokens") > 0).select("movie_id", "tokens")
+    reps = stored(words.groupBy(F.array_join("tokens", " ").alias("text"))
+                  .agg(F.min("movie_id").alias("movie_id"), F.count(F.lit(1)).alias("copies")), "distinct-texts")
+    w = TX.tfidf(reps.withColumn("tokens", F.split("text", " ")), "movie_id", "tokens", norm=False)
+    pairs = SJ.cosine_above(w, LIKE_T, doc="movie_id")
+    copies = reps.select("movie_id", "copies")
+    for k in (1, 2):
+        pairs = pairs.join(copies.select(F.col("movie_id").alias(f"doc{k}"), F.col("copies").alias(f"copies{k}")), f"doc{k}")
+    return pairs.select("doc1", "doc2", "cosine", "copies1", "copies2")
+
+
 @query("count_idf_long", f"""
 WITH tok AS (SELECT comment_id,
                     unnest(list_filter({_COMMENT_TOKENS}, lambda x: NOT list_contains({_ENG}, x))) AS term

@@ -17,8 +17,9 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash the rows on ``key`` (a unique row id) before CPU-heavy per-row
-    work such as tokenising whole texts: one plan at every size, and later
-    aggregates keyed by (key, ...) -- term counts per document -- need no
-    further shuffle."""
-    return df.repartition(key)
+    """A scan whose files give fewer splits than there are cores (one small
+    file, say), dealt over the cores by its row id before CPU-heavy work such
+    as tokenising whole texts. A table of many splits is left as it is, so a
+    large corpus is never shuffled for a scan."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df

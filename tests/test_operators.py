@@ -15,6 +15,7 @@ from kiln.operators import report as R
 from kiln.operators import sampling as SM
 from kiln.operators import series as SE
 from kiln.operators import similarity as SI
+from kiln.operators import simjoin as SJ
 from kiln.operators import stats as ST
 from kiln.operators import text as TX
 from kiln.operators.prefix import dense_index, running_sum
@@ -179,7 +180,7 @@ def test_jaccard_prefix_filter_equals_brute_force(spark):
     sets[40] = set(range(30))  # one token-heavy item
     rows = [(i, u) for i, s in sets.items() for u in s]
     df = spark.createDataFrame(rows, "item int, user int")
-    got = {(r["id1"], r["id2"]): r["similarity"] for r in SI.jaccard_pairs(df, "item", "user", 0.4).collect()}
+    got = {(r["id1"], r["id2"]): r["similarity"] for r in SJ.jaccard_pairs(df, "item", "user", 0.4).collect()}
     want = {}
     for a, b in itertools.combinations(sorted(sets), 2):
         j = len(sets[a] & sets[b]) / len(sets[a] | sets[b])
@@ -278,3 +279,55 @@ def test_stemmer_examples():
     from kiln.functions.stem import stem
     assert [stem(w) for w in ["caresses", "ponies", "running", "relational", "hopeful", "agreed"]] == \
         ["caress", "poni", "run", "relat", "hope", "agre"]
+
+
+def _random_sets(spark, hot_token: bool):
+    import random
+    rnd = random.Random(3)
+    rows = []
+    for i in range(80):
+        base = rnd.sample(range(200), rnd.randint(1, 25)) if i % 4 else list(range(i, i + 20))
+        rows += [(i, t) for t in base] + ([(i, 999)] if hot_token else [])
+    return rows, spark.createDataFrame(rows, "item int, tok int")
+
+
+@pytest.mark.parametrize("threshold", [0.3, 0.5, 0.8, 1.0])
+def test_jaccard_join_equals_all_pairs(spark, threshold):
+    rows, df = _random_sets(spark, hot_token=True)
+    sets = {}
+    for i, t in rows:
+        sets.setdefault(i, set()).add(t)
+    expected = {(a, b, round(len(sets[a] & sets[b]) / len(sets[a] | sets[b]), 6)) for a in sets for b in sets
+                if a < b and len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= threshold}
+    assert {tuple(r) for r in SJ.jaccard_pairs(df, "item", "tok", threshold).collect()} == expected
+
+
+def test_jaccard_bounds_leave_few_candidates(spark):
+    """A token held by all items joins nobody by itself, and the bounds keep
+    candidates near the number of results."""
+    _, df = _random_sets(spark, hot_token=True)
+    _, prefix = SJ.jaccard_index(df, "item", "tok", 0.8)
+    cand = SJ.jaccard_candidates(prefix, "item", "tok", 0.8).count()
+    found = SJ.jaccard_pairs(df, "item", "tok", 0.8).count()
+    assert found <= cand <= found + 40 < 80 * 79 / 2 / 20
+
+
+@pytest.mark.parametrize("threshold", [0.3, 0.7, 0.95])
+def test_cosine_join_equals_all_pairs(spark, threshold):
+    import math
+    import random
+    rnd = random.Random(5)
+    vectors = {d: {t: rnd.choice([0.5, 1.0, 3.0]) for t in rnd.sample(range(60), rnd.randint(1, 12))} for d in range(70)}
+    vectors[70], vectors[71] = dict(vectors[3]), {**vectors[3], 59: 0.5}
+    df = spark.createDataFrame([(d, t, w) for d, v in vectors.items() for t, w in v.items()], "doc int, term int, weight double")
+    norm = {d: math.sqrt(sum(w * w for w in v.values())) for d, v in vectors.items()}
+    expected = {}
+    for a in vectors:
+        for b in vectors:
+            if a < b:
+                c = round(sum(w * vectors[b].get(t, 0.0) for t, w in vectors[a].items()) / norm[a] / norm[b], 6)
+                if c >= threshold:
+                    expected[a, b] = c
+    got = {(r.doc1, r.doc2): r.cosine for r in SJ.cosine_above(df, threshold).collect()}
+    assert got.keys() == expected.keys() and all(abs(got[k] - expected[k]) < 2e-6 for k in got)
+    assert SJ.cosine_above(df.filter("1 = 0"), threshold).collect() == []
