@@ -31,9 +31,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kiln.operators.prefix import dense_index
-from kiln.operators.sampling import sample_fraction
-from kiln.operators.similarity import sq_euclid
-from kiln.session import checkpoint_dir
+from kiln.operators.sampling import hash_split, sample_fraction
+from kiln.operators.similarity import knn_neighbours, sq_euclid
+from kiln.operators.stats import auc
+from kiln.session import checkpoint_dir, stored
 
 # ---- clustering --------------------------------------------------------------------
 
@@ -190,6 +191,20 @@ def cross_val(df: DataFrame, kind: str, stages: list, label: str, folds: int = 5
     return cv.fit(df)
 
 
+def knn_fold_scores(df: DataFrame, id_col: str, vec: str, label: str, k: int = 5, folds: int = 5, seed: int = 7) -> DataFrame:
+    """M6 for kNN, which has no model to fit: (fold, auc), each fold's rows
+    scored by the share of class 1 among their k nearest rows of the other
+    folds. Folds come from a hash of the id."""
+    rows = stored(hash_split(df.select(id_col, vec, label), id_col, [1] * folds, seed=seed), "knn-folds")
+    scores = []
+    for f in range(folds):
+        near = knn_neighbours(rows.filter(F.col("split") == f), rows.filter(F.col("split") != f), id_col, vec, label, k)
+        share = near.groupBy(id_col).agg(F.avg("neighbour_label").alias("score"))
+        one = auc(share.join(rows.select(id_col, label), id_col), label, "score")
+        scores.append(one.select(F.lit(f).alias("fold"), "auc"))
+    return reduce(DataFrame.unionByName, scores)
+
+
 def vector_names(df: DataFrame, vec: str) -> list[str]:
     """Names of a vector column's entries, from the metadata that the
     assembler left in its schema."""
@@ -209,19 +224,35 @@ def importance(model, pred: DataFrame, spark, vec: str = "features") -> DataFram
 # ---- recommenders -------------------------------------------------------------------
 
 
-def fit_als(ratings: DataFrame, rank: int = 12, iters: int = 10, reg: float = 0.2, seed: int = 42,
+@dataclass
+class NumberedRatings:
+    """Ratings with dense numbers for their ids, and the tables of both; all
+    three are written once and serve any number of fits."""
+    rows: DataFrame
+    users: DataFrame
+    items: DataFrame
+
+
+def number_ratings(ratings: DataFrame, user: str = "user_id", item: str = "item_id", rating: str = "rating") -> NumberedRatings:
+    """Ids of any size or type mapped to dense numbers, as ALS needs ints."""
+    users = stored(dense_index(ratings, user, "_user"), "als-users")
+    items = stored(dense_index(ratings, item, "_item"), "als-items")
+    rows = ratings.join(users, user).join(items, item).select(
+        F.col("_user").cast("int").alias("_user"), F.col("_item").cast("int").alias("_item"),
+        F.col(rating).cast("float").alias("_rating"))
+    return NumberedRatings(stored(rows, "als-ratings"), users, items)
+
+
+def fit_als(ratings: DataFrame | NumberedRatings, rank: int = 12, iters: int = 10, reg: float = 0.2, seed: int = 42,
             user: str = "user_id", item: str = "item_id", rating: str = "rating"):
-    """ALS on (user, item, rating). Ids of any size or type are mapped to
-    dense numbers first, as ALS needs ints; ``IndexedAls`` maps them back. The
-    factor lineage is cut every 10 iterations in the shared checkpoint folder."""
-    checkpoint_dir(ratings.sparkSession)
+    """ALS on (user, item, rating), or on ratings numbered before;
+    ``IndexedAls`` maps the numbers back. The factor lineage is cut every 10
+    iterations in the shared checkpoint folder."""
+    numbered = ratings if isinstance(ratings, NumberedRatings) else number_ratings(ratings, user, item, rating)
+    checkpoint_dir(numbered.rows.sparkSession)
     als = ALS(rank=rank, maxIter=iters, regParam=reg, seed=seed, userCol="_user", itemCol="_item", ratingCol="_rating",
               coldStartStrategy="nan", checkpointInterval=10)
-    users, items = dense_index(ratings, user, "_user"), dense_index(ratings, item, "_item")
-    src = ratings.join(users, user).join(items, item).select(
-        F.col("_user").cast("int").alias("_user"), F.col("_item").cast("int").alias("_item"),
-        F.col(rating).cast("float").alias("_rating"))
-    return IndexedAls(als.fit(src), users, items)
+    return IndexedAls(als.fit(numbered.rows), numbered.users, numbered.items)
 
 
 @dataclass
@@ -292,20 +323,16 @@ def predict_pairs(model, pairs: DataFrame, fill: float | None = 3.7, upper: floa
 def als_grid(train: DataFrame, valid: DataFrame, holdout: DataFrame, settings: Sequence[tuple[int, float, int]],
              seed: int = 42) -> DataFrame:
     """Validation RMSE for every (rank, reg, iterations) and, for the best
-    one, the RMSE on ``holdout``; train is persisted for the loop unless the
-    caller has done so."""
-    own = not (train.storageLevel.useMemory or train.storageLevel.useDisk)
-    train = train.persist(StorageLevel.MEMORY_AND_DISK) if own else train
+    one, the RMSE on ``holdout``; train is numbered and written once for all fits."""
+    numbered = number_ratings(train)
     ev = RegressionEvaluator(metricName="rmse", labelCol="rating", predictionCol="pred")
     rows, best = [], None
     for rank, reg, iters in settings:
-        m = fit_als(train, rank=rank, iters=iters, reg=reg, seed=seed)
+        m = fit_als(numbered, rank=rank, iters=iters, reg=reg, seed=seed)
         rows.append((rank, reg, iters, float(ev.evaluate(predict_pairs(m, valid)))))
         if best is None or rows[-1][3] < best[0]:
             best = rows[-1][3], m
     held = float(ev.evaluate(predict_pairs(best[1], holdout)))
-    if own:
-        train.unpersist()
     out = [(*r, held if r[3] == best[0] else None) for r in rows]
     return train.sparkSession.createDataFrame(out, "rank int, reg double, iters int, rmse double, holdout_rmse double")
 

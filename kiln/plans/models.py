@@ -5,7 +5,10 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.feature import StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -73,7 +76,6 @@ def fit_gbt(spark, sf):
     test = s.filter("split = 2")
     stages = M.feature_pipeline(["c1", "banner_pos", "site_id", "value"], ["site_category"])
     est = M.classifier("gbt", validationIndicatorCol="is_valid", maxIter=20).setLabelCol("label")
-    from pyspark.ml import Pipeline
     model = Pipeline(stages=[*stages, est]).fit(train)
     pred = M.positive_score(model.transform(test))
     return pred.select("id", "label", "prediction", F.round("score", 6).alias("score"))
@@ -97,18 +99,37 @@ def compare_models(spark, sf):
 
 @query("cv_scores")
 def cv_scores(spark, sf):
-    """M6: 5-fold cross-validated ROC AUC per model (empty grid); kNN is
-    scored by ``knn_classify``, which has no model to fit."""
+    """M6: 5-fold cross-validated ROC AUC per model (empty grid), kNN among them."""
     train, _ = _customers_split(spark, sf)
     train = train.persist()
     rows = []
     for kind in ("logreg", "forest", "gbt", "svc"):
         cvm = M.cross_val(train, kind, _cust_stages(), "label", folds=5)
         rows.append((kind, float(cvm.avgMetrics[0])))
+    vectors = Pipeline(stages=[*_cust_stages(), StandardScaler(inputCol="features", outputCol="scaled")]).fit(train).transform(train)
+    folds = M.knn_fold_scores(vectors.withColumn("v", vector_to_array("scaled")), "customer_id", "v", "label")
+    rows.append(("knn", float(folds.agg(F.avg("auc")).first()[0])))
     train.unpersist()
     return spark.createDataFrame(rows, "model string, auc double")
 
 
+@query("grid_search_trees")
+def grid_search_trees(spark, sf):
+    """M7 for trees: depth x number of trees by 3-fold AUC, for the random
+    forest and for boosting; every grid point, the best of each model flagged."""
+    train, _ = _customers_split(spark, sf)
+    train = train.persist()
+    out = []
+    for kind, est, trees in (("forest", RandomForestClassifier(), "numTrees"), ("gbt", GBTClassifier(), "maxIter")):
+        grid = [{est.maxDepth: d, est.getParam(trees): n} for d in (3, 5) for n in (10, 20)]
+        cvm = M.cross_val(train, kind, _cust_stages(), "label", folds=3, grid=grid)
+        rows = [(kind, g[est.maxDepth], g[est.getParam(trees)], float(m)) for g, m in zip(grid, cvm.avgMetrics)]
+        best = max(rows, key=lambda r: r[3])
+        out += [(*r, r == best) for r in rows]
+    train.unpersist()
+    return spark.createDataFrame(out, "model string, depth int, trees int, auc double, best boolean")
+
+
 @query("grid_search")
 def grid_search(spark, sf):
     """M7: logistic regression over regParam x elasticNetParam by 5-fold

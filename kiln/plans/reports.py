@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from kiln.functions import columns as C
 from kiln.operators import report as R
 from kiln.plans.registry import query
+from kiln.session import stored
 from kiln.sources import views as V
 from kiln.sources.tables import load
 
@@ -210,6 +211,25 @@ def audience_by_creator(spark, sf):
     return R.audience(V.comments(spark, sf), "creator_name", "userid")
 
 
+SKETCH_ERROR = 0.03  # over three standard errors of a sketch
+
+
+@query("audience_sketch", """
+SELECT category, CAST(month(ts) AS INTEGER) AS month, count(DISTINCT user_id) AS users, true AS within
+FROM (SELECT event_type AS category, ts, user_id FROM events) GROUP BY 1, 2""")
+def audience_sketch(spark, sf):
+    """Users per category and day as stored sketches, merged into
+    months; ``within`` tells whether the merged estimate lies within 3 % of the
+    exact count, which stands beside it."""
+    ev = load(spark, sf, "events").select(F.col("event_type").alias("category"), F.month("ts").alias("month"),
+                                          F.to_date("ts").alias("day"), "user_id")
+    days = stored(R.distinct_sketches(ev, ["category", "month", "day"], "user_id"), "audience-days")
+    months = R.sketch_counts(R.merge_sketches(days, ["category", "month"]), "estimate")
+    exact = ev.select("category", "month", "user_id").distinct().groupBy("category", "month").agg(F.count(F.lit(1)).alias("users"))
+    return exact.join(months, ["category", "month"]).select(
+        "category", "month", "users", (F.abs(F.col("estimate") - F.col("users")) <= SKETCH_ERROR * F.col("users")).alias("within"))
+
+
 CREATOR_POSITIVE = r"\bthe\b"
 
 

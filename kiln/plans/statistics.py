@@ -259,3 +259,11 @@ def truth_vs_baseline(spark, sf):
 def pearson_p(spark, sf):
     """R, t and two-sided p per feature (p from the incomplete beta)."""
     return ST.pearson_p(V.customers(spark, sf), NUM_COLS, "churned")
+
+
+@query("pearson_t", "\nUNION ALL\n".join(f"""
+SELECT '{c}' AS feature, n, round(r, 4) AS r, round(r * sqrt((n - 2) / nullif(1 - r * r, 0)), 4) AS t
+FROM (SELECT count(*) AS n, round(corr(CAST({c} AS DOUBLE), CAST(churned AS DOUBLE)), 12) AS r FROM v_customers)""" for c in NUM_COLS))
+def pearson_t(spark, sf):
+    """T3 without its p value, which SQL cannot state: r, n and t per feature."""
+    return ST.pearson_p(V.customers(spark, sf), NUM_COLS, "churned").select("feature", "n", "r", "t")

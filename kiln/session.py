@@ -79,6 +79,28 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def folder_names(spark: SparkSession, path: str, holding: str) -> list[str]:
+    """Names of the folders in ``path`` that hold a file ``holding``; none if
+    ``path`` is missing."""
+    fs, p = _file_system(spark, path)
+    if not fs.exists(p):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
+    return [n for n in names if fs.exists(_file_system(spark, f"{path}/{n}/{holding}")[1])]
+
+
+def remove(spark: SparkSession, *paths: str) -> None:
+    """Delete written tables that nothing reads any more."""
+    for path in paths:
+        fs, p = _file_system(spark, path)
+        fs.delete(p, True)
+
+
 _SHIPPED: set[str] = set()
 
 

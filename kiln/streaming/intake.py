@@ -10,11 +10,19 @@ latest-wins replacement of a user's earlier rating is a batch operation
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from kiln.session import folder_names, remove, ship_package
 
 RATING_SCHEMA = "user_id long, item_id int, rating double"
+TIMED_SCHEMA = RATING_SCHEMA + ", at long"
+DELTA_SCHEMA = "item_id int, n long, total double"
 
 
 def item_stats_stream(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str,
@@ -50,3 +58,90 @@ def read_stats(spark: SparkSession, out_dir: str, digits: int = 6) -> DataFrame:
     now = s.groupBy("item_id").agg(F.max_by(F.struct("n", "total"), "epoch").alias("s")).select("item_id", "s.*")
     return now.select("item_id", "n", F.round("total", digits).alias("total"),
                       F.round(F.col("total") / F.col("n"), digits).alias("mean"))
+
+
+def _replace_rating(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """The latest rating of one (user, item) and what it changes in the item's
+    sums: the new value less the one it replaces."""
+    old = best = state.get if state.exists else None
+    for p in parts:
+        newest = max(zip(p["at"].tolist(), p["rating"].tolist()))
+        best = newest if best is None or newest > tuple(best) else best
+    if best is old:
+        return
+    state.update(best)
+    yield pd.DataFrame({"item_id": [key[1]], "n": [0 if old else 1], "total": [best[1] - (old[1] if old else 0.0)]})
+
+
+def latest_ratings_stream(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str, files_per_batch: int = 1,
+                          available_now: bool = True, state_partitions: int | None = None,
+                          compact_every: int = 16) -> StreamingQuery:
+    """Start the latest-wins intake: files of (user, item, rating, at) -> per
+    item the count and sum of the latest rating of each of its users (the
+    largest ``at``; of equal ones the larger rating), whatever the order in
+    which files arrive. Rows with a null are left out.
+
+    Each micro-batch writes the changes of its items to ``deltas/epoch=E``; a
+    batch that is run again replaces its own folder. Every ``compact_every``
+    batches the changes of all earlier, committed batches are added up in
+    ``totals/upto=E`` and their folders deleted, so a reader meets at most
+    2 x ``compact_every`` folders."""
+    own = spark.newSession()
+    ship_package(own)
+    if state_partitions is not None:
+        own.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    src = own.readStream.schema(TIMED_SCHEMA).option("maxFilesPerTrigger", files_per_batch).parquet(in_dir)
+    deltas = src.dropna().groupBy("user_id", "item_id").applyInPandasWithState(
+        _replace_rating, DELTA_SCHEMA, "at long, rating double", "update", GroupStateTimeout.NoTimeout)
+
+    def publish(batch: DataFrame, epoch: int) -> None:
+        sums = batch.groupBy("item_id").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+        sums.write.mode("overwrite").parquet(f"{out_dir}/deltas/epoch={epoch}")
+        if epoch and epoch % compact_every == 0:
+            compact(own, out_dir, epoch - 1)
+
+    w = deltas.writeStream.outputMode("update").foreachBatch(publish).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
+    return w.start()
+
+
+def _published(spark: SparkSession, out_dir: str) -> tuple[list[int], list[int]]:
+    """Complete totals and the epochs of changes, ascending."""
+    numbers = lambda folder, whole: sorted(int(n.partition("=")[2]) for n in folder_names(spark, folder, whole))
+    return numbers(f"{out_dir}/totals", "_SUCCESS"), numbers(f"{out_dir}/deltas", "_SUCCESS")
+
+
+def compact(spark: SparkSession, out_dir: str, upto: int) -> None:
+    """Add up all changes up to epoch ``upto`` and delete what that replaces.
+    Done again after a failure it finishes what is left to do."""
+    totals, epochs = _published(spark, out_dir)
+    if upto not in totals:
+        parts = [f"{out_dir}/totals/upto={t}" for t in totals[-1:]] + [
+            f"{out_dir}/deltas/epoch={e}" for e in epochs if (totals[-1] if totals else -1) < e <= upto]
+        if not parts:
+            return
+        _sums(spark, parts).write.mode("overwrite").parquet(f"{out_dir}/totals/upto={upto}")
+    remove(spark, *[f"{out_dir}/totals/upto={t}" for t in totals if t < upto],
+           *[f"{out_dir}/deltas/epoch={e}" for e in epochs if e <= upto])
+
+
+def _sums(spark: SparkSession, parts: list[str]) -> DataFrame:
+    return (spark.read.schema(DELTA_SCHEMA).parquet(*parts).groupBy("item_id")
+            .agg(F.sum("n").alias("n"), F.sum("total").alias("total")))
+
+
+def read_latest_stats(spark: SparkSession, out_dir: str, digits: int = 6) -> DataFrame:
+    """Count, sum and mean of the latest ratings of each item, as published."""
+    totals, epochs = _published(spark, out_dir)
+    parts = [f"{out_dir}/totals/upto={t}" for t in totals[-1:]] + [
+        f"{out_dir}/deltas/epoch={e}" for e in epochs if e > (totals[-1] if totals else -1)]
+    s = _sums(spark, parts) if parts else spark.createDataFrame([], DELTA_SCHEMA)
+    return s.select("item_id", "n", F.round("total", digits).alias("total"),
+                    F.round(F.col("total") / F.col("n"), digits).alias("mean"))
+
+
+def ratings_in_state(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """(user_id, item_id, rating): the latest ratings that the stream's state
+    holds, for a refit on demand, read from its checkpoint as a table."""
+    s = spark.read.format("statestore").load(checkpoint)
+    return s.select("key.user_id", "key.item_id", F.col("value.groupState.rating").alias("rating"))

@@ -66,13 +66,65 @@ def test_lda_splits_disjoint_vocabularies(spark):
 
 
 def test_pearson_p_values(spark):
-    rnd = random.Random(6)
-    rows = [(float(i), float(i) + rnd.gauss(0, 1), rnd.random(), i % 2) for i in range(200)]
-    df = spark.createDataFrame(rows, "a double, b double, noise double, y int")
-    got = {r["feature"]: r for r in ST.pearson_p(df, ["a", "noise"], "y").collect()}
-    assert got["a"]["p"] < 1.0 and 0.0 <= got["noise"]["p"] <= 1.0
-    strong = {r["feature"]: r for r in ST.pearson_p(df, ["b"], "a").collect()}
-    assert strong["b"]["r"] > 0.99 and strong["b"]["p"] == 0.0
+    """Against closed forms of the t distribution: one and two degrees of
+    freedom, and values of a printed table (r = 0.632 at n = 10, 0.361 at n = 30: p = 0.05)."""
+    import math
+
+    import pandas as pd
+
+    p = ST._t_two_sided_p(pd.Series([0.5, -0.9, 0.3, 0.0]), pd.Series([3, 3, 3, 3]))
+    t = [r / math.sqrt(1 - r * r) for r in (0.5, 0.9, 0.3, 0.0)]
+    assert p.tolist() == pytest.approx([1 - 2 / math.pi * math.atan(x) for x in t], abs=1e-9)
+    p = ST._t_two_sided_p(pd.Series([0.5, 0.2]), pd.Series([4, 4]))
+    t = [r * math.sqrt(2 / (1 - r * r)) for r in (0.5, 0.2)]
+    assert p.tolist() == pytest.approx([1 - x / math.sqrt(2 + x * x) for x in t], abs=1e-9)
+    p = ST._t_two_sided_p(pd.Series([0.6319, 0.3610, 1.0, None]), pd.Series([10, 30, 9, 9]))
+    assert p[0] == pytest.approx(0.05, abs=2e-4) and p[1] == pytest.approx(0.05, abs=2e-4)
+    assert p[2] == 0.0 and math.isnan(p[3])
+    rows = [(1.0, 2.0), (2.0, 1.0), (3.0, 4.0), (4.0, 3.0)]
+    got = ST.pearson_p(spark.createDataFrame(rows, "a double, y double"), ["a"], "y").first()
+    assert (got.r, got.n, got.t, got.p) == (0.6, 4, 1.0607, 0.4)
+
+
+def test_regression_per_key_equals_numpy(spark):
+    import numpy as np
+
+    from kiln.operators import regress as RG
+    rng = np.random.default_rng(4)
+    rows = []
+    for k, n in (("a", 400), ("b", 30), ("c", 2)):
+        x = rng.normal(size=(n, 4)) * [1, 10, 0.1, 5] + [1e5, 3, 0, -7]
+        y = x @ [0.5, -1, 20, 0.3] + rng.normal(size=n)
+        rows += [(k, v.tolist(), float(w)) for v, w in zip(x, y)]
+    rows += [("d", [1.0, 2.0, 3.0 * i, 6.0 * i], 2.0 * i) for i in range(9)]  # constant and dependent values
+    rows += [("a", None, 1.0), ("a", [1.0, None, 0.0, 0.0], 1.0), ("e", None, 1.0)]
+    df = spark.createDataFrame(rows, "k string, x array<double>, y double")
+    models = {r.k: r for r in RG.fit_by_key(df, "k", "x", "y", 4).collect()}
+    assert set(models) == {"a", "b", "c", "d"}
+    for k in ("a", "b"):
+        x = np.array([v for kk, v, _ in rows if kk == k and v and None not in v])
+        y = np.array([w for kk, v, w in rows if kk == k and v and None not in v])
+        full = np.linalg.lstsq(np.column_stack([np.ones(len(x)), x - x.mean(axis=0)]), y, rcond=None)[0]
+        assert models[k].coef == pytest.approx(full[1:], rel=1e-6, abs=1e-8) and models[k].n == len(x)
+    pred = RG.predict_by_key(df, RG.fit_by_key(df, "k", "x", "y", 4), "k", "x").filter("k in ('c', 'd')").collect()
+    assert all(r.pred == pytest.approx(r.y, abs=1e-6) for r in pred)
+
+
+def test_merged_sketches_count_within_their_error(spark):
+    from kiln.operators import report as R
+    days = spark.range(60_000).select((F.col("id") % 10).alias("day"), (F.col("id") % 25_000).alias("u"))
+    stored = R.distinct_sketches(days, ["day"], "u")
+    whole = R.sketch_counts(R.merge_sketches(stored, []), "n").first().n
+    assert abs(whole - 25_000) <= 0.03 * 25_000
+    for r in R.sketch_counts(stored).collect():
+        assert abs(r.n_distinct - 2_500) <= 0.03 * 2_500
+
+
+def test_knn_fold_scores(spark):
+    rnd = random.Random(3)
+    rows = [(i, [rnd.gauss(4 * (i % 2), 1), rnd.gauss(0, 1)], float(i % 2)) for i in range(150)]
+    folds = M.knn_fold_scores(spark.createDataFrame(rows, "id long, v array<double>, y double"), "id", "v", "y", folds=3)
+    assert [r.fold for r in folds.orderBy("fold").collect()] == [0, 1, 2] and folds.agg(F.min("auc")).first()[0] > 0.9
 
 
 def test_als_takes_ids_beyond_int_and_strings(spark):

@@ -12,7 +12,7 @@ from kiln.plans import catalog
 PY_NODES = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "MapInPandas", "FlatMapGroupsInPandas")
 # model-shaped queries whose plans are built by Spark ML or hold a pandas UDF by design
 PYTHON_OK = {"pearson_p", "stem_vocabulary", "knn_classify", "knn_distance_vote", "knn_neighbours"}
-SKIP_PLAN = {"cv_scores", "grid_search", "compare_models", "als_grid", "kmeans_elbow", "intake_item_stats",
+SKIP_PLAN = {"cv_scores", "grid_search", "grid_search_trees", "intake_latest_ratings", "compare_models", "als_grid", "kmeans_elbow", "intake_item_stats",
              "silhouette", "feature_importance"}
 
 

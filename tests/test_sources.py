@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import gzip
 import os
+import random
 
 from pyspark.sql import functions as F
 
 from kiln.operators import models as M
 from kiln.sources import files as FS
+from kiln.streaming import intake as IN
 from kiln.streaming.intake import item_stats_stream, read_stats
 
 
@@ -81,3 +83,40 @@ def test_intake_stream_equals_batch(spark, tmp_dir):
     want = {r["item_id"]: (r["n"], round(r["m"], 6))
             for r in src.groupBy("item_id").agg(F.count("*").alias("n"), F.avg("rating").alias("m")).collect()}
     assert got == want
+
+
+def _latest(rows):
+    best = {}
+    for u, i, r, at in rows:
+        if None not in (u, i, r, at):
+            best[u, i] = max(best.get((u, i), (at, r)), (at, r))
+    return best
+
+
+def test_latest_rating_wins_over_restarts_and_compaction(spark, tmp_dir):
+    rnd = random.Random(2)
+    rows = [(rnd.randint(0, 9), rnd.randint(0, 5), float(rnd.randint(1, 5)), n) for n in range(300)]
+    rows += [(1, 1, None, 999), (None, 1, 3.0, 999), (2, 2, 4.0, 7), (2, 2, 4.0, 7)]
+    rnd.shuffle(rows)  # late files hold older ratings, too
+    seen = []
+    for start in (0, 150):  # the query ends and is started anew on its checkpoint
+        for n in range(start, min(start + 150, len(rows)) if not start else len(rows), 30):
+            part = rows[n:n + 30] if n + 30 <= start + 150 or start else rows[n:start + 150]
+            seen += part
+            spark.createDataFrame(part, IN.TIMED_SCHEMA).coalesce(1).write.mode("append").parquet(f"{tmp_dir}/in")
+        q = IN.latest_ratings_stream(spark, f"{tmp_dir}/in", f"{tmp_dir}/out", f"{tmp_dir}/ck", compact_every=3,
+                                     state_partitions=2)
+        q.awaitTermination()
+        best = _latest(seen)
+        got = {r.item_id: (r.n, r.total) for r in IN.read_latest_stats(spark, f"{tmp_dir}/out").collect()}
+        assert got == {i: (sum(k[1] == i for k in best), sum(v[1] for k, v in best.items() if k[1] == i)) for _, i in best}
+    assert sorted(seen, key=str) == sorted(rows, key=str)
+    totals, epochs = IN._published(spark, f"{tmp_dir}/out")
+    assert len(totals) == 1 and len(epochs) <= 4
+    before = sorted(map(tuple, IN.read_latest_stats(spark, f"{tmp_dir}/out").collect()))
+    IN.compact(spark, f"{tmp_dir}/out", max(epochs))
+    IN.compact(spark, f"{tmp_dir}/out", max(epochs))  # again, as after a failure
+    assert sorted(map(tuple, IN.read_latest_stats(spark, f"{tmp_dir}/out").collect())) == before
+    state = {(r.user_id, r.item_id): r.rating for r in IN.ratings_in_state(spark, f"{tmp_dir}/ck").collect()}
+    assert state == {k: v[1] for k, v in best.items()}
+    assert M.fit_als(IN.ratings_in_state(spark, f"{tmp_dir}/ck"), rank=2, iters=2).users.count() == 10
