@@ -29,6 +29,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType, LongType
 
 from kiln.operators.prefix import dense_index
 from kiln.operators.sampling import hash_split, sample_fraction
@@ -226,21 +227,34 @@ def importance(model, pred: DataFrame, spark, vec: str = "features") -> DataFram
 
 @dataclass
 class NumberedRatings:
-    """Ratings with dense numbers for their ids, and the tables of both; all
-    three are written once and serve any number of fits."""
+    """Ratings with numbers for their ids, and the tables of both, for any
+    number of fits."""
     rows: DataFrame
     users: DataFrame
     items: DataFrame
 
 
+def _numbers(ratings: DataFrame, column: str, name: str) -> DataFrame:
+    """(id, number): whole ids that fit an int number themselves, all others
+    are numbered from 0."""
+    if isinstance(ratings.schema[column].dataType, IntegralType):
+        lo, hi = ratings.agg(F.min(column), F.max(column)).first()
+        if lo is None or -(1 << 31) <= lo and hi < 1 << 31:
+            return ratings.select(column).distinct().withColumn(name, F.col(column).cast("int"))
+    return stored(dense_index(ratings, column, name), f"als{name}")
+
+
 def number_ratings(ratings: DataFrame, user: str = "user_id", item: str = "item_id", rating: str = "rating") -> NumberedRatings:
-    """Ids of any size or type mapped to dense numbers, as ALS needs ints."""
-    users = stored(dense_index(ratings, user, "_user"), "als-users")
-    items = stored(dense_index(ratings, item, "_item"), "als-items")
-    rows = ratings.join(users, user).join(items, item).select(
-        F.col("_user").cast("int").alias("_user"), F.col("_item").cast("int").alias("_item"),
-        F.col(rating).cast("float").alias("_rating"))
-    return NumberedRatings(stored(rows, "als-ratings"), users, items)
+    """Ids of any size or type as the ints that ALS needs."""
+    ratings = stored(ratings.select(user, item, rating).dropna(subset=[user, item]), "als-ratings")
+    users, items = _numbers(ratings, user, "_user"), _numbers(ratings, item, "_item")
+    rows = ratings
+    for table, column, name in ((users, user, "_user"), (items, item, "_item")):
+        if isinstance(table.schema[name].dataType, LongType):  # numbered: look the numbers up
+            rows = rows.join(table, column).withColumn(name, F.col(name).cast("int"))
+        else:
+            rows = rows.withColumn(name, F.col(column).cast("int"))
+    return NumberedRatings(rows.select("_user", "_item", F.col(rating).cast("float").alias("_rating")), users, items)
 
 
 def fit_als(ratings: DataFrame | NumberedRatings, rank: int = 12, iters: int = 10, reg: float = 0.2, seed: int = 42,
