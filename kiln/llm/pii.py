@@ -249,9 +249,10 @@ def replace_entities(docs: DataFrame, key: str, text_col: str = "text") -> DataF
         x["at"].alias("at"), x["part"].alias("part"), x["shown"].alias("shown"))).alias("new"))
     pieces = F.when(F.col(pattern).isNull(), F.split(F.col(text_col), ANY, -1)).otherwise(
         F.split(F.col(text_col), F.col(pattern), -1))
-    put = F.transform(F.col("_new"), lambda x: F.concat(
+    new, = fresh(held, "new")
+    put = F.transform(F.col(new), lambda x: F.concat(
         F.when(x["part"] == 0, F.get(pieces, x["at"])).otherwise(F.lit(" ")), x["shown"]))
     text = F.concat(F.array_join(put, ""), F.element_at(pieces, -1))
-    replaced = held.join(lists.withColumnRenamed("new", "_new"), row).withColumn(count, F.size(found).cast("long"))
+    replaced = held.join(lists.withColumnRenamed("new", new), row).withColumn(count, F.size(found).cast("long"))
     replaced = replaced.select(*[text.alias(c) if c == text_col else F.col(c) for c in docs.columns], count)
     return docs.filter(~has).withColumn(count, F.lit(0).cast("long")).unionByName(replaced)

@@ -7,17 +7,22 @@ an Arrow string column, without building Python strings.
 
 The hash of a word is the polynomial ``sum byte_i * B**i`` modulo 2**64 taken
 from one running sum over the buffer (subtract at the ends, divide by the
-power at the start; B is odd, so powers have inverses), then mixed. It
-depends on the word's bytes only. Buffers are worked through in slices cut at
+power at the start; B is odd, so powers have inverses), then mixed. Modulo a
+power of two, words built by doubling a pattern and its complement meet from
+1,024 characters on, whatever B; a word of over ``LONG`` bytes is therefore
+hashed by itself with BLAKE2b. The hash depends on the word's bytes only. Buffers are worked through in slices cut at
 separators, so memory stays near ``SLICE`` x 30 bytes for any text length.
 """
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 import numpy as np
 import pyarrow as pa
 
 SLICE = 1 << 20
+LONG = 64  # bytes of a word up to which the polynomial is used
 _B = 0x9E3779B97F4A7C15 | 1
 _U = np.uint64
 _SEP = np.zeros(256, dtype=bool)
@@ -105,7 +110,10 @@ def words(column) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.nd
         h = (run[e] - run[s]) * down[s]
         starts.append(s + lo)
         ends.append(e + lo)
-        hashes.append(mix(h + (e - s).astype(_U)))
+        h = mix(h + (e - s).astype(_U))
+        for i in np.flatnonzero(e - s > LONG):
+            h[i] = int.from_bytes(blake2b(part[s[i]:e[i]].tobytes(), digest_size=8).digest(), "little")
+        hashes.append(h)
     cat = lambda x, t: np.concatenate(x) if x else np.zeros(0, t)
     s, e, h = cat(starts, np.int64), cat(ends, np.int64), cat(hashes, _U)
     return data, s, e, h, np.searchsorted(s, offsets)

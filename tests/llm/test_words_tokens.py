@@ -69,3 +69,31 @@ def test_segment_round_trip_and_ranks():
     assert back.tolist() == ids.tolist() and doc.tolist() == [4, 0] and null.tolist() == [False, True] and counts.tolist() == [4, 3]
     with pytest.raises(ValueError):
         unpack_segment(raw[:-1] + b"\x00")
+
+
+def _thue_morse(levels: int, a: str, b: str) -> tuple[str, str]:
+    for _ in range(levels):
+        a, b = a + b, b + a
+    return a, b
+
+
+def test_doubled_patterns_have_different_hashes():
+    """Words that meet under any polynomial modulo a power of two."""
+    for levels in range(1, 13):
+        x, y = _thue_morse(levels, "a", "b")
+        _, _, _, h, _ = W.words(pa.array([f"{x} {y} ab{x} ab{y}"]))
+        assert len(set(h.tolist())) == 4, levels
+
+
+def test_ids_of_doubled_patterns_are_their_own():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from kiln.llm.tokens import Encoder
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = [" ".join(_thue_morse(n, "ab", "ba")) for n in (9, 10)]
+    texts += [t[::-1] for t in texts]
+    library = Tokenizer.from_file(path)
+    for _, ids, n in Encoder(path, "space").encode(pa.array(texts)):
+        for got, t in zip(np.split(ids, np.cumsum(n)[:-1]), texts):
+            assert got.tolist() == [*library.encode(t, add_special_tokens=False).ids, 1]
