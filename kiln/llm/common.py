@@ -91,35 +91,43 @@ def word_count(text: Column) -> Column:
     return F.size(word_array(text)).cast("long")
 
 
-def join_hot(rows: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+def hot_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame | None:
+    """The HOT_KEYS keys with most rows, of those with over HOT_ROWS, as
+    columns 0, 1, ... and ``copies`` (sub-keys to deal a key over): a list of
+    bounded length, whatever the input, beyond which no key holds more than
+    1 / HOT_KEYS of the rows. None if no key is hot."""
+    copies, = fresh(rows, "copies")
+    hot = (rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(copies)).filter(F.col(copies) > HOT_ROWS)
+           .select(*[F.col(k).alias(str(i)) for i, k in enumerate(keys)], F.ceil(F.col(copies) / HOT_ROWS).alias("copies"))
+           .orderBy(F.desc("copies")).limit(HOT_KEYS))
+    found = hot.collect()
+    return rows.sparkSession.createDataFrame(found, hot.schema) if found else None
+
+
+def join_hot(rows: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "inner",
+             hot: list[DataFrame | None] | None = None) -> DataFrame:
     """Join ``rows`` with ``table`` (at most one row per key) on ``keys``,
     where a few keys may hold much of ``rows``.
 
-    The HOT_KEYS keys with most rows, of those with over HOT_ROWS, are looked
-    up first: a list whose length is bounded, whatever the input, and beyond
-    which no key holds more than 1 / HOT_KEYS of the rows. A hot key is dealt
-    over a sub-key per HOT_ROWS rows by a hash of the row's other columns;
-    ``table`` repeats its row of that key for each sub-key. All other keys
-    join as usual. Keys are compared null-safe. ``rows`` is read twice: pass a
-    written table.
+    A hot key (``hot_keys``, looked up here unless ``hot`` holds the answer
+    for these rows and keys) is dealt over a sub-key per HOT_ROWS rows by a
+    hash of the row's other columns; ``table`` repeats its row of that key for
+    each sub-key. All other keys join as usual. Keys are compared null-safe.
+    ``rows`` is read twice: pass a written table.
     """
     keys = list(keys)
     others = [c for c in table.columns if c not in keys]
-    part, copies, salt = fresh(rows.select(*rows.columns, *[F.lit(1).alias(c) for c in others]),
-                               "key", "copies", "salt")
-    parts = [f"{part}{i}" for i in range(len(keys))]
-    hot = (rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(copies)).filter(F.col(copies) > HOT_ROWS)
-           .select(*[F.col(k).alias(p) for k, p in zip(keys, parts)], F.ceil(F.col(copies) / HOT_ROWS).alias(copies))
-           .orderBy(F.desc(copies)).limit(HOT_KEYS))
-    found = hot.collect()
+    taken = rows.select(*rows.columns, *[F.lit(1).alias(c) for c in others])
+    copies, salt, other_salt, *parts = fresh(taken, "copies", "salt", "salt2", *[f"key{i}" for i in range(len(keys))])
+    listed = hot_keys(rows, keys) if hot is None else hot[0]
 
     def same(a: DataFrame, b: DataFrame):
         return reduce(and_, [a[k].eqNullSafe(b[p]) for k, p in zip(keys, parts)])
 
-    if not found:
+    if listed is None:
         right = table.select(*[F.col(k).alias(p) for k, p in zip(keys, parts)], *others)
         return rows.join(right, same(rows, right), how).drop(*parts)
-    listed = rows.sparkSession.createDataFrame(found, hot.schema)
+    listed = listed.select(*[F.col(str(i)).alias(p) for i, p in enumerate(parts)], F.col("copies").alias(copies))
 
     def with_copies(df: DataFrame) -> DataFrame:
         return (df.join(F.broadcast(listed), same(df, listed), "left").drop(*parts)
@@ -128,5 +136,5 @@ def join_hot(rows: DataFrame, table: DataFrame, keys: Sequence[str], how: str =
     row_hash = F.xxhash64(*[F.col(c) for c in rows.columns if c not in keys] or [F.lit(0)])
     left = with_copies(rows).withColumn(salt, F.pmod(row_hash, F.col(copies))).drop(copies)
     right = (with_copies(table).withColumn(salt, F.explode(F.sequence(F.lit(0).cast("long"), F.col(copies) - 1)))
-             .select(*[F.col(k).alias(p) for k, p in zip(keys, parts)], F.col(salt).alias(f"{part}s"), *others))
-    return left.join(right, same(left, right) & (left[salt] == right[f"{part}s"]), how).drop(salt, f"{part}s", *parts)
+             .select(*[F.col(k).alias(p) for k, p in zip(keys, parts)], F.col(salt).alias(other_salt), *others))
+    return left.join(right, same(left, right) & (left[salt] == right[other_salt]), how).drop(salt, other_salt, *parts)

@@ -95,8 +95,9 @@ def _placed(docs: DataFrame, per: DataFrame, rows: int) -> DataFrame:
     w = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("before", F.coalesce(F.sum("n").over(w), F.lit(0)))
     p = per.select(F.col("source").alias("ps"), "source_size", "target", "words")
-    sums = sums.join(p, _same(sums.source, p.ps)).select(
-        F.col("source").alias("s"), F.col("bucket").alias("b"), "before", "source_size", "target", "words")
+    sums = written(sums.join(p, _same(sums.source, p.ps)).select(
+        F.col("source").alias("s"), F.col("bucket").alias("b"), "before", "source_size", "target", "words"),
+        work_dir(docs.sparkSession, "bucket-sums"))
     docs = docs.join(sums, _same(docs.source, sums.s) & (docs.bucket == sums.b)).drop("s", "b")
     within = (Window.partitionBy("source", "bucket").orderBy("h", "id", "row")
               .rowsBetween(Window.unboundedPreceding, -1))
@@ -147,7 +148,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), id_col: str = "do
     rows, total = slim.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
     per = written(targets(slim, weights), work_dir(spark, "targets"))
     block = min(max(total // SLOTS, 1), MAX_BLOCK)
-    placed = _placed(slim, per, rows)
+    placed = written(_placed(slim, per, rows), work_dir(spark, "placed"))
     # stretches of each reading that lie before the source's cut
     turns = placed.filter("size > 0").withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(MAX_REPEAT - 1))))
     turns = turns.withColumn("from", F.col("turn") * F.col("source_size") + F.col("pos"))
@@ -158,7 +159,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), id_col: str = "do
     hi = F.least(F.col("to"), (F.col("block_no") + 1) * block)
     cut = cut.select("row", "source", "turn", "block_no", (lo - F.col("from")).alias("first_word"),
                      (hi - lo).alias("n_words"))
-    slots = schedule(per, block, total).select("slot", F.col("source").alias("s"), F.col("block_no").alias("b"))
+    slots = written(schedule(per, block, total), work_dir(spark, "slots")).select("slot", F.col("source").alias("s"), F.col("block_no").alias("b"))
     pieces = cut.join(slots, _same(cut.source, slots.s) & (cut.block_no == slots.b)).drop("s", "b", "block_no", "source")
     documents = placed.select("row", "id", "source", "h", "size", "source_size", "target")
     return documents, pieces
@@ -180,16 +181,17 @@ def mixed_documents(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), id_co
     reading of a document, whole, or cut behind the last word that is taken
     (words then joined by one space, ``chars_col`` counted anew)."""
     documents, pieces = mix(docs, weights, id_col, text_col, source_col)
-    h, at, reads, take = fresh(docs, "h", "at", "reads", "take")
+    h, at, reads, take, list_id, list_h = fresh(docs, "h", "at", "reads", "take", "ati", "ath")
     per_turn = pieces.groupBy("row", "turn").agg(F.sum("n_words").alias("words"))
     per_row = per_turn.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("turn", "words"))).alias("turns"))
     # rows with equal id, source and text stand in one list and take its entries in turn
     lists = (documents.join(per_row, "row").groupBy("id", "h")
              .agg(F.sort_array(F.collect_list(F.struct("row", "turns", "size"))).alias(reads))
-             .select(F.col("id").alias(f"{at}i"), F.col("h").alias(f"{at}h"), reads))
+             .select(F.col("id").alias(list_id), F.col("h").alias(list_h), reads))
+    lists = written(lists, work_dir(docs.sparkSession, "readings"))
     d = docs.withColumn(h, F.xxhash64(F.col(id_col), F.col(text_col), F.col(source_col)))
-    d = d.join(lists, _same(d[id_col], lists[f"{at}i"]) & (d[h] == lists[f"{at}h"]))
-    nth = Window.partitionBy(f"{at}h", f"{at}i").orderBy(h)
+    d = d.join(lists, _same(d[id_col], lists[list_id]) & (d[h] == lists[list_h]))
+    nth = Window.partitionBy(list_h, list_id).orderBy(h)
     d = d.withColumn(at, F.row_number().over(nth)).withColumn(reads, F.get(reads, F.col(at) - 1))
     d = d.withColumn(take, F.explode(F.col(f"{reads}.turns")))
     cut = F.col(f"{take}.words") < F.col(f"{reads}.size")

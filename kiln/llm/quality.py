@@ -33,7 +33,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kiln.llm.common import SEPARATORS, fresh, join_hot, work_dir, word_array, written
+from kiln.llm.common import SEPARATORS, fresh, hot_keys, join_hot, work_dir, word_array, written
 
 SYMBOLS = r"#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
@@ -161,10 +161,10 @@ def _starts(vectors: DataFrame) -> DataFrame:
     return _factor(one.withColumns({f"m{i}": F.col(f"mid{i}") for i in range(N)})).select("g", "start", "n", "log_det", *_ESTIMATE)
 
 
-def _concentrate(vectors: DataFrame, est: DataFrame) -> DataFrame:
-    """One concentration step for all groups and starts."""
+def _concentrate(vectors: DataFrame, est: DataFrame, hot: list) -> DataFrame:
+    """One concentration step for all groups and starts; ``hot``: see join_hot."""
     both = est.groupBy("g").agg(F.collect_list(F.struct("start", "n", *_ESTIMATE)).alias("starts"))
-    met = join_hot(vectors, both, ["g"]).select("g", *X, F.inline("starts"))
+    met = join_hot(vectors, both, ["g"], hot=hot).select("g", *X, F.inline("starts"))
     met = _distance(met).withColumn("bin", F.floor(F.log(F.col("d2") + 1e-6) * BINS))
     sums = [F.count(F.lit(1)).alias("k"), *[F.sum(x).alias(f"s{i}") for i, x in enumerate(X)],
             *[F.sum(F.col(X[i]) * F.col(X[j])).alias(f"p{i}{j}") for i, j in PAIRS]]
@@ -192,8 +192,9 @@ def estimates(good: DataFrame) -> DataFrame:
     spark = good.sparkSession
     vectors = written(good.select(F.explode(F.array(*[_group(k) for k in range(3)])).alias("g"), *X), work_dir(spark, "vectors"))
     est = written(_starts(vectors), work_dir(spark, "mcd"))
+    hot = [hot_keys(vectors, ["g"])]  # the same in every step
     for _ in range(STEPS):
-        est = written(_concentrate(vectors, est), work_dir(spark, "mcd"))
+        est = written(_concentrate(vectors, est, hot), work_dir(spark, "mcd"))
     best = est.groupBy("g").agg(F.min_by(F.struct("n", *_ESTIMATE), F.struct("log_det", "start")).alias("e"))
     return best.select("g", "e.*").filter(F.col("n") >= MIN_GROUP).drop("n")
 

@@ -365,3 +365,14 @@ def test_empty_tables(none, spark):
     assert warc.read(warc.write(warc.to_arc(pages), work_dir(spark, "t-warc"))).count() == 0
     rows = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.format_turns(chat.turns(rows)).count() == 0
+
+
+def test_helper_names_that_the_input_has_already(spark):
+    """Columns named like helper columns of earlier versions."""
+    rows = [(i, f"Mrs. Anna Smith{i % 3} wrote {i} words to a@b{i}.org " + "w " * (i % 5), "en", "s", 40) for i in range(12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    df = df.withColumns({c: F.lit(1) for c in ("_new", "_ath", "_ati", "_key0", "_salt", "_copies", "0")})
+    assert pii.replace_entities(df, key="k").count() == 12
+    assert mix.mixed_documents(df).columns == df.columns
+    assert substring.without_repeats(df, 35).columns == df.columns
+    assert exact.exact_dedup(df).count() == 12
