@@ -20,10 +20,6 @@ def pct(a, b, digits: int = 4) -> Column:
     return F.round(safe_div(col(a) * 100.0, b), digits)
 
 
-def r6(c) -> Column:
-    return F.round(col(c), 6)
-
-
 def blank_to_null(c) -> Column:
     """Trimmed text, NULL when empty."""
     t = F.trim(col(c))
@@ -45,10 +41,6 @@ def parse_hour(c, fmt: str = "HH:mm") -> Column:
     return F.hour(F.try_to_timestamp(col(c), F.lit(fmt)))
 
 
-def weekday_name(c) -> Column:
-    return F.date_format(col(c), "EEEE")
-
-
 def sq_dist(x, y, cx: float, cy: float) -> Column:
     dx = col(x) - F.lit(float(cx))
     dy = col(y) - F.lit(float(cy))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import PCA, VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -69,3 +71,16 @@ def pca(df: DataFrame, vec: str, k: int = 2, out: str = "pca"):
     centred = StandardScaler(inputCol=vec, outputCol="_centred", withMean=True, withStd=False).fit(df).transform(df)
     model = PCA(k=k, inputCol="_centred", outputCol=out).fit(centred)
     return model, model.transform(centred).drop("_centred")
+
+
+def pca_sparse(df: DataFrame, vec: str, k: int = 2, out: str = "pca"):
+    """E5 for sparse vectors, such as TF-IDF: (model, projected rows). The
+    covariance is summed from the vectors' own entries and centred afterwards
+    (Spark's ``PCA`` adds up outer products in a tree and subtracts the means'),
+    so no row becomes dense; the mean is subtracted from the projection. The
+    dimension bounds the work: d x d / 2 numbers per task."""
+    model = PCA(k=k, inputCol=vec, outputCol=out).fit(df)
+    mean = df.select(Summarizer.mean(F.col(vec)).alias("m")).first()["m"]
+    shift = model.pc.toArray().T @ mean.toArray()
+    at = F.array(*[F.lit(float(x)) for x in shift])
+    return model, model.transform(df).withColumn(out, F.zip_with(vector_to_array(out), at, lambda a, m: a - m))

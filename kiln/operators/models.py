@@ -21,8 +21,8 @@ from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegress
 from pyspark.ml.clustering import LDA, KMeans
 from pyspark.ml.evaluation import (BinaryClassificationEvaluator, ClusteringEvaluator,
                                    RegressionEvaluator)
-from pyspark.ml.feature import (IDF, CountVectorizer, OneHotEncoder, StopWordsRemover, StringIndexer,
-                                VectorAssembler, Word2Vec)
+from pyspark.ml.feature import (IDF, CountVectorizer, OneHotEncoder, StringIndexer, VectorAssembler,
+                                Word2Vec)
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.ml.regression import LinearRegression
@@ -93,21 +93,12 @@ def fit_lda(df: DataFrame, vec: str, k: int, optimizer: str = "online", seed: in
     return LDA(k=k, seed=seed, optimizer=optimizer, maxIter=max_iter, featuresCol=vec).fit(df)
 
 
-def topic_terms(model, vocabulary: Sequence[str], n: int, spark) -> DataFrame:
-    """Top n terms per topic as (topic, rank, term, weight). The
-    vocabulary is the fitted CountVectorizer's (bounded by its vocabSize)."""
-    t = model.describeTopics(n)
-    e = t.select("topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("rank", "tw"))
-    vocab = spark.createDataFrame(list(enumerate(vocabulary)), "idx int, term string")
-    return (e.select("topic", (F.col("rank") + 1).alias("rank"), F.col("tw.termIndices").alias("idx"),
-                     F.col("tw.termWeights").alias("weight"))
-            .join(vocab, "idx").drop("idx"))
-
-
 def doc_topics(model, df: DataFrame, keep: Sequence[str]) -> DataFrame:
-    """Topic mixture per document and its best topic (first on ties)."""
+    """Topic mixture per document and its best topic (first on ties, null
+    for a document without a term)."""
     t = model.transform(df).select(*keep, vector_to_array("topicDistribution").alias("topics"))
-    return t.withColumn("topic", F.array_position("topics", F.array_max("topics")) - 1)
+    return t.withColumn("topic", F.when(
+        F.array_max("topics") > 0, F.array_position("topics", F.array_max("topics")) - 1))
 
 
 def word2vec(df: DataFrame, tokens: str, dims: int = 100, min_count: int = 1, seed: int = 42,
@@ -120,17 +111,6 @@ def word2vec(df: DataFrame, tokens: str, dims: int = 100, min_count: int = 1, se
     return m, m.transform(df)
 
 
-def text_pipeline(train: DataFrame, text: str, pattern: str = r"\W", min_df: float = 2.0):
-    """Tokenizer -> stop words -> counts, fitted once on ``train``; the
-    fitted PipelineModel is then applied to any new rows."""
-    from pyspark.ml.feature import RegexTokenizer
-    prepare = [RegexTokenizer(inputCol=text, outputCol="_words", pattern=pattern),
-               StopWordsRemover(inputCol="_words", outputCol="_filtered")]
-    size = distinct_terms(Pipeline(stages=prepare).fit(train).transform(train), "_filtered")
-    return Pipeline(stages=[*prepare, CountVectorizer(inputCol="_filtered", outputCol="tf_vec", minDF=min_df,
-                                                      vocabSize=size)]).fit(train)
-
-
 # ---- classification and evaluation ---------------------------------------------------------
 
 KINDS = {

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -83,6 +83,12 @@ def tfidf(df: DataFrame, doc: str, column: str, min_df: float = 0.0, max_df: flo
     (ties by term) -- a bounded list used as a broadcast semi-join filter."""
     tf = term_freq(df, doc, column, materialise=True)
     n_docs = df.select(doc).distinct().agg(F.count(F.lit(1))).scalar()
+    return weigh(tf, n_docs, doc, min_df, max_df, max_terms, norm, digits)
+
+
+def weigh(tf: DataFrame, n_docs, doc: str, min_df: float = 0.0, max_df: float = 1.0, max_terms: int | None = None,
+          norm: bool = True, digits: int | None = 6) -> DataFrame:
+    """The weights of ``tfidf`` from counts (doc, term, tf) of ``n_docs`` documents."""
     stats = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("_total"))
     keep = stats.filter((F.col("df") >= n_docs * F.lit(float(min_df))) & (F.col("df") <= n_docs * F.lit(float(max_df))))
     if max_terms is not None:
@@ -122,19 +128,16 @@ def stem_vocabulary(df: DataFrame, column: str) -> DataFrame:
     """Stem the distinct vocabulary (a pandas UDF over distinct words
     only) and name each stem by its most frequent surface word, ties by text.
     Returns (word, n, stem, surface)."""
-    wc = word_counts(df, column)
-    st = wc.withColumn("stem", _stem_udf("word"))
-    surf = st.groupBy("stem").agg(F.min_by("word", F.struct(-F.col("n"), F.col("word"))).alias("surface"))
-    return st.join(surf, "stem").select("word", "n", "stem", "surface")
-
-
-def apply_stems(df: DataFrame, column: str, vocab: DataFrame, doc: str, name: str = "stems") -> DataFrame:
-    """Replace tokens by stems through the vocabulary table (a join on word,
-    then re-collect per document in order)."""
-    e = df.select(doc, F.posexplode(column).alias("_p", "word"))
-    j = e.join(vocab.select("word", "stem"), "word")
-    return j.groupBy(doc).agg(F.sort_array(F.collect_list(F.struct("_p", "stem"))).alias("_s")) \
-        .select(doc, F.transform("_s", lambda s: s["stem"]).alias(name))
+    return name_stems(word_counts(df, column))
+
+
+def name_stems(words: DataFrame) -> DataFrame:
+    """``stem_vocabulary`` from counted words (word, n). The words are dealt
+    over all shuffle partitions first: few bytes, but much work per word."""
+    parts = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    st = words.repartition(parts, "word").withColumn("stem", _stem_udf("word"))
+    first = F.min(F.struct((-F.col("n")).alias("n"), "word")).over(Window.partitionBy("stem"))
+    return st.select("word", "n", "stem", first["word"].alias("surface"))
 
 
 def top_terms(weights: DataFrame, group: str, n: int, term: str = "term", weight: str = "weight",

@@ -282,7 +282,7 @@ def _hash_sql(key: str, seed: int) -> str:
     return f"CAST('0x' || substr(md5(CAST({key} AS VARCHAR) || ':{seed}'), 1, 15) AS BIGINT)"
 
 
-def _unit_sql(key: str, seed: int) -> str:
+def unit_sql(key: str, seed: int) -> str:
     return f"(CAST({_hash_sql(key, seed)} AS DOUBLE) / CAST({1 << 60} AS DOUBLE))"
 
 
@@ -294,7 +294,7 @@ def sample_hash_n(spark, sf):
 
 @query("rebalance", f"""
 SELECT click, count(*) AS n FROM v_impressions
-WHERE click = 1 OR (click = 0 AND {_unit_sql('id', 42)} < CAST(0.015 AS DOUBLE)) GROUP BY click""")
+WHERE click = 1 OR (click = 0 AND {unit_sql('id', 42)} < CAST(0.015 AS DOUBLE)) GROUP BY click""")
 def rebalance(spark, sf):
     """K9: every click row and 1.5 % of the others, stable by id hash."""
     s = SM.class_sample(V.impressions(spark, sf), "click", {1: 1.0, 0: 0.015}, key="id")
@@ -302,7 +302,7 @@ def rebalance(spark, sf):
 
 
 @query("hash_split_counts", f"""
-WITH u AS (SELECT {_unit_sql("(CAST(user_id AS VARCHAR) || ':' || CAST(item_id AS VARCHAR))", 42)} AS u FROM v_ratings_all)
+WITH u AS (SELECT {unit_sql("(CAST(user_id AS VARCHAR) || ':' || CAST(item_id AS VARCHAR))", 42)} AS u FROM v_ratings_all)
 SELECT CASE WHEN u < CAST({6 / 10} AS DOUBLE) THEN 0 WHEN u < CAST({6 / 10 + 2 / 10} AS DOUBLE) THEN 1 ELSE 2 END AS split,
        count(*) AS n FROM u GROUP BY 1""")
 def hash_split_counts(spark, sf):

@@ -14,7 +14,7 @@ from kiln.plans.registry import query
 from kiln.session import scratch_path
 from kiln.sources import files as FS
 from kiln.sources import views as V
-from kiln.sources.tables import load
+from kiln.sources.tables import load, spread
 
 
 @query("csv_roundtrip", """
@@ -24,7 +24,7 @@ def csv_roundtrip(spark, sf):
     breaks inside fields) as CSV with a header, read it back with the
     declared-schema multi-line reader and measure the whole texts."""
     path = scratch_path(spark, f"csv-{uuid.uuid4().hex}")
-    docs = load(spark, sf, "documents").select("doc_id", "lang", "text")
+    docs = spread(load(spark, sf, "documents").select("doc_id", "lang", "text"), "doc_id")
     FS.write_predictions(docs, path)
     back = FS.read_multiline_csv(spark, path, "doc_id long, lang string, text string", ["doc_id", "lang", "text"])
     return back.select("doc_id", "lang", F.length("text").cast("long").alias("n_chars_read"))
@@ -36,7 +36,7 @@ def delimited_ratings(spark, sf):
     declared schema."""
     path = scratch_path(spark, f"ratings-{uuid.uuid4().hex}")
     r = V.ratings_all(spark, sf).select("user_id", "item_id", "rating")
-    r.write.option("header", True).option("compression", "gzip").csv(path)
+    r.write.option("header", True).option("compression", "gzip").option("maxRecordsPerFile", FS.ROWS_PER_FILE).csv(path)
     return FS.read_delimited(spark, path, r.schema).select("user_id", "item_id", "rating")
 
 

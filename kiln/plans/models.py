@@ -7,13 +7,12 @@ from functools import reduce
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kiln.functions.words import PLOT_STOPWORDS, SPARK_ENGLISH
+from kiln.functions.words import SPARK_ENGLISH
 from kiln.operators import clean as CL
 from kiln.operators import features as FE
 from kiln.operators import models as M
@@ -21,9 +20,12 @@ from kiln.operators import recommend as RC
 from kiln.operators import sampling as SM
 from kiln.operators import series as SE
 from kiln.operators import stats as ST
+from kiln.operators import terms as TM
 from kiln.operators import text as TX
+from kiln.plans.cleaning import unit_sql
 from kiln.plans.registry import query
-from kiln.plans.text import PLOT_SPLIT, WORD_SPLIT
+from kiln.plans.text import COMMENT_TOKENS, ENGLISH_SQL, MAX_DF, MAX_TERMS, MIN_DF, WORD_SPLIT, plot_terms
+from kiln.session import stored
 from kiln.sources import views as V
 from kiln.sources.tables import load
 
@@ -175,48 +177,120 @@ def silhouette(spark, sf):
     """C4: silhouette of a k = 10 clustering of the embeddings."""
     pts = V.points(spark, sf).withColumn("v", array_to_vector("features"))
     pred = M.fit_kmeans(pts, "v", 10, seed=1).transform(pts)
-    s = ClusteringEvaluator(featuresCol="v", predictionCol="cluster").evaluate(pred)
-    return spark.createDataFrame([(10, round(float(s), 6))], "k int, silhouette double")
+    return spark.createDataFrame([(10, round(float(M.silhouette(pred, "v")), 6))], "k int, silhouette double")
+
+
+def _plot_stems(spark, sf):
+    """Tokens of the plots and the TF-IDF weights of their stems."""
+    words = TX.keep_alpha(plot_terms(spark, sf), "tokens")
+    return words, TM.stem_tfidf(words, "movie_id", "tokens", MIN_DF, MAX_DF, MAX_TERMS, digits=None)
+
+
+def _plot_clusters(spark, sf):
+    """(weights, every plot's k-means cluster of 5)."""
+    words, weights = _plot_stems(spark, sf)
+    vec = TM.term_vectors(weights, TM.term_index(weights), "movie_id", docs=words)
+    return weights, M.fit_kmeans(vec, "vec", 5, seed=1).transform(vec).select("movie_id", "cluster")
+
+
+@query("stem_tfidf")
+def stem_tfidf(spark, sf):
+    """TF-IDF of plot stems, each named by its most frequent word."""
+    w = _plot_stems(spark, sf)[1]
+    return w.withColumn("weight", F.round("weight", 6))
 
 
 @query("kmeans_docs")
 def kmeans_docs(spark, sf):
-    """K-means (k = 5) on plot TF-IDF vectors."""
-    m = TX.drop_stopwords(TX.tokens(V.movies(spark, sf), "plot", PLOT_SPLIT), "tokens", PLOT_STOPWORDS)
-    _, vec = M.count_vectors(m, "tokens", min_df=0.1, max_df=0.8, vocab_size=2000)
-    model = M.fit_kmeans(vec, "tfidf_vec", 5, seed=1)
-    return model.transform(vec).select("movie_id", "cluster")
+    """K-means (k = 5) on the TF-IDF vectors of plot stems."""
+    return _plot_clusters(spark, sf)[1]
+
+
+@query("cluster_words")
+def cluster_words(spark, sf):
+    """The ten words that weigh most in each k-means cluster, stems by
+    their most frequent word."""
+    weights, pred = _plot_clusters(spark, sf)
+    top = TX.top_terms(weights.join(pred, "movie_id"), "cluster", 10, term="surface")
+    return top.select("cluster", F.col("rank").cast("long").alias("rank"), F.col("surface").alias("word"), "weight")
 
 
 @query("cluster_members")
 def cluster_members(spark, sf):
     """Every plot's title with its k-means cluster and that cluster's
     size: a row per title, so a large cluster is never one group."""
-    m = TX.drop_stopwords(TX.tokens(V.movies(spark, sf), "plot", PLOT_SPLIT), "tokens", PLOT_STOPWORDS)
-    _, vec = M.count_vectors(m, "tokens", min_df=0.1, max_df=0.8, vocab_size=2000)
-    pred = M.fit_kmeans(vec, "tfidf_vec", 5, seed=1).transform(vec).select("movie_id", "title", "cluster")
+    pred = stored(_plot_clusters(spark, sf)[1], "clusters")
     sizes = pred.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
-    return pred.join(sizes, "cluster").select("cluster", "n", "movie_id", "title")
+    titles = V.movies(spark, sf).select("movie_id", "title")
+    return pred.join(titles, "movie_id").join(sizes, "cluster").select("cluster", "n", "movie_id", "title")
 
 
 @query("lda_em")
 def lda_em(spark, sf):
-    """EM LDA with 2 topics on comment count-IDF vectors; top 100 terms."""
+    """EM LDA with 2 topics on comment count-IDF vectors; top 100 terms.
+    The fit and its terms are tables: no list of all terms is made."""
     c = TX.drop_stopwords(TX.tokens(V.comments(spark, sf), "comment", WORD_SPLIT), "tokens", SPARK_ENGLISH)
-    cvm, vec = M.count_vectors(c, "tokens", min_df=2.0)
-    model = M.fit_lda(vec, "tfidf_vec", 2, optimizer="em", seed=666, max_iter=10)
-    return M.topic_terms(model, cvm.stages[0].vocabulary, 100, spark)
+    weights = stored(TX.count_idf(c, "comment_id", "tokens", min_doc_freq=2).filter("weight > 0"), "count-idf")
+    index = TM.term_index(weights)
+    vec = TM.term_vectors(weights, index, "comment_id")
+    model = M.fit_lda(vec, "vec", 2, optimizer="em", seed=666, max_iter=10)
+    return TM.topic_terms(model, index, 100)
+
+
+def _plot_topics(spark, sf):
+    """(model, vectors, stem weights, term table) of online LDA with 5 topics
+    on integer-scaled TF-IDF."""
+    words, weights = _plot_stems(spark, sf)
+    index = TM.term_index(weights)
+    counts = weights.withColumn("weight", F.floor(F.col("weight") * 100)).filter("weight > 0")
+    vec = TM.term_vectors(counts, index, "movie_id", docs=words)
+    return M.fit_lda(vec, "vec", 5, optimizer="online", seed=666, max_iter=10), vec, weights, index
 
 
 @query("lda_online")
 def lda_online(spark, sf):
-    """Online LDA with 5 topics on integer-scaled TF-IDF; best topic per plot."""
-    m = TX.drop_stopwords(TX.tokens(V.movies(spark, sf), "plot", PLOT_SPLIT), "tokens", PLOT_STOPWORDS)
-    _, vec = M.count_vectors(m, "tokens", min_df=0.1, max_df=0.8, vocab_size=2000)
-    scaled = vec.withColumn("counts", array_to_vector(
-        F.transform(vector_to_array("tfidf_vec"), lambda x: F.floor(x * 100).cast("double"))))
-    model = M.fit_lda(scaled, "counts", 5, optimizer="online", seed=666, max_iter=10)
-    return M.doc_topics(model, scaled, ["movie_id"]).select("movie_id", "topic")
+    """Online LDA with 5 topics; every plot's topic mixture and best topic."""
+    model, vec, _, _ = _plot_topics(spark, sf)
+    t = M.doc_topics(model, vec, ["movie_id"])
+    return t.select("movie_id", "topic", F.transform("topics", lambda x: F.round(x, 6)).alias("topics"))
+
+
+@query("topic_words")
+def topic_words(spark, sf):
+    """The ten heaviest words of each plot topic, stems by their most
+    frequent word."""
+    model, _, weights, index = _plot_topics(spark, sf)
+    names = weights.select("term", "surface").distinct()
+    return TM.topic_terms(model, index, 10).join(names, "term").select(
+        "topic", "rank", F.col("surface").alias("word"), F.round("weight", 6).alias("weight"))
+
+
+@query("pca_terms")
+def pca_terms(spark, sf):
+    """E5: first two principal components of the plots' sparse TF-IDF vectors."""
+    words, weights = _plot_stems(spark, sf)
+    vec = TM.term_vectors(weights, TM.term_index(weights), "movie_id", docs=words)
+    _, proj = FE.pca_sparse(vec, "vec", k=2)
+    return proj.select("movie_id", *[F.round(F.col("pca")[i], 6).alias(f"pc{i + 1}") for i in range(2)])
+
+
+@query("pca_topics")
+def pca_topics(spark, sf):
+    """E5: first two principal components of the plots' topic mixtures."""
+    model, vec, _, _ = _plot_topics(spark, sf)
+    t = M.doc_topics(model, vec, ["movie_id"]).select("movie_id", array_to_vector("topics").alias("mixture"))
+    _, proj = FE.pca(t, "mixture", k=2)
+    a = vector_to_array("pca")
+    return proj.select("movie_id", F.round(a[0], 6).alias("pc1"), F.round(a[1], 6).alias("pc2"))
+
+
+@query("assemble_features", """
+SELECT customer_id, [CAST(n_orders AS DOUBLE), order_total, floor(avg_order), CAST(tenure AS DOUBLE)] AS features
+FROM v_customers WHERE n_orders IS NOT NULL AND order_total IS NOT NULL AND avg_order IS NOT NULL AND tenure IS NOT NULL""")
+def assemble_features(spark, sf):
+    """The numeric customer columns as one vector; rows with a missing value go."""
+    v = FE.assemble(V.customers(spark, sf).withColumn("avg_order", F.floor("avg_order")), CUST_NUM)
+    return v.select("customer_id", vector_to_array("features").alias("features"))
 
 
 @query("pca_project")
@@ -252,16 +326,23 @@ def score_all(spark, sf):
     return pred.select("comment_id", F.col("prediction").cast("int").alias("prediction"))
 
 
-@query("text_pipeline")
+@query("text_pipeline", f"""
+WITH tok AS (SELECT comment_id, unnest(list_filter({COMMENT_TOKENS}, lambda x: NOT list_contains({ENGLISH_SQL}, x))) AS term FROM v_comments),
+st AS (SELECT term FROM tok WHERE {unit_sql('comment_id', 5)} < CAST(0.8 AS DOUBLE)
+       GROUP BY term HAVING count(DISTINCT comment_id) >= 2),
+n AS (SELECT comment_id, count(*) AS n FROM tok JOIN st USING (term) GROUP BY comment_id)
+SELECT c.comment_id, CAST((SELECT count(*) FROM st) AS INTEGER) AS vocab, CAST(coalesce(n.n, 0) AS DOUBLE) AS n_terms
+FROM v_comments c LEFT JOIN n ON n.comment_id = c.comment_id""")
 def text_pipeline(spark, sf):
-    """Prepare -> count pipeline fitted once on the train part and
-    applied to all comments."""
+    """Split -> stop words -> counts, fitted once on the train part and
+    applied to all comments; the vocabulary is a table."""
     com = V.comments(spark, sf)
     train = SM.hash_split(com, "comment_id", [8, 2], seed=5).filter("split = 0")
-    pm = M.text_pipeline(train, "comment", WORD_SPLIT)
-    out = pm.transform(com)
-    return out.select("comment_id", F.size(vector_to_array("tf_vec")).alias("vocab"),
-                      F.aggregate(vector_to_array("tf_vec"), F.lit(0.0), lambda a, x: a + x).alias("n_terms"))
+    fitted = TM.TermPipeline.fit(train, "comment_id", "comment", SPARK_ENGLISH, WORD_SPLIT)
+    v = F.unwrap_udt(F.col("tf_vec"))
+    return fitted.transform(com, "comment_id", "comment").select(
+        "comment_id", v["size"].alias("vocab"),
+        F.aggregate(v["values"], F.lit(0.0), lambda a, x: a + x).alias("n_terms"))
 
 
 # ---- forecasting ------------------------------------------------------------------

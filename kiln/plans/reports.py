@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kiln.functions import columns as C
+from kiln.operators import clean as CL
 from kiln.operators import report as R
 from kiln.plans.registry import query
 from kiln.session import stored
@@ -50,8 +51,8 @@ SELECT incident_id, x, y, round({RADIUS_SQL}, 9) AS sq_dist
 FROM v_incidents WHERE {RADIUS_SQL} < CAST(0.0025 AS DOUBLE)""")
 def radius_filter(spark, sf):
     inc = V.incidents(spark, sf)
-    d = C.sq_dist("x", "y", *DOWNTOWN)
-    return inc.filter(d < DOWNTOWN_R2).select("incident_id", "x", "y", F.round(d, 9).alias("sq_dist"))
+    near = CL.within_radius(inc, "x", "y", *DOWNTOWN, DOWNTOWN_R2)
+    return near.select("incident_id", "x", "y", F.round("sq_dist", 9).alias("sq_dist"))
 
 
 @query("downtown_by_day", f"""

@@ -23,9 +23,9 @@ def _sql_list(words) -> str:
     return "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in words) + "]"
 
 
-_ENG = _sql_list(SPARK_ENGLISH)
+ENGLISH_SQL = _sql_list(SPARK_ENGLISH)
 _PLOT = _sql_list(PLOT_STOPWORDS)
-_COMMENT_TOKENS = rf"list_filter(regexp_split_to_array(lower(comment), '{WORD_SPLIT}'), lambda x: x <> '')"
+COMMENT_TOKENS = rf"list_filter(regexp_split_to_array(lower(comment), '{WORD_SPLIT}'), lambda x: x <> '')"
 
 
 def _comment_tokens(spark, sf):
@@ -36,14 +36,14 @@ def _comment_filtered(spark, sf):
     return TX.drop_stopwords(_comment_tokens(spark, sf), "tokens", SPARK_ENGLISH, "filtered")
 
 
-@query("tokenize", f"SELECT comment_id, {_COMMENT_TOKENS} AS tokens FROM v_comments")
+@query("tokenize", f"SELECT comment_id, {COMMENT_TOKENS} AS tokens FROM v_comments")
 def tokenize(spark, sf):
     """Split every comment on non-word characters."""
     return _comment_tokens(spark, sf).select("comment_id", "tokens")
 
 
 @query("remove_stopwords", f"""
-SELECT comment_id, list_filter({_COMMENT_TOKENS}, lambda x: NOT list_contains({_ENG}, x)) AS filtered
+SELECT comment_id, list_filter({COMMENT_TOKENS}, lambda x: NOT list_contains({ENGLISH_SQL}, x)) AS filtered
 FROM v_comments""")
 def remove_stopwords(spark, sf):
     """Drop Spark's English stop words, repeats and order kept."""
@@ -51,8 +51,8 @@ def remove_stopwords(spark, sf):
 
 
 @query("nonempty_tokens", f"""
-SELECT comment_id, CAST(len({_COMMENT_TOKENS}) AS BIGINT) AS n_tokens FROM v_comments
-WHERE len({_COMMENT_TOKENS}) > 0""")
+SELECT comment_id, CAST(len({COMMENT_TOKENS}) AS BIGINT) AS n_tokens FROM v_comments
+WHERE len({COMMENT_TOKENS}) > 0""")
 def nonempty_tokens(spark, sf):
     """Comments with at least one word token."""
     t = TX.nonempty(_comment_tokens(spark, sf), "tokens")
@@ -61,7 +61,7 @@ def nonempty_tokens(spark, sf):
 
 @query("word_count", f"""
 SELECT word, count(*) AS n FROM (
-  SELECT unnest(list_filter({_COMMENT_TOKENS}, lambda x: NOT list_contains({_ENG}, x))) AS word FROM v_comments)
+  SELECT unnest(list_filter({COMMENT_TOKENS}, lambda x: NOT list_contains({ENGLISH_SQL}, x))) AS word FROM v_comments)
 GROUP BY word""")
 def word_count(spark, sf):
     """Word frequencies over all comments after stop-word removal."""
@@ -80,7 +80,7 @@ def alpha_tokens(spark, sf):
     return t.select("movie_id", "tokens")
 
 
-def _plot_terms(spark, sf):
+def plot_terms(spark, sf):
     t = TX.tokens(V.movies(spark, sf), "plot", PLOT_SPLIT)
     return TX.drop_stopwords(t, "tokens", PLOT_STOPWORDS)
 
@@ -108,7 +108,7 @@ SELECT movie_id, term, tf, df, round(weight, 6) AS weight FROM tw""")
 def tfidf_long(spark, sf):
     """Smoothed, L2-normalised TF-IDF of plots, document frequency
     0.1-0.8, at most 2,000 terms."""
-    return TX.tfidf(_plot_terms(spark, sf), "movie_id", "tokens", MIN_DF, MAX_DF, MAX_TERMS)
+    return TX.tfidf(plot_terms(spark, sf), "movie_id", "tokens", MIN_DF, MAX_DF, MAX_TERMS)
 
 
 @query("cluster_terms", f"""
@@ -120,7 +120,7 @@ SELECT lang, term, weight, rank FROM (
 WHERE rank <= 10""")
 def cluster_terms(spark, sf):
     """Ten heaviest TF-IDF terms per language group."""
-    w = TX.tfidf(_plot_terms(spark, sf), "movie_id", "tokens", MIN_DF, MAX_DF, MAX_TERMS, digits=None)
+    w = TX.tfidf(plot_terms(spark, sf), "movie_id", "tokens", MIN_DF, MAX_DF, MAX_TERMS, digits=None)
     g = w.join(V.movies(spark, sf).select("movie_id", "lang"), "movie_id")
     return TX.top_terms(g, "lang", 10).select("lang", "term", "weight", F.col("rank").cast("long").alias("rank"))
 
@@ -136,7 +136,7 @@ FROM x a JOIN x b ON a.term = b.term AND a.movie_id < b.movie_id GROUP BY a.movi
 def doc_cosine(spark, sf):
     """Cosine between the TF-IDF vectors of the 100 most recent plots
     (the limit is the feature: the reference compares exactly those)."""
-    w = TX.tfidf(_plot_terms(spark, sf), "movie_id", "tokens", MIN_DF, MAX_DF, MAX_TERMS, digits=None)
+    w = TX.tfidf(plot_terms(spark, sf), "movie_id", "tokens", MIN_DF, MAX_DF, MAX_TERMS, digits=None)
     recent = V.movies(spark, sf).orderBy(F.desc("year"), "movie_id").limit(100).select("movie_id")
     r = w.join(F.broadcast(recent), "movie_id")
     out = SI.cosine_sparse(r, doc="movie_id", term="term", weight="weight")
@@ -168,7 +168,7 @@ def cosine_above(spark, sf):
     """T7 over all plots: pairs of different texts with cosine >= 0.8. Texts
     with the same words are one row, named by their least id, with their
     number of copies, so a large group of copies is no quadratic result."""
-    words = _plot_terms(spark, sf).filter(F.size("tokens") > 0).select("movie_id", "tokens")
+    words = plot_terms(spark, sf).filter(F.size("tokens") > 0).select("movie_id", "tokens")
     reps = stored(words.groupBy(F.array_join("tokens", " ").alias("text"))
                   .agg(F.min("movie_id").alias("movie_id"), F.count(F.lit(1)).alias("copies")), "distinct-texts")
     w = TX.tfidf(reps.withColumn("tokens", F.split("text", " ")), "movie_id", "tokens", norm=False)
@@ -181,7 +181,7 @@ def cosine_above(spark, sf):
 
 @query("count_idf_long", f"""
 WITH tok AS (SELECT comment_id,
-                    unnest(list_filter({_COMMENT_TOKENS}, lambda x: NOT list_contains({_ENG}, x))) AS term
+                    unnest(list_filter({COMMENT_TOKENS}, lambda x: NOT list_contains({ENGLISH_SQL}, x))) AS term
              FROM v_comments),
 tf AS (SELECT comment_id, term, count(*) AS tf FROM tok GROUP BY comment_id, term),
 nd AS (SELECT count(DISTINCT comment_id) AS n FROM v_comments),
@@ -197,5 +197,5 @@ def count_idf_long(spark, sf):
 @query("stem_vocabulary")
 def stem_vocabulary(spark, sf):
     """Plot vocabulary -> stem -> most frequent surface word."""
-    t = TX.keep_alpha(_plot_terms(spark, sf), "tokens")
+    t = TX.keep_alpha(plot_terms(spark, sf), "tokens")
     return TX.stem_vocabulary(t, "tokens")

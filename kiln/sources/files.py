@@ -58,12 +58,17 @@ def from_rows(spark: SparkSession, rows: Sequence, schema: T.StructType | str) -
     return spark.createDataFrame(list(rows), schema)
 
 
-def write_predictions(df: DataFrame, path: str, fmt: str = "csv") -> None:
-    """A table with a header (csv) or as parquet; replaces the folder.
+ROWS_PER_FILE = 50_000
+
+
+def write_predictions(df: DataFrame, path: str, fmt: str = "csv", rows_per_file: int = ROWS_PER_FILE) -> None:
+    """A table with a header (csv) or as parquet; replaces the folder. A
+    file holds at most ``rows_per_file`` rows: a file with line breaks in
+    quotes, or one that is compressed, is read in one piece.
     CSV quotes with doubled quotes, as ``read_delimited`` expects (Spark's
     writer would otherwise escape quotes with a backslash), so any text,
     commas and line breaks included, reads back unchanged."""
-    w = df.write.mode("overwrite")
+    w = df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
     if fmt == "csv":
         (w.option("header", True).option("quote", '"').option("escape", '"')
          .option("encoding", "UTF-8").csv(path))

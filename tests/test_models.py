@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from kiln.operators import models as M
 from kiln.operators import stats as ST
+from kiln.operators import terms as TM
+from kiln.operators import text as TX
 
 
 def test_separable_classes_give_high_auc(spark):
@@ -58,9 +60,11 @@ def test_lda_splits_disjoint_vocabularies(spark):
     rnd = random.Random(4)
     rows = [(i, [rnd.choice(a if i % 2 else b) for _ in range(30)]) for i in range(80)]
     df = spark.createDataFrame(rows, "id long, tokens array<string>")
-    cvm, vec = M.count_vectors(df, "tokens", min_df=1.0, idf=False)
-    model = M.fit_lda(vec, "tf_vec", 2, optimizer="em", seed=5, max_iter=30)
-    terms = M.topic_terms(model, cvm.stages[0].vocabulary, 5, spark).collect()
+    tf = TX.term_freq(df, "id", "tokens", materialise=True)
+    index = TM.term_index(tf)
+    vec = TM.term_vectors(tf, index, "id", "tf")
+    model = M.fit_lda(vec, "vec", 2, optimizer="em", seed=5, max_iter=30)
+    terms = TM.topic_terms(model, index, 5).collect()
     groups = [{r["term"] for r in terms if r["topic"] == t} for t in (0, 1)]
     assert sorted(map(frozenset, groups), key=sorted) == sorted([frozenset(a), frozenset(b)], key=sorted)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import glob
 import gzip
 import os
 import random
@@ -61,6 +62,14 @@ def test_from_rows_and_prediction_roundtrip(spark, tmp_dir):
     assert [(r["user"], r["item"], r["prediction"]) for r in back.collect()] == [("u", "i", 3.5)]
 
 
+def test_csv_files_are_bounded(spark, tmp_dir):
+    df = spark.range(0, 1000, 1, 2).selectExpr("id", "concat('line ', id, '\n\"quoted\", second') AS t")
+    FS.write_predictions(df, f"{tmp_dir}/parts", rows_per_file=100)
+    assert len(glob.glob(f"{tmp_dir}/parts/*.csv")) == 10
+    back = FS.read_multiline_csv(spark, f"{tmp_dir}/parts", "id long, t string", ["id", "t"])
+    assert back.rdd.getNumPartitions() > 1 and sorted(back.collect()) == sorted(df.collect())
+
+
 def test_model_save_and_load(spark, tmp_dir):
     r = spark.createDataFrame([(i % 5, i % 7, float(i % 3 + 1)) for i in range(60)],
                               "user_id long, item_id int, rating double")
