@@ -1,14 +1,19 @@
 """Harmonic packing of documents into sequences of ``capacity`` tokens.
 
-Lengths fall into reciprocal-capacity classes: class k holds pieces of
-``capacity / k`` tokens, and a bin of class k takes exactly k of them. As
-documents may be cut freely, each is cut into pieces whose lengths are the
-classes 1, 2, 4, ..., ``capacity``: whole sequences first, then one piece for
-each power of two in the rest. So every class has one length only and a full
-bin has no padding at all. Each worker fills the bins of its own partition
-and needs nothing from the others: there is no shuffle. What is left of a
-class at the end of a partition (fewer than k pieces) is closed as bins of
-2**i pieces, whose length is a power of two and so needs no padding either.
+A document's whole sequences come first; what is left of it, 1 to
+``capacity - 1`` tokens, is its rest. Rests fall into reciprocal-capacity
+classes: class k holds lengths in (capacity / (k + 1), capacity / k], and a
+bin of class k takes exactly k rests. Such a bin is more than k / (k + 1)
+full; the next rest closes its gap: it is cut there, and what remains of it
+is put into the class of its own length. A rest that is shorter than the gap
+fills it whole, and the one after it goes on. So full bins have no padding,
+at most one document is cut per bin, and at most one bin waits for its gap.
+
+Each worker fills the bins of its own partition and needs nothing from the
+others: there is no shuffle. It holds less than one bin per class that occurs,
+that is at most about 2 * sqrt(capacity) bins. At the end of a partition the
+open bins are joined, largest class first, into full sequences and, for the
+last, sequences whose lengths are powers of two, which need no padding either.
 
 Rows come from the scan in a fixed order, so a retried task packs alike; the
 sequence id holds the partition and a count within it.
@@ -21,100 +26,144 @@ other columns are not carried.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import Any, NamedTuple
 
-import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kiln.llm.common import prepare
-from kiln.llm.tokens import encoder, ragged
+from kiln.llm.tokens import encoder
 
 PER_PARTITION = 1 << 40  # sequence ids of one partition
-
-
-def cut(tokens: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pieces of documents with ``tokens`` ids each: (document, start, length),
-    longest first, so that starts follow the document."""
-    sizes = [capacity] + [1 << b for b in range(capacity.bit_length() - 2, -1, -1)]
-    count = np.stack([tokens // capacity] + [(tokens % capacity) // s % 2 for s in sizes[1:]], axis=1)
-    n = count.ravel()
-    length = np.repeat(np.tile(np.array(sizes, np.int64), len(tokens)), n)
-    doc = np.repeat(np.repeat(np.arange(len(tokens)), len(sizes)), n)
-    before = np.cumsum(length) - length
-    first = np.cumsum(count.sum(axis=1)) - count.sum(axis=1)
-    return doc, before - before[first][doc] if len(doc) else before, length
-
-
-class _Class:
-    """The open bin of one class: up to k - 1 pieces with their ids."""
-
-    def __init__(self, length: int, per_bin: int):
-        self.length, self.per_bin = length, per_bin
-        self.rows: list[pa.RecordBatch] = []
-
-    def add(self, rows: pa.RecordBatch) -> None:
-        if rows.num_rows:
-            self.rows.append(rows)
-
-    def take(self, last: bool) -> Iterator[tuple[pa.Table, int]]:
-        """Rows that fill whole bins with the pieces per bin; at the end, the
-        rest in bins of powers of two."""
-        if not self.rows:
-            return
-        t = pa.Table.from_batches(self.rows).combine_chunks()
-        full = t.num_rows // self.per_bin * self.per_bin
-        if full:
-            yield t.slice(0, full), self.per_bin
-        rest = t.slice(full)
-        self.rows = [] if last else rest.to_batches()
-        at, left = 0, rest.num_rows if last else 0
-        while left:
-            n = 1 << (left.bit_length() - 1)
-            yield rest.slice(at, n), n
-            at, left = at + n, left - n
-
-
-def _schema(id_type: pa.DataType) -> pa.Schema:
-    return pa.schema([("doc_id", id_type), ("start", pa.int64()), ("length", pa.int64()),
-                      ("doc_tokens", pa.int64()), ("ids", pa.binary())])
+BATCH_BYTES = 4 << 20  # ids of one batch of pieces
+
+
+class Piece(NamedTuple):
+    """A stretch of a document's ids; ``raw`` are 4 bytes each."""
+
+    doc: Any
+    start: int
+    tokens: int  # of the whole document
+    raw: bytes
+
+    def cut(self, n: int) -> tuple[Piece, Piece]:
+        """The first ``n`` ids and the others."""
+        return self._replace(raw=self.raw[:4 * n]), self._replace(start=self.start + n, raw=self.raw[4 * n:])
+
+
+class Bins:
+    """The open bins of one partition. ``add`` and ``close`` return the bins
+    that are done, each as a list of pieces."""
+
+    def __init__(self, capacity: int):
+        self.capacity = capacity
+        self.open: dict[int, list[Piece]] = {}
+        self.waiting: list[Piece] = []  # a bin with all its rests and a gap
+        self.gap = 0
+
+    def add(self, rest: Piece) -> list[list[Piece]]:
+        """Put a rest of 1 to capacity - 1 ids where it belongs."""
+        done = []
+        if self.gap:
+            if _size(rest) <= self.gap:
+                head, rest = rest, None
+            else:
+                head, rest = rest.cut(self.gap)
+            self.waiting.append(head)
+            self.gap -= _size(head)
+            if not self.gap:
+                done.append(self.waiting)
+        if rest is not None:
+            k = self.capacity // _size(rest)
+            members = self.open.setdefault(k, [])
+            members.append(rest)
+            if len(members) == k:
+                del self.open[k]
+                gap = self.capacity - sum(map(_size, members))
+                if gap:
+                    self.waiting, self.gap = members, gap
+                else:
+                    done.append(members)
+        return done
+
+    def close(self) -> list[list[Piece]]:
+        """Join what is open: full bins, then powers of two."""
+        left = (self.waiting if self.gap else []) + [p for k in sorted(self.open) for p in self.open[k]]
+        total = sum(map(_size, left))
+        self.open, self.waiting, self.gap = {}, [], 0
+        done: list[list[Piece]] = []
+        left.reverse()
+        while total:
+            room = min(self.capacity, 1 << (total.bit_length() - 1))
+            total -= room
+            done.append([])
+            while room:
+                p = left.pop()
+                if _size(p) > room:
+                    p, more = p.cut(room)
+                    left.append(more)
+                done[-1].append(p)
+                room -= _size(p)
+        return done
+
+
+def _size(p: Piece) -> int:
+    return len(p.raw) // 4
 
 
 def _packer(path: str, kind: str, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path, kind)
-        base, used = TaskContext.get().partitionId() * PER_PARTITION, 0
-        classes = {capacity >> b: _Class(capacity >> b, 1 << b) for b in range(capacity.bit_length())}
-
-        def closed(last: bool) -> Iterator[pa.RecordBatch]:
-            nonlocal used
-            for c in classes.values():
-                for t, n in c.take(last):
-                    at = np.arange(t.num_rows)
-                    t = t.append_column("sequence_id", pa.array(base + used + at // n))
-                    t = t.append_column("offset", pa.array(at % n * c.length))
-                    used += t.num_rows // n
-                    yield from t.combine_chunks().to_batches()
+        sequence = TaskContext.get().partitionId() * PER_PARTITION
+        bins = Bins(capacity)
+        rows: list[tuple] = []
+        held = 0
+        id_type = None
+
+        def batch() -> pa.RecordBatch:
+            nonlocal rows, held
+            doc, start, length, tokens, raw, seq, offset = zip(*rows)
+            rows, held = [], 0
+            return pa.RecordBatch.from_arrays(
+                [pa.array(doc, id_type), *[pa.array(c, pa.int64()) for c in (start, length, tokens)],
+                 pa.array(raw, pa.binary()), pa.array(seq, pa.int64()), pa.array(offset, pa.int64())],
+                names=["doc_id", "start", "length", "doc_tokens", "ids", "sequence_id", "offset"])
+
+        def put(pieces: list[Piece]) -> None:
+            nonlocal sequence, held
+            at = 0
+            for p in pieces:
+                rows.append((p.doc, p.start, _size(p), p.tokens, p.raw, sequence, at))
+                at += _size(p)
+            held += 4 * at
+            sequence += 1
 
         for b in batches:
+            id_type = b.schema.field(0).type
+            docs = b.column(0).to_pylist()
             for lo, ids, n in enc.encode(b.column(1)):
-                doc, start, length = cut(n, capacity)
-                first = (np.cumsum(n) - n)[doc] + start
-                schema = _schema(b.schema.field(0).type)
-                for size, c in classes.items():
-                    of = np.flatnonzero(length == size)
-                    if not len(of):
-                        continue
-                    raw = ids[ragged(first[of], length[of])].astype("<u4").tobytes()
-                    ends = np.arange(len(of) + 1, dtype=np.int32) * np.int32(4 * size)
-                    c.add(pa.RecordBatch.from_arrays([
-                        b.column(0).take(pa.array(lo + doc[of])), pa.array(start[of]), pa.array(length[of]),
-                        pa.array(n[doc[of]].astype(np.int64)),
-                        pa.Array.from_buffers(pa.binary(), len(of), [None, pa.py_buffer(ends), pa.py_buffer(raw)]),
-                    ], schema=schema))
-                yield from closed(last=False)
-        yield from closed(last=True)
+                raw = memoryview(ids.astype("<u4").tobytes())
+                first = 0
+                for doc, tokens in zip(docs[lo:lo + len(n)], n.tolist()):
+                    whole = tokens // capacity * capacity
+                    for start in range(0, whole, capacity):
+                        a = 4 * (first + start)
+                        put([Piece(doc, start, tokens, bytes(raw[a:a + 4 * capacity]))])
+                        if held >= BATCH_BYTES:
+                            yield batch()
+                    if tokens > whole:
+                        rest = Piece(doc, whole, tokens, bytes(raw[4 * (first + whole):4 * (first + tokens)]))
+                        for done in bins.add(rest):
+                            put(done)
+                    if held >= BATCH_BYTES:
+                        yield batch()
+                    first += tokens
+        for done in bins.close():
+            put(done)
+        if rows:
+            yield batch()
     return run
 
 

@@ -217,6 +217,33 @@ def test_token_files(odd, spark):
     assert [(r.doc_id, r.start, bytes(r.ids)) for r in got] == expected
 
 
+@pytest.mark.parametrize("capacity", [1, 2, 16, 2048])
+def test_bins_hold_their_class_and_one_cut(capacity):
+    random = np.random.default_rng(3)
+    lengths = random.integers(1, max(capacity, 2), 3000) if capacity > 1 else []
+    bins, full = pack.Bins(capacity), []
+    for i, n in enumerate(lengths):
+        full += bins.add(pack.Piece(i, 0, int(n), np.full(n, i, "<u4").tobytes()))
+        assert sum(len(m) for m in bins.open.values()) <= sum(bins.open) and len(bins.open) <= 2 * capacity ** 0.5 + 1
+    last = bins.close()
+    back = Counter()
+    for b in full:
+        sizes = [len(p.raw) // 4 for p in b]
+        k = capacity // sizes[0]
+        assert sum(sizes) == capacity and all(capacity // n == k for n in sizes[:k])
+        assert sum(sizes[:k]) * (k + 1) > k * capacity - 1
+        assert all(p.start + n == p.tokens for p, n in zip(b[k:-1], sizes[k:-1]))  # only the last one is cut
+    for b in last:
+        n = sum(len(p.raw) // 4 for p in b)
+        assert n & (n - 1) == 0 and n <= capacity
+    pieces = sorted((p.doc, p.start, p.raw) for b in full + last for p in b)
+    assert len(pieces) <= len(lengths) + len(full) + len(last)
+    for doc, start, raw in pieces:
+        assert back[doc] == start and raw == np.full(len(raw) // 4, doc, "<u4").tobytes()
+        back[doc] += len(raw) // 4
+    assert back == Counter({i: int(n) for i, n in enumerate(lengths)})
+
+
 @pytest.mark.parametrize("capacity", [16, 2048])
 def test_pack(odd, capacity):
     got = pack.pack(odd, BYTE_BPE, "space", capacity).collect()
