@@ -12,6 +12,10 @@
    the mix near its targets. Blocks of a source beyond its target are not
    taken, the last one is cut at the target; a source whose slots run out
    before its target gets its last blocks at the end of the schedule.
+4. Order: a document stands at the first slot that takes words of it.
+   ``mixed_documents`` leaves its rows in that order, from part to part and
+   within each, so that what reads them in order meets the mix near its
+   targets in every prefix.
 
 Nothing but words is counted per source in one place: the shuffled order is
 dealt in buckets of the hash, whose sums give each bucket its start, and slots
@@ -167,28 +171,35 @@ def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), id_col: str = "do
 
 def taken(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), id_col: str = "doc_id", text_col: str = "text",
           source_col: str = "source") -> DataFrame:
-    """Per row of ``docs``: id, size, source_size, target of its source and
-    taken, the words that the mix takes from it."""
+    """Per row of ``docs``: id, size, source_size, target of its source,
+    taken, the words that the mix takes from it, and first_slot, where in the
+    schedule it takes the first of them (null: none)."""
     documents, pieces = mix(docs, weights, id_col, text_col, source_col)
-    sums = pieces.groupBy("row").agg(F.sum("n_words").alias("taken"))
+    sums = pieces.groupBy("row").agg(F.sum("n_words").alias("taken"), F.min("slot").alias("first_slot"))
     return documents.join(sums, "row", "left").select(
-        F.col("id").alias(id_col), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"))
+        F.col("id").alias(id_col), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"),
+        "first_slot")
 
 
 def mixed_documents(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), id_col: str = "doc_id",
                     text_col: str = "text", source_col: str = "source", chars_col: str | None = "n_chars") -> DataFrame:
     """The mix as documents with all columns of ``docs``: a row for each
     reading of a document, whole, or cut behind the last word that is taken
-    (words then joined by one space, ``chars_col`` counted anew)."""
+    (words then joined by one space, ``chars_col`` counted anew). Rows stand
+    in the order of their first slots; slots hold equal numbers of words, so
+    the parts are stretches of slots of equal width."""
     documents, pieces = mix(docs, weights, id_col, text_col, source_col)
-    h, at, reads, take, list_id, list_h = fresh(docs, "h", "at", "reads", "take", "ati", "ath")
-    per_turn = pieces.groupBy("row", "turn").agg(F.sum("n_words").alias("words"))
-    per_row = per_turn.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("turn", "words"))).alias("turns"))
+    spark = docs.sparkSession
+    h, at, reads, take, list_id, list_h, slot = fresh(docs, "h", "at", "reads", "take", "ati", "ath", "slot")
+    per_turn = pieces.groupBy("row", "turn").agg(F.sum("n_words").alias("words"), F.min("slot").alias("slot"))
+    per_row = per_turn.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("turn", "words", "slot"))).alias("turns"))
     # rows with equal id, source and text stand in one list and take its entries in turn
     lists = (documents.join(per_row, "row").groupBy("id", "h")
              .agg(F.sort_array(F.collect_list(F.struct("row", "turns", "size"))).alias(reads))
              .select(F.col("id").alias(list_id), F.col("h").alias(list_h), reads))
-    lists = written(lists, work_dir(docs.sparkSession, "readings"))
+    lists = written(lists, work_dir(spark, "readings"))
+    slots = F.flatten(F.transform(reads, lambda r: r["turns"]["slot"]))
+    last = lists.agg(F.coalesce(F.max(F.array_max(slots)), F.lit(0))).first()[0]
     d = docs.withColumn(h, F.xxhash64(F.col(id_col), F.col(text_col), F.col(source_col)))
     d = d.join(lists, _same(d[id_col], lists[list_id]) & (d[h] == lists[list_h]))
     nth = Window.partitionBy(list_h, list_id).orderBy(h)
@@ -201,4 +212,7 @@ def mixed_documents(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), id_co
     if chars_col in docs.columns:
         kind = docs.schema[chars_col].dataType
         columns[chars_col] = F.when(cut, F.length(text).cast(kind)).otherwise(F.col(chars_col)).alias(chars_col)
-    return d.select(*[columns.get(c, F.col(c)) for c in docs.columns])
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    d = d.select(*[columns.get(c, F.col(c)) for c in docs.columns], F.col(f"{take}.slot").alias(slot))
+    part = F.floor(F.col(slot) * parts / F.lit(last + 1)).cast("int")
+    return d.repartitionById(parts, part).sortWithinPartitions(slot).drop(slot)

@@ -192,6 +192,26 @@ def test_mix(odd):
     for r in out.collect():
         mixed[r.source] += len(brute.words(r.text))
     assert sum(mixed.values()) == sum(r.taken for r in got)
+    first = {}
+    for r in got:
+        assert (r.first_slot is None) == (r.taken == 0)
+        if r.taken:
+            first[r.doc_id] = min(first.get(r.doc_id, r.first_slot), r.first_slot)
+    order = [r.doc_id for r in out.collect()]
+    places = [first[i] for i in dict.fromkeys(order)]  # first readings
+    assert places == sorted(places)
+
+
+def test_mixed_documents_stand_near_targets_in_every_prefix(spark):
+    rows = [(i, f"w{i} " * 20, "abc"[i % 3]) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    out = mix.mixed_documents(docs).collect()
+    assert len(out) >= 3000
+    met = Counter()
+    for n, r in enumerate(out, 1):
+        met[r.source] += 1
+        if n % 300 == 0:
+            assert all(abs(met[s] - n * w / 6) <= 0.01 * n + 5 for s, w in zip("abc", (1, 2, 3)))
 
 
 def test_schedule_keeps_every_prefix_near_its_targets(spark):
