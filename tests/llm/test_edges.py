@@ -3,6 +3,7 @@ and clashing names, against a plain version; and on an empty table."""
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import zlib
 from collections import Counter, defaultdict
@@ -305,6 +306,44 @@ def test_warc(spark):
     assert {r.payload_digest for r in got if r.row == 9} == {hashlib.sha256(b"").hexdigest()}
 
 
+def test_archives_of_many_records(spark, tmp_path):
+    """Files by path and as values: packed or not, joined, with servers' heads."""
+    body = b"<html>" + b"x" * 300
+    heads = [b"HTTP/1.1 200 OK\r\nContent-Length: 7\r\nServer: a\r\n\r\n", b"HTTP/1.0 404 Gone\nX: y\n\n", b""]
+    one, two = (warc.arc_version_block(v, "x", "20010203040506") for v in (1, 2))
+    rec = [warc.arc_record(1, f"http://h/{i}", "20010203040506", h + body) for i, h in enumerate(heads)]
+    late = warc.arc_record(2, "http://h/late", "20010203", heads[0] + b"HTTP/1.1 inside\r\n\r\n")
+    plain, members = one + b"".join(rec) + two + late, b"".join(gzip.compress(x) for x in [one, *rec])
+    (tmp_path / "a.arc").write_bytes(plain)
+    (tmp_path / "b.arc.gz").write_bytes(members)
+    (tmp_path / "c.arc").write_bytes(one)
+    digest = hashlib.sha256(body).hexdigest()
+    inner = b"HTTP/1.1 inside\r\n\r\n"
+    expected = Counter({(1, "http://h/0", "response", len(body), digest, None): 1,
+                        (1, "http://h/late", "response", len(inner), hashlib.sha256(inner).hexdigest(), None): 1})
+    expected.update([(1, f"http://h/{i}", "revisit", len(body), digest, 1) for i in (1, 2)])
+    expected.update([(2, f"http://h/{i}", "revisit", len(body), digest, 1) for i in (0, 1, 2)])
+    by_path = spark.createDataFrame([(1, str(tmp_path / "a.arc")), (2, str(tmp_path / "b.arc.gz")),
+                                     (3, str(tmp_path / "c.arc")), (4, None)], "row long, path string")
+    by_value = spark.createDataFrame([(1, plain), (2, members), (3, one), (4, None)], "row long, arc binary")
+    for arcs in (by_path, by_value):
+        files = warc.write(arcs, work_dir(spark, "t-arcs"))
+        got = warc.read(files).collect()
+        assert Counter((r.row, r.target_uri, r.record_type, r.payload_bytes, r.payload_digest, r.refers_to) for r in got) == expected
+        assert len({r.record_id for r in got}) == len(got)
+        blocks = {}
+        for f in files.collect():
+            with gzip.open(f.path.removeprefix("file:")) as stream:
+                blocks.update((h["WARC-Record-ID"], (h, b)) for h, b in warc.parse_warc(stream))
+        for h, b in blocks.values():
+            if h["WARC-Target-URI"] == "http://h/1":
+                assert b == heads[1]  # the server's own head, once, without the payload
+            if "WARC-Refers-To" in h:
+                assert blocks[h["WARC-Refers-To"]][0]["WARC-Target-URI"] == "http://h/0"
+    with pytest.raises(ValueError):
+        list(warc.parse_arc(rec[0]))
+
+
 def test_arc_versions_and_bad_lines():
     for version in (1, 2):
         raw = warc.arc_version_block(version, "x", "20010203040506") + warc.arc_record(version, "http://u r l/", "20010203", b"body\n\n")
