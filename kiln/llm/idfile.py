@@ -131,7 +131,8 @@ def write(docs: DataFrame, folder: str, tokenizer: str, kind: str = "word",
     file, so numbering it in one window stays small."""
     prepare(docs.sparkSession)
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    ordered = slim.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # rows of one id, or without one, are dealt by the beginning of their texts, which sorts as the texts do
+    ordered = slim.repartitionByRange("doc_id", F.substring("text", 1, 64)).sortWithinPartitions("doc_id", "text")
     files = written(ordered.mapInArrow(_writer(tokenizer, kind, folder), _FILES), f"{folder}/files")
     before = Window.orderBy("part", "number").rowsBetween(Window.unboundedPreceding, -1)
     return files.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
