@@ -23,6 +23,8 @@ from kiln.session import folder_names, remove, ship_package
 RATING_SCHEMA = "user_id long, item_id int, rating double"
 TIMED_SCHEMA = RATING_SCHEMA + ", at long"
 DELTA_SCHEMA = "item_id int, n long, total double"
+STATE_SCHEMA = "user array<long>, item array<int>, at array<long>, rating array<double>"
+USER_BITS, ITEM_BITS = 4, 8  # a state row is a cell of 2**USER_BITS user ids and 2**ITEM_BITS item ids
 
 
 def item_stats_stream(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str,
@@ -60,17 +62,24 @@ def read_stats(spark: SparkSession, out_dir: str, digits: int = 6) -> DataFrame:
                       F.round(F.col("total") / F.col("n"), digits).alias("mean"))
 
 
-def _replace_rating(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """The latest rating of one (user, item) and what it changes in the item's
-    sums: the new value less the one it replaces."""
-    old = best = state.get if state.exists else None
+def _replace_ratings(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """The latest ratings of a cell of users and items and what they change in
+    the items' sums: each new value less the one it replaces."""
+    old = {(u, i): (at, r) for u, i, at, r in zip(*state.get)} if state.exists else {}
+    new = {}
     for p in parts:
-        newest = max(zip(p["at"].tolist(), p["rating"].tolist()))
-        best = newest if best is None or newest > tuple(best) else best
-    if best is old:
+        for u, i, at, r in zip(*(p[c].tolist() for c in ("user_id", "item_id", "at", "rating"))):
+            best = new.get((u, i)) or old.get((u, i))
+            if best is None or (at, r) > best:
+                new[u, i] = at, r
+    if not new:
         return
-    state.update(best)
-    yield pd.DataFrame({"item_id": [key[1]], "n": [0 if old else 1], "total": [best[1] - (old[1] if old else 0.0)]})
+    state.update(tuple(map(list, zip(*((*pair, *best) for pair, best in (old | new).items())))))
+    changes = {}
+    for pair, (_, r) in new.items():
+        n, total = changes.get(pair[1], (0, 0.0))
+        changes[pair[1]] = n + (pair not in old), total + r - (old[pair][1] if pair in old else 0.0)
+    yield pd.DataFrame({"item_id": list(changes), "n": [n for n, _ in changes.values()], "total": [t for _, t in changes.values()]})
 
 
 def latest_ratings_stream(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str, files_per_batch: int = 1,
@@ -79,7 +88,9 @@ def latest_ratings_stream(spark: SparkSession, in_dir: str, out_dir: str, checkp
     """Start the latest-wins intake: files of (user, item, rating, at) -> per
     item the count and sum of the latest rating of each of its users (the
     largest ``at``; of equal ones the larger rating), whatever the order in
-    which files arrive. Rows with a null are left out.
+    which files arrive. Rows with a null are left out. The state has a row per
+    cell of neighbouring user and item ids, at most 4,096 ratings, so Python is
+    called once per cell and batch, not once per pair, and no row grows on.
 
     Each micro-batch writes the changes of its items to ``deltas/epoch=E``; a
     batch that is run again replaces its own folder. Every ``compact_every``
@@ -91,8 +102,9 @@ def latest_ratings_stream(spark: SparkSession, in_dir: str, out_dir: str, checkp
     if state_partitions is not None:
         own.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     src = own.readStream.schema(TIMED_SCHEMA).option("maxFilesPerTrigger", files_per_batch).parquet(in_dir)
-    deltas = src.dropna().groupBy("user_id", "item_id").applyInPandasWithState(
-        _replace_rating, DELTA_SCHEMA, "at long, rating double", "update", GroupStateTimeout.NoTimeout)
+    cell = {"_users": F.shiftright("user_id", USER_BITS), "_items": F.shiftright("item_id", ITEM_BITS)}
+    deltas = src.dropna().withColumns(cell).groupBy(*cell).applyInPandasWithState(
+        _replace_ratings, DELTA_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout)
 
     def publish(batch: DataFrame, epoch: int) -> None:
         sums = batch.groupBy("item_id").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
@@ -144,4 +156,5 @@ def ratings_in_state(spark: SparkSession, checkpoint: str) -> DataFrame:
     """(user_id, item_id, rating): the latest ratings that the stream's state
     holds, for a refit on demand, read from its checkpoint as a table."""
     s = spark.read.format("statestore").load(checkpoint)
-    return s.select("key.user_id", "key.item_id", F.col("value.groupState.rating").alias("rating"))
+    held = F.explode(F.arrays_zip(*(f"value.groupState.{c}" for c in ("user", "item", "rating"))))
+    return s.select(held.alias("r")).select(F.col("r.user").alias("user_id"), F.col("r.item").alias("item_id"), "r.rating")

@@ -129,3 +129,18 @@ def test_latest_rating_wins_over_restarts_and_compaction(spark, tmp_dir):
     state = {(r.user_id, r.item_id): r.rating for r in IN.ratings_in_state(spark, f"{tmp_dir}/ck").collect()}
     assert state == {k: v[1] for k, v in best.items()}
     assert M.fit_als(IN.ratings_in_state(spark, f"{tmp_dir}/ck"), rank=2, iters=2).users.count() == 10
+
+
+def test_latest_ratings_state_holds_cells_of_pairs(spark, tmp_dir):
+    """Python is called once per state row and batch: many pairs share one."""
+    rows = [(u, i, float((u + i + n) % 5 + 1), 1000 * n + u + 8) for n in range(2) for u in range(-8, 24) for i in range(0, 300, 5)]
+    src = spark.createDataFrame(rows, IN.TIMED_SCHEMA).coalesce(1)
+    for n in range(2):
+        src.filter(f"at div 1000 = {n}").write.mode("append").parquet(f"{tmp_dir}/in")
+    IN.latest_ratings_stream(spark, f"{tmp_dir}/in", f"{tmp_dir}/out", f"{tmp_dir}/ck", state_partitions=2).awaitTermination()
+    best = _latest(rows)
+    assert spark.read.format("statestore").load(f"{tmp_dir}/ck").count() <= len(best) / 100
+    state = {(r.user_id, r.item_id): r.rating for r in IN.ratings_in_state(spark, f"{tmp_dir}/ck").collect()}
+    assert state == {k: v[1] for k, v in best.items()}
+    got = {r.item_id: (r.n, r.total) for r in IN.read_latest_stats(spark, f"{tmp_dir}/out").collect()}
+    assert got == {i: (32, sum(v[1] for k, v in best.items() if k[1] == i)) for i in range(0, 300, 5)}
