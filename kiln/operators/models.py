@@ -113,6 +113,8 @@ def word2vec(df: DataFrame, tokens: str, dims: int = 100, min_count: int = 1, se
 
 # ---- classification and evaluation ---------------------------------------------------------
 
+FIT_ROWS = 1 << 20  # rows of a partition of the rows that a model is fitted on, at most
+
 KINDS = {
     "logreg": lambda: LogisticRegression(maxIter=50),
     "forest": lambda: RandomForestClassifier(numTrees=50, seed=7),
@@ -157,6 +159,32 @@ def auc_of(pred: DataFrame, label: str, metric: str = "areaUnderROC") -> float:
                                          numBins=0).evaluate(pred)
 
 
+def for_fits(df: DataFrame) -> DataFrame:
+    """``df`` persisted for fits that pass over it many times. Each pass is a
+    task per partition that reports to the driver, and a persisted plan keeps
+    all of its shuffle partitions: they are put together to one per core, or
+    more if these would hold over ``FIT_ROWS`` rows each."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    df = df.persist()
+    parts = max(cores, -(-df.count() // FIT_ROWS))
+    if df.rdd.getNumPartitions() <= parts:
+        return df
+    rows = df.coalesce(parts).persist()
+    rows.count()
+    df.unpersist()
+    return rows
+
+
+class _DrawnFolds(CrossValidator):
+    """Cross validation over folds that the column ``_fold``, uniform in
+    [0, 1), was drawn for before."""
+
+    def _kFold(self, dataset: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
+        n = self.getNumFolds()
+        held = [(F.col("_fold") >= i / n) & (F.col("_fold") < (i + 1) / n) for i in range(n)]
+        return [(dataset.filter(~h), dataset.filter(h)) for h in held]
+
+
 def cross_val(df: DataFrame, kind: str, stages: list, label: str, folds: int = 5, grid=None,
               parallelism: int = 2, seed: int = 7):
     """M6/M7: k-fold cross-validated ROC AUC; an empty grid scores the model
@@ -167,9 +195,13 @@ def cross_val(df: DataFrame, kind: str, stages: list, label: str, folds: int = 5
     if grid and isinstance(grid[0], dict) and grid[0]:
         grid = [{est.getParam(p.name): v for p, v in g.items()} for g in grid]
     ev = BinaryClassificationEvaluator(labelCol=label, numBins=0)
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=ev, numFolds=folds,
-                        parallelism=parallelism, seed=seed)
-    return cv.fit(df)
+    cv = _DrawnFolds(estimator=pipe, estimatorParamMaps=grid, evaluator=ev, numFolds=folds,
+                     parallelism=parallelism, seed=seed)
+    rows = for_fits(df.withColumn("_fold", F.rand(seed)))
+    try:
+        return cv.fit(rows)
+    finally:
+        rows.unpersist()
 
 
 def knn_fold_scores(df: DataFrame, id_col: str, vec: str, label: str, k: int = 5, folds: int = 5, seed: int = 7) -> DataFrame:

@@ -87,7 +87,7 @@ def fit_gbt(spark, sf):
 def compare_models(spark, sf):
     """Several models on one split, which is kept over the fits;
     one row per model."""
-    train, test = (x.persist() for x in _customers_split(spark, sf))
+    train, test = (M.for_fits(x) for x in _customers_split(spark, sf))
     rows = []
     for kind in ("logreg", "forest", "gbt", "svc"):
         _, pred = M.fit_predict(kind, train, test, _cust_stages(), "label")

@@ -186,3 +186,29 @@ def test_vocabulary_is_not_cut(spark):
     df = spark.createDataFrame([([f"t{i}" for i in range(300)],)], "tokens array<string>")
     cvm, _ = M.count_vectors(df, "tokens", min_df=1.0, idf=False)
     assert len(cvm.stages[0].vocabulary) == 300
+
+
+def test_fits_take_a_task_per_core_and_folds_stay(spark):
+    """Many shuffle partitions are put together, and the folds are those of
+    Spark's own cross validation on the rows as they came."""
+    from pyspark.ml.tuning import CrossValidator
+
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.range(0, 3000, 1, 8 * cores).selectExpr("id", "double(id % 7) AS a", "double(id % 2) AS label")
+    kept = M.for_fits(rows)
+    assert kept.rdd.getNumPartitions() == cores and kept.count() == 3000
+    kept.unpersist()
+    few = M.for_fits(rows.coalesce(2))
+    assert few.rdd.getNumPartitions() == 2
+    few.unpersist()
+    seen = []
+    fold = M._DrawnFolds._kFold
+    try:
+        M._DrawnFolds._kFold = lambda self, df: [seen.append((a.rdd.getNumPartitions(), sorted(r.id for r in b.collect()))) or (a, b)
+                                                for a, b in fold(self, df)]
+        model = M.cross_val(rows, "logreg", M.feature_pipeline(["a"]), "label", folds=3, seed=5)
+    finally:
+        M._DrawnFolds._kFold = fold
+    assert len(model.avgMetrics) == 1 and [n for n, _ in seen] == [cores] * 3
+    want = CrossValidator(numFolds=3, seed=5)._kFold(rows)
+    assert [ids for _, ids in seen] == [sorted(r.id for r in b.collect()) for _, b in want]
