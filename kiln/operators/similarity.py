@@ -68,12 +68,12 @@ def sq_euclid(a, b) -> Column:
 
 
 def knn_neighbours(test: DataFrame, train: DataFrame, id_col: str, vec: str, label: str, k: int,
-                   block_rows: int = 16384) -> DataFrame:
+                   pivots: int = 1, block_rows: int = 16384) -> DataFrame:
     """M5 (neighbour search): the k nearest train rows of every test row by
     squared Euclidean distance, ties by train id, exact.
 
     Both sides are dealt over blocks of about ``block_rows`` rows by a hash of
-    the id; each (test block, train block) meets once, as two matrices in one
+    the id, train rows over ``pivots`` blocks at least; each (test block, train block) meets once, as two matrices in one
     task (``kiln.operators.knn``). Pairs never become rows: a cell hands on at
     most k rows per test row, and the k best of these are kept. Numbers of
     blocks come from counts inside the plan. Rows without a vector, or with a
@@ -87,7 +87,7 @@ def knn_neighbours(test: DataFrame, train: DataFrame, id_col: str, vec: str, lab
     def dealt(df: DataFrame, columns: list[Column], own: str, other: str, n_own: Column, n_other: Column) -> DataFrame:
         return sound(df).select(*columns, F.pmod(F.xxhash64(id_col), n_own).cast("int").alias(own),
                                 F.explode(F.sequence(F.lit(0), n_other - 1)).alias(other))
-    n_test, n_train = blocks(test), blocks(train)
+    n_test, n_train = blocks(test), F.greatest(blocks(train), F.lit(pivots))
     values = F.col(vec).cast("array<double>").alias("v")
     q = dealt(test, [F.col(id_col).alias("id"), values], "i", "j", n_test, n_train)
     t = dealt(train, [F.col(id_col).alias("neighbour"), F.col(label).alias("neighbour_label"), values],
