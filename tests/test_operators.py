@@ -331,3 +331,18 @@ def test_cosine_join_equals_all_pairs(spark, threshold):
     got = {(r.doc1, r.doc2): r.cosine for r in SJ.cosine_above(df, threshold).collect()}
     assert got.keys() == expected.keys() and all(abs(got[k] - expected[k]) < 2e-6 for k in got)
     assert SJ.cosine_above(df.filter("1 = 0"), threshold).collect() == []
+
+
+def test_rater_similarity_is_user_similarity_of_the_needed_pairs(spark):
+    import random
+    rnd = random.Random(8)
+    kind = "user_id long, item_id int, rating double"
+    train = spark.createDataFrame([(u, i, None if rnd.random() < 0.1 else float(rnd.randint(1, 5)))
+                                   for u in range(25) for i in range(12) if rnd.random() < 0.4], kind)
+    asked = spark.createDataFrame([(u, rnd.randint(0, 13)) for u in range(20, 30) for _ in range(3)] + [(3, 3)] * 2, "user_id long, item_id int")
+    pairs = asked.select(F.col("user_id").alias("a"), "item_id").join(
+        train.select(F.col("user_id").alias("b"), "item_id"), "item_id").select("a", "b").distinct()
+    got = RC.rater_similarity(train, asked)
+    assert sorted(got.collect()) == sorted(RC.user_similarity(train, pairs).collect())
+    made = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in made[:made.index("Generate")]  # nothing is looked up for the pairs once they are made
