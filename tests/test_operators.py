@@ -333,6 +333,36 @@ def test_cosine_join_equals_all_pairs(spark, threshold):
     assert SJ.cosine_above(df.filter("1 = 0"), threshold).collect() == []
 
 
+def test_cosine_candidates_are_checked_in_cells(spark, monkeypatch):
+    """Whole vectors go to cells of candidates, not to each candidate."""
+    import math
+    import random
+    rnd = random.Random(6)
+    vectors = {d: {f"t{t}": rnd.choice([0.5, 1.0, 3.0]) for t in rnd.sample(range(30), rnd.randint(1, 9))} for d in range(60)}
+    unit = {d: {t: w / math.sqrt(sum(x * x for x in v.values())) for t, w in v.items()} for d, v in vectors.items()}
+    full = spark.createDataFrame([(d, t, w) for d, v in unit.items() for t, w in v.items()], "doc long, term string, _w double")
+    cand = spark.createDataFrame([(a, b) for a in unit for b in unit if a < b], "doc1 long, doc2 long")
+    dots = {(a, b): sum(w * unit[b].get(t, 0.0) for t, w in unit[a].items()) for a in unit for b in unit if a < b}
+    expected = sorted(p for p, c in dots.items() if c >= 0.4037)
+    assert all(abs(c - 0.4037) > 2 * SJ.SINGLE for c in dots.values())
+    for terms, pairs in ((1 << 22, 1 << 22), (50, 1 << 22), (50, 100)):
+        monkeypatch.setattr(SJ, "CELL_TERMS", terms)
+        monkeypatch.setattr(SJ, "CELL_PAIRS", pairs)
+        near = SJ.cosine_checked(cand, full, "doc", "term", 0.4037)
+        assert sorted((r.doc1, r.doc2) for r in near.collect()) == expected
+    none = SJ.cosine_checked(cand.filter("1 = 0"), full, "doc", "term", 0.4037)
+    assert none.collect() == []
+
+
+def test_cosine_pairs_with_short_rests_are_not_made(spark):
+    """Two vectors whose rests are too short where they meet are no candidates."""
+    rows = [(d, t, w, tail) for d in (1, 2) for t, w, tail in (("x", 0.3, 0.85),)] + [
+        (3, "y", 0.3, 0.95), (4, "y", 0.3, 0.95), (5, "x", 0.3, 0.95)]
+    prefix = spark.createDataFrame(rows, "doc long, term string, _w double, _tail double")
+    got = sorted(tuple(r) for r in SJ.cosine_candidates(prefix, "doc", "term", 0.8).collect())
+    assert got == [(1, 5), (2, 5), (3, 4)]
+
+
 def test_rater_similarity_is_user_similarity_of_the_needed_pairs(spark):
     import random
     rnd = random.Random(8)
